@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,10 +21,11 @@ from wardgrid.operators.normalise import (
     with_record_cells,
 )
 from wardgrid.operators.relational import count_by, union_resources
-from wardgrid.schemas import Dataset
+from wardgrid.schemas import PARTITION_COLUMNS, Dataset, text_schema
 from wardgrid.sources.calendar import month_calendar
 from wardgrid.sources.ledger import load_entries, pending_months, read_ledger, record
 from wardgrid.sources.sinks import replace_months
+from wardgrid.sources.tables import read_if_present
 
 Kinds = Mapping[str, set[str]]
 
@@ -108,23 +109,17 @@ def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: D
     ledger = read_ledger(spark, ledger_path)
     pending = pending_months(dataset_calendar(spark, dataset, as_of), ledger, dataset.table)
     rows = _pending_rows(clean_resources(landed, dataset, kinds, cells), pending)
-    total = Observation("load")
-    replace_months(rows.observe(total, F.count(F.lit(1)).alias("rows")), root, dataset.rows_per_file)
+    replace_months(rows, root, dataset.rows_per_file)
     entries = load_entries(pending, stored_counts(spark, root, pending), dataset.table)
-    # fixed before the append, because `pending` reads the ledger that is about to grow
-    rows_now = entries.collect()
-    entries = spark.createDataFrame(rows_now, entries.schema)
+    # one row per month, fixed before the append because `pending` reads the ledger
+    months = entries.collect()
+    entries = spark.createDataFrame(months, entries.schema)
     record(entries, ledger_path)
-    return LoadReport(total.get["rows"], entries)
+    return LoadReport(sum(m["rows"] for m in months), entries)
 
 
 def stored_counts(spark: SparkSession, root: str, pending: DataFrame) -> DataFrame:
     """Rows per pending month as stored; reads file footers and no column."""
-    keys = StructType.fromDDL("year string, month string")
-    try:
-        stored = spark.read.schema(keys).parquet(root)
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: "")() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], keys)
+    keys = text_schema(*PARTITION_COLUMNS)
+    stored = read_if_present(spark, root, keys)
     return count_by(_pending_rows(stored, pending), "year", "month")

@@ -6,25 +6,18 @@ the number of months times the number of runs, never the number of rows loaded.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-LEDGER = StructType.fromDDL(
-    "dataset string, year string, month string, status string, rows bigint, recorded_at timestamp"
-)
+from wardgrid.sources.tables import read_if_present
+
+LEDGER = "dataset string, year string, month string, status string, rows bigint, recorded_at timestamp"
 DONE = ("loaded", "empty")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All entries; none if the ledger was not written yet."""
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER)
+    return read_if_present(spark, path, LEDGER)
 
 
 def month_states(ledger: DataFrame, dataset: str) -> DataFrame:
