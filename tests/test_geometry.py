@@ -56,17 +56,71 @@ SPOTS = [
 ON_THE_LINE = {(0, 2), (4, 4), (1, 1.5), (2, 0), (0, 0), (6, 3), (7, 2)}
 
 
-@pytest.mark.parametrize("boundary", [False, True])
-def test_containment(spark, shapes, boundary):
+def test_containment_join(spark, shapes):
     named = shapes.withColumnRenamed("id", "shape")
     points = spark.createDataFrame([(float(x), float(y)) for x, y, _ in SPOTS], "lon double, lat double")
-    met = points_in_polygons(points, named, ["shape"], "lon", "lat", boundary=boundary).collect()
+    met = points_in_polygons(points, named, ["shape"], "lon", "lat").collect()
     for x, y, wanted in SPOTS:
-        found = sorted(r["shape"] for r in met if (r["lon"], r["lat"]) == (x, y))
-        if boundary and (x, y) in ON_THE_LINE:
-            assert len(found) == 1, (x, y)
-        else:
-            assert found == wanted, (x, y)
+        assert sorted(r["shape"] for r in met if (r["lon"], r["lat"]) == (x, y)) == wanted, (x, y)
+
+
+def test_containment_filter_and_its_boundary(spark, shapes):
+    points = spark.createDataFrame([(float(x), float(y)) for x, y, _ in SPOTS], "lon double, lat double")
+    edges = geometry.polygon_edges(geometry.parse_rings(F.col("geometry_wkt")))
+    x, y = F.col("lon"), F.col("lat")
+    tried = points.crossJoin(shapes).withColumn("edges", edges).select(
+        "lon", "lat", "id", geometry.inside(F.col("edges"), x, y).alias("contains"),
+        geometry.inside(F.col("edges"), x, y, boundary=True).alias("covers")).collect()
+    for px, py, wanted in SPOTS:
+        here = [r for r in tried if (r["lon"], r["lat"]) == (px, py)]
+        assert sorted(r["id"] for r in here if r["contains"]) == wanted
+        covers = [r["id"] for r in here if r["covers"]]
+        assert len(covers) == 1 if (px, py) in ON_THE_LINE else covers == wanted
+
+
+NOTCHED = [
+    # floors, ceilings, spikes up and down, a hole whose tips lie at vertex heights
+    ("stairs", [[(0, 0), (6, 0), (6, 1), (5, 1), (5, 2), (4, 2), (4, 3), (0, 3), (0, 2), (1, 2), (1, 1), (0, 1), (0, 0)]]),
+    ("teeth", [[(0, 0), (1, 3), (2, 0), (3, 3), (4, 0), (5, 3), (6, 0), (6, 4), (0, 4), (0, 0)]]),
+    ("crown", [[(0, 0), (6, 0), (6, 4), (5, 1), (4, 4), (3, 1), (2, 4), (1, 1), (0, 4), (0, 0)]]),
+    ("ring", [[(0, 0), (6, 0), (6, 4), (0, 4), (0, 0)], [(1, 2), (3, 1), (5, 2), (3, 3), (1, 2)]]),
+    ("pinch", [[(0, 0), (3, 2), (6, 0), (6, 4), (3, 3), (0, 4), (0, 0)], [(1, 2), (2, 2), (2, 2.5), (1, 2.5), (1, 2)]]),
+    ("tip", [[(0, 0), (6, 0), (6, 4), (0, 4), (0, 0)], [(2, 0), (4, 2), (2, 2), (2, 0)]]),
+]
+
+
+def strictly_inside(rings, x, y):
+    """Exact rational even-odd test that leaves the boundary out."""
+    from fractions import Fraction
+
+    odd = False
+    x, y = Fraction(x), Fraction(y)
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            x1, y1, x2, y2 = map(Fraction, (x1, y1, x2, y2))
+            turn = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+            if turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return False
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (-73.0, 0.125), (0.5, 4.0)])
+def test_every_vertex_height_and_border(spark, shift, scale):
+    """Points on a half-step lattice hit floors, ceilings, tips and vertices exactly."""
+    def moved(ring):
+        return [(shift + scale * x, scale * y) for x, y in ring]
+
+    texts = [(n, "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in moved(r)) + ")" for r in rings) + ")")
+             for n, rings in NOTCHED]
+    polygons = spark.createDataFrame(texts, "shape string, geometry_wkt string")
+    spots = [(shift + scale * i / 4, scale * j / 4) for i in range(-1, 26) for j in range(-1, 18)]
+    points = spark.createDataFrame(spots, "lon double, lat double")
+    met = points_in_polygons(points, polygons, ["shape"], "lon", "lat").collect()
+    got = sorted((r["shape"], r["lon"], r["lat"]) for r in met)
+    want = sorted((n, x, y) for n, rings in NOTCHED for x, y in spots if strictly_inside([moved(r) for r in rings], x, y))
+    assert got == want
 
 
 def lattice(spark, n):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType
 
@@ -14,6 +14,21 @@ TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
+def record(**fields: Column) -> Column:
+    """A struct with these field names; unlike aliases they survive next to an explode."""
+    return F.named_struct(*[part for name, value in fields.items() for part in (F.lit(name), value)])
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters refer to instead of repeating them.
+
+    The optimizer moves a filter below the projection it reads from by copying
+    the projection's expressions into it. It does not do that through a generator,
+    so costly expressions with many uses pass through a one-element inline.
+    """
+    return df.select("*", F.inline(F.array(record(**columns))))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 

@@ -148,10 +148,13 @@ def edge_state(edge: Column, px: Column, py: Column) -> Column:
 ON_EDGE = 1 << 20
 
 
-def inside(edges: Column, px: Column, py: Column, base: Column | None = None, boundary: bool = False) -> Column:
-    """Even-odd containment; points on the boundary count only with `boundary`."""
-    start = F.lit(0) if base is None else base
-    score = F.aggregate(edges, start, lambda n, e: n + edge_state(e, px, py))
+def inside(edges: Column, px: Column, py: Column, boundary: bool = False) -> Column:
+    """Even-odd containment; points on the boundary count only with `boundary`.
+
+    For filters on one polygon. To match two tables use
+    `wardgrid.operators.spatial.points_in_polygons`.
+    """
+    score = F.aggregate(edges, F.lit(0), lambda n, e: n + edge_state(e, px, py))
     if boundary:
         return (score % 2 == 1) | (score >= ON_EDGE)
     return (score % 2 == 1) & (score < ON_EDGE)

@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from wardgrid.functions.cells import add_cells
 from wardgrid.functions.clean import (
+    computed_once,
     first_valid_point,
     month_key,
     safe_double,
@@ -169,8 +170,10 @@ def with_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
     def number(name: str) -> Column:
         return F.col(name) if dict(df.dtypes)[name] == "double" else safe_double(F.col(name))
 
-    point = first_valid_point(*[(number(a), number(o)) for a, o in present])
-    chosen = df.withColumn("_point", point)
+    names = [name for pair in present for name in pair]
+    numbers = df.withColumns({f"_{name}": number(name) for name in names})
+    point = first_valid_point(*[(F.col(f"_{a}"), F.col(f"_{o}")) for a, o in present])
+    chosen = computed_once(numbers, _point=point).drop(*[f"_{name}" for name in names])
     return chosen.withColumns({lat: F.col("_point.lat"), lon: F.col("_point.lon")}).drop("_point")
 
 

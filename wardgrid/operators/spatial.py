@@ -1,20 +1,22 @@
 """Point-in-polygon join, counts per polygon and centroid crosswalks.
 
 A join on "polygon contains point" alone has no equality Spark could hash on
-and would compare every point with every polygon. Here each polygon is cut into
-grid cells, and points meet polygons through an equi-join on the cell:
-
-* A polygon picks the grid level whose cells are between an eighth of its
-  extent and its full extent, so it covers at most 81 cells, whatever its size.
-  The grids in use are few (ten at most); a point gets one cell per grid in use.
-* A cell keeps only the edges a +x ray from inside the cell can meet. Edges
-  that every such ray meets are folded into a count, so a cell deep inside a
-  polygon carries no edges and is decided by the join key.
-* Each (point, polygon) pair meets in exactly one cell, so nothing is
-  deduplicated afterwards.
-
-The cover is broadcast only after its size has been measured. Beyond the limit
-both sides are shuffled on the cell, and cells that hold many points are salted.
+and would compare every point with every polygon. Here each polygon becomes a
+set of strips, and points meet strips through an equi-join on a grid cell:
+
+* Between two neighbouring vertex heights the edges of a polygon do not meet (if
+  those of a faulty ring do, the strip is cut there). So the inside is a row of
+  pieces, each bounded by one edge on the left and one on the right. Containment
+  in a piece is four comparisons on plain columns, which Spark compiles into the
+  join; no array is walked per point.
+* A polygon picks the grid whose cells are between an eighth of its extent and
+  its full extent, whatever its size. Few grids are in use (ten at most); a
+  point gets one cell per grid in use.
+* Each (point, polygon) pair meets in exactly one piece, so nothing is
+  deduplicated afterwards. Points on the boundary are outside.
+
+The strips are broadcast only after their size has been measured. Beyond the
+limit both sides are shuffled on the cell, and crowded cells are salted.
 """
 
 from __future__ import annotations
@@ -24,23 +26,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import valid_point
-from wardgrid.functions.geometry import inside, parse_rings, polygon_box, polygon_edges, polygon_moments
+from wardgrid.functions.clean import record, valid_point
+from wardgrid.functions.geometry import parse_rings, polygon_box, polygon_edges, polygon_moments
 
 LEVELS = 10
 FINEST_EXPONENT = -18
 CELLS_ACROSS = 8
 
-BROADCAST_BYTES = 128 << 20
+BROADCAST_BYTES = 256 << 20
 ROW_BYTES = 160
-EDGE_BYTES = 56
 
 HOT_CELLS = 4096
 HOT_CELL_ROWS = 2_000_000
+MAX_COPIES = 16384
 
-
-def _cell_size(level: Column) -> Column:
-    return F.pow(F.lit(2.0), level * 3 + FINEST_EXPONENT)
+STRIP = ["_low", "_high", "_closed", "_lx", "_ly", "_lk", "_rx", "_ry", "_rk"]
 
 
 def _cell_key(level: Column, cx: Column, cy: Column) -> Column:
@@ -49,84 +49,220 @@ def _cell_key(level: Column, cx: Column, cy: Column) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(cy.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def polygon_cover(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
-    """One row per (polygon, cell): `keep`, `_level`, `_cell`, `_base`, `_edges`, box."""
-    parsed = (
-        polygons.select(*keep, parse_rings(F.col(wkt)).alias("_rings"))
-        .where(F.size("_rings") > 0)
-        .select(*keep, polygon_edges(F.col("_rings")).alias("_all"), polygon_box(F.col("_rings")).alias("_box"))
+def _x_at(line: Column, y: Column) -> Column:
+    """Where an edge is at a height; its end points come out exactly."""
+    return (
+        F.when(y == line["ya"], line["xa"])
+        .when(y == line["yb"], line["xb"])
+        .otherwise(line["xa"] + (y - line["ya"]) * line["k"])
+    )
+
+
+def _pairs(sorted_lines: Column) -> Column:
+    """Neighbours two by two: the inside lies between an odd edge and the next."""
+    half = F.floor(F.size(sorted_lines) / 2).cast("int")
+    return F.when(
+        half > 0,
+        F.transform(
+            F.sequence(F.lit(0), half - 1),
+            lambda i: record(l=F.get(sorted_lines, i * 2)["line"], r=F.get(sorted_lines, i * 2 + 1)["line"]),
+        ),
+    )
+
+
+def _steps(heights: Column) -> Column:
+    """Neighbouring heights as `_low` and `_high`; NULL for fewer than two."""
+    return F.when(
+        F.size(heights) > 1,
+        F.transform(
+            F.sequence(F.lit(0), F.size(heights) - 2),
+            lambda j: record(_low=F.get(heights, j), _high=F.get(heights, j + 1)),
+        ),
+    )
+
+
+def _bands(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
+    """One row per polygon and grid row, with the sloped edges that reach into it."""
+    # parsing costs time rather than bytes, so a table of one file is spread first
+    spread = polygons.select(*keep, wkt).repartition(*keep)
+    parsed = spread.select(*keep, parse_rings(F.col(wkt)).alias("_rings")).select(
+        *keep, polygon_edges(F.col("_rings")).alias("_edges"), polygon_box(F.col("_rings")).alias("_box")
     )
     extent = F.greatest(
         F.col("_box.xmax") - F.col("_box.xmin"), F.col("_box.ymax") - F.col("_box.ymin"), F.lit(1e-12)
     )
     level = F.ceil((F.log2(extent / CELLS_ACROSS) - FINEST_EXPONENT) / 3).cast("int")
-    leveled = parsed.withColumn("_level", F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), level)))
+    leveled = parsed.withColumn("_level", F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), level))).withColumn(
+        "_size", F.pow(F.lit(2.0), F.col("_level") * 3 + FINEST_EXPONENT)
+    )
 
     def index(value: Column) -> Column:
-        return F.floor(value / _cell_size(F.col("_level")))
-
-    spans = F.transform(
-        "_all",
-        lambda e: F.struct(
-            e.alias("e"),
-            (e["y1"] == e["y2"]).alias("flat"),
-            index(F.least(e["x1"], e["x2"])).alias("x0"),
-            index(F.greatest(e["x1"], e["x2"])).alias("x9"),
-            index(F.least(e["y1"], e["y2"])).alias("y0"),
-            index(F.greatest(e["y1"], e["y2"])).alias("y9"),
-        ),
-    )
+        return F.floor(value / F.col("_size"))
+
+    def upward(e: Column) -> Column:
+        up = e["y1"] < e["y2"]
+        return record(
+            xa=F.when(up, e["x1"]).otherwise(e["x2"]),
+            ya=F.least(e["y1"], e["y2"]),
+            xb=F.when(up, e["x2"]).otherwise(e["x1"]),
+            yb=F.greatest(e["y1"], e["y2"]),
+            k=(e["x2"] - e["x1"]) / (e["y2"] - e["y1"]),
+        )
+
+    sloped = F.transform(F.filter("_edges", lambda e: e["y1"] != e["y2"]), upward)
     rows = leveled.select(
         *keep,
         "_level",
-        "_box",
-        spans.alias("_spans"),
+        "_size",
+        sloped.alias("_lines"),
         F.explode(F.sequence(index(F.col("_box.ymin")), index(F.col("_box.ymax")))).alias("_cy"),
-    ).withColumn("_spans", F.filter("_spans", lambda s: (s["y0"] <= F.col("_cy")) & (s["y9"] >= F.col("_cy"))))
-    cells = rows.select(
-        *keep,
-        "_level",
-        "_box",
-        "_cy",
-        "_spans",
-        F.explode(F.sequence(index(F.col("_box.xmin")), index(F.col("_box.xmax")))).alias("_cx"),
     )
+    return rows.withColumn(
+        "_lines",
+        F.filter(
+            "_lines",
+            lambda v: (v["ya"] < (F.col("_cy") + 1) * F.col("_size")) & (v["yb"] >= F.col("_cy") * F.col("_size")),
+        ),
+    )
+
 
-    def always_crossed(s: Column) -> Column:
-        return (s["x0"] > F.col("_cx")) & (s["y0"] < F.col("_cy")) & (s["y9"] > F.col("_cy"))
+def polygon_strips(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
+    """One row per (polygon, cell, piece): `keep`, `_level`, `_cell` and `STRIP`.
 
-    def never_crossed(s: Column) -> Column:
-        return (s["x9"] < F.col("_cx")) | ((s["x0"] > F.col("_cx")) & s["flat"])
+    A point is in a piece if it lies between the two edge lines and its height is
+    above `_low` and below `_high`, or equal to `_low` where the piece is closed.
+    """
+    low, high = F.col("_low"), F.col("_high")
+    bottom, top = F.col("_cy") * F.col("_size"), (F.col("_cy") + 1) * F.col("_size")
+
+    bands = _bands(polygons, wkt, keep)
+    heights = F.array_sort(
+        F.array_distinct(
+            F.transform(
+                F.concat(F.transform("_lines", lambda v: v["ya"]), F.transform("_lines", lambda v: v["yb"])),
+                lambda y: F.greatest(bottom, F.least(top, y)),
+            )
+        )
+    )
+    strips = bands.withColumn("_heights", heights).select(
+        *keep, "_level", "_size", "_cy", "_lines", F.inline(_steps(F.col("_heights")))
+    )
 
-    return cells.select(
+    # rings that cross themselves: cut the strip where two of its edges change places
+    through = strips.withColumn(
+        "_through",
+        F.transform(
+            F.filter("_lines", lambda v: (v["ya"] <= low) & (v["yb"] >= high)),
+            lambda v: record(x0=_x_at(v, low), x9=_x_at(v, high), line=v),
+        ),
+    )
+    swaps = F.flatten(
+        F.transform(
+            "_through",
+            lambda a: F.transform(
+                F.filter("_through", lambda b: (a["x0"] < b["x0"]) & (a["x9"] > b["x9"])),
+                lambda b: low + (high - low) * ((b["x0"] - a["x0"]) / ((b["x0"] - a["x0"]) + (a["x9"] - b["x9"]))),
+            ),
+        )
+    )
+    cuts = F.array_sort(
+        F.array_distinct(F.concat(F.array(low, high), F.filter(swaps, lambda y: (y > low) & (y < high))))
+    )
+    strips = through.withColumn("_cuts", cuts).select(
+        *keep, "_level", "_size", "_cy", "_lines", F.transform("_through", lambda t: t["line"]).alias("_through"),
+        F.inline(_steps(F.col("_cuts"))),
+    )
+
+    # edges through the strip, and edges that reach its lower border from below
+    across = F.array_sort(F.transform("_through", lambda v: record(x=_x_at(v, (low + high) / 2), line=v)))
+    under = F.array_sort(
+        F.transform(
+            F.filter("_lines", lambda v: (v["ya"] < low) & (v["yb"] >= low)),
+            lambda v: record(x=_x_at(v, low), turn=-v["k"], line=v),
+        )
+    )
+    sides = strips.select(*keep, "_level", "_size", "_cy", "_low", "_high", across.alias("_across"), under.alias("_under"))
+    pieces = sides.select(
         *keep,
         "_level",
-        _cell_key(F.col("_level"), F.col("_cx"), F.col("_cy")).alias("_cell"),
-        F.size(F.filter("_spans", always_crossed)).alias("_base"),
+        "_size",
+        "_cy",
+        "_low",
+        "_high",
+        F.transform(
+            F.coalesce(_pairs(F.col("_under")), F.array()),
+            lambda p: record(start=_x_at(p["l"], low), end=_x_at(p["r"], low)),
+        ).alias("_under"),
+        F.inline(_pairs(F.col("_across"))),
+    )
+    edged = pieces.select(
+        "*", _x_at(F.col("l"), low).alias("_start"), _x_at(F.col("r"), low).alias("_end")
+    ).withColumn(
+        # nothing of the boundary lies on the lower border of a closed piece
+        "_closed", F.exists("_under", lambda u: (u["start"] <= F.col("_start")) & (u["end"] >= F.col("_end")))
+    )
+
+    def piece(lo, hi, closed, lx, ly, lk, rx, ry, rk, x0, x9) -> Column:
+        return record(**dict(zip([*STRIP, "_x0", "_x9"], (lo, hi, closed, lx, ly, lk, rx, ry, rk, x0, x9))))
+
+    line_l, line_r = F.col("l"), F.col("r")
+    whole = piece(
+        low, high, F.col("_closed"),
+        line_l["xa"], line_l["ya"], line_l["k"], line_r["xa"], line_r["ya"], line_r["k"],
+        F.least(_x_at(line_l, low), _x_at(line_l, high)), F.greatest(_x_at(line_r, low), _x_at(line_r, high)),
+    )
+    # what is inside on an open lower border: inside above and below it
+    zero = F.lit(0.0)
+    on_border = F.filter(
         F.transform(
-            F.filter("_spans", lambda s: ~always_crossed(s) & ~never_crossed(s)), lambda s: s["e"]
-        ).alias("_edges"),
-        F.col("_box.xmin").alias("_xmin"),
-        F.col("_box.ymin").alias("_ymin"),
-        F.col("_box.xmax").alias("_xmax"),
-        F.col("_box.ymax").alias("_ymax"),
-    ).where((F.size("_edges") > 0) | (F.col("_base") % 2 == 1))
+            "_under",
+            lambda u: record(start=F.greatest(u["start"], F.col("_start")), end=F.least(u["end"], F.col("_end"))),
+        ),
+        lambda u: u["start"] < u["end"],
+    )
+    borders = F.when(
+        ~F.col("_closed"),
+        F.transform(
+            on_border,
+            lambda u: piece(low, low, F.lit(True), u["start"], low, zero, u["end"], low, zero, u["start"], u["end"]),
+        ),
+    )
+    placed = edged.select(
+        *keep, "_level", "_size", "_cy",
+        F.inline(F.concat(F.array(whole), F.coalesce(borders, F.array().cast(_struct_array())))),
+    )
+    cells = placed.select(
+        *keep, "_level", "_cy", *STRIP,
+        F.explode(
+            F.sequence(F.floor(F.col("_x0") / F.col("_size")), F.floor(F.col("_x9") / F.col("_size")))
+        ).alias("_cx"),
+    )
+    return cells.select(*keep, "_level", _cell_key(F.col("_level"), F.col("_cx"), F.col("_cy")).alias("_cell"), *STRIP)
+
+
+def _struct_array() -> str:
+    fields = ", ".join(f"{n}: {'boolean' if n == '_closed' else 'double'}" for n in [*STRIP, "_x0", "_x9"])
+    return f"array<struct<{fields}>>"
 
 
 def _with_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) -> DataFrame:
+    """One row per grid in use; points without a valid place drop out here.
+
+    The explode also keeps the optimizer from copying the coordinates' casts
+    into a null check on the key.
+    """
+
     def key(level: int) -> Column:
         size = 2.0 ** (3 * level + FINEST_EXPONENT)
         return _cell_key(F.lit(level), F.floor(F.col(lon) / size), F.floor(F.col(lat) / size))
 
-    known = points.where(valid_point(F.col(lat), F.col(lon)))
-    if len(levels) == 1:
-        return known.withColumn("_cell", key(levels[0]))
-    return known.withColumn("_cell", F.explode(F.array(*[key(level) for level in levels])))
+    keys = F.when(valid_point(F.col(lat), F.col(lon)), F.array(*[key(level) for level in levels]))
+    return points.withColumn("_cell", F.explode(keys))
 
 
-def _salted(points: DataFrame, cover: DataFrame, hot_cell_rows: int) -> tuple[DataFrame, DataFrame]:
+def _salted(points: DataFrame, strips: DataFrame, hot_cell_rows: int) -> tuple[DataFrame, DataFrame]:
     """Spread the points of crowded cells over several tasks, each with a copy of
-    the cell's polygons. Cells past the first `HOT_CELLS` hold less than one
+    the cell's pieces. Cells past the first `HOT_CELLS` hold less than one
     4096th of the points each, which is why the list has a fixed bound."""
     spark = points.sparkSession
     crowded = (
@@ -138,47 +274,35 @@ def _salted(points: DataFrame, cover: DataFrame, hot_cell_rows: int) -> tuple[Da
         .collect()
     )
     if not crowded:
-        return points.withColumn("_salt", F.lit(0)), cover.withColumn("_salt", F.lit(0))
+        return points.withColumn("_salt", F.lit(0)), strips.withColumn("_salt", F.lit(0))
+    # at most `MAX_COPIES` copies and one per cell in all, however many points there are
+    share = max(hot_cell_rows, sum(row["n"] for row in crowded) // MAX_COPIES)
     copies = F.broadcast(
-        spark.createDataFrame(
-            [(row["_cell"], -(-row["n"] // hot_cell_rows)) for row in crowded], "_cell bigint, _copies bigint"
-        )
+        spark.createDataFrame([(row["_cell"], -(-row["n"] // share)) for row in crowded], "_cell bigint, _copies bigint")
     )
     copies_or_one = F.coalesce("_copies", F.lit(1))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), copies_or_one).cast("int")
     return (
         points.join(copies, "_cell", "left").withColumn("_salt", spread).drop("_copies"),
-        cover.join(copies, "_cell", "left")
+        strips.join(copies, "_cell", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), (copies_or_one - 1).cast("int"))))
         .drop("_copies"),
     )
 
 
-def _measure(cover: DataFrame) -> tuple[list[int], int]:
-    """Grid levels in use and the estimated bytes of the cover."""
-    sizes = (
-        cover.groupBy("_level")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("_edges")).alias("edges"))
-        .collect()
-    )
-    levels = sorted(row["_level"] for row in sizes)
-    return levels, sum(row["rows"] * ROW_BYTES + row["edges"] * EDGE_BYTES for row in sizes)
+def _measure(strips: DataFrame) -> tuple[list[int], int]:
+    """Grid levels in use and the estimated bytes of the strips."""
+    sizes = strips.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted(row["_level"] for row in sizes), sum(row["n"] for row in sizes) * ROW_BYTES
 
 
-def _meet(points: DataFrame, cover: DataFrame, on: list[str], lon: str, lat: str, boundary: bool) -> DataFrame:
-    x, y = F.col(lon), F.col(lat)
-    return (
-        points.join(cover.drop("_level"), on)
-        .where(x.between(F.col("_xmin"), F.col("_xmax")) & y.between(F.col("_ymin"), F.col("_ymax")))
-        .where(inside(F.col("_edges"), x, y, F.col("_base"), boundary))
-        .drop(*on, "_base", "_edges", "_xmin", "_ymin", "_xmax", "_ymax")
+def _meet(points: DataFrame, strips: DataFrame, on: list[str], lon: str, lat: str) -> DataFrame:
+    x, y, low = F.col(lon), F.col(lat), F.col("_low")
+    at_height = ((y > low) & (y < F.col("_high"))) | (F.col("_closed") & (y == low))
+    between = (x > F.col("_lx") + (y - F.col("_ly")) * F.col("_lk")) & (
+        x < F.col("_rx") + (y - F.col("_ry")) * F.col("_rk")
     )
-
-
-def _check_names(points: DataFrame, keep: Sequence[str]) -> None:
-    clash = set(points.columns) & set(keep)
-    if clash:
-        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    return points.join(strips.drop("_level"), on).where(at_height & between).drop(*on, *STRIP)
 
 
 def points_in_polygons(
@@ -188,27 +312,27 @@ def points_in_polygons(
     lon: str = "longitude",
     lat: str = "latitude",
     wkt: str = "geometry_wkt",
-    boundary: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_cell_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
     """Inner join: the points' columns and the polygons' `keep` columns.
 
     Coordinates are degrees; points with a missing or impossible pair match
-    nothing. `keep` travels with every cell of a polygon, so it should be a key;
-    join wide attributes afterwards. A point on an edge is outside unless
-    `boundary` is set.
+    nothing, and a point on an edge is outside. `keep` travels with every piece
+    of a polygon, so it should be a key; join wide attributes afterwards.
     """
-    _check_names(points, keep)
-    cover = polygon_cover(polygons, wkt, keep)
-    levels, size = _measure(cover)
+    clash = set(points.columns) & set(keep)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    strips = polygon_strips(polygons, wkt, keep)
+    levels, size = _measure(strips)
     if not levels:
         return points.join(polygons.select(*keep), F.lit(False))
     placed = _with_cells(points, lon, lat, levels)
     if size <= broadcast_bytes:
-        return _meet(placed, F.broadcast(cover), ["_cell"], lon, lat, boundary)
-    placed, cover = _salted(placed, cover, hot_cell_rows)
-    return _meet(placed, cover, ["_cell", "_salt"], lon, lat, boundary)
+        return _meet(placed, F.broadcast(strips), ["_cell"], lon, lat)
+    placed, strips = _salted(placed, strips, hot_cell_rows)
+    return _meet(placed, strips, ["_cell", "_salt"], lon, lat)
 
 
 def points_per_polygon(
@@ -218,28 +342,27 @@ def points_per_polygon(
     lon: str = "longitude",
     lat: str = "latitude",
     wkt: str = "geometry_wkt",
-    boundary: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_cell_rows: int = HOT_CELL_ROWS,
     count: str = "n",
 ) -> DataFrame:
     """`keep` and the number of points inside; polygons without a point are left out.
 
-    With a broadcast cover the points are never shuffled, only partial counts.
+    With broadcast strips the points are never shuffled, only partial counts.
     Beyond the limit equal coordinates are counted first, so a place that holds
     a third of all points is one row by the time it reaches the join.
     """
-    cover = polygon_cover(polygons, wkt, keep)
-    levels, size = _measure(cover)
+    strips = polygon_strips(polygons, wkt, keep)
+    levels, size = _measure(strips)
     if not levels:
         return polygons.select(*keep).where(F.lit(False)).withColumn(count, F.lit(0).cast("bigint"))
     places = points.select(F.col(lon).alias("_x"), F.col(lat).alias("_y"))
     if size <= broadcast_bytes:
-        met = _meet(_with_cells(places, "_x", "_y", levels), F.broadcast(cover), ["_cell"], "_x", "_y", boundary)
+        met = _meet(_with_cells(places, "_x", "_y", levels), F.broadcast(strips), ["_cell"], "_x", "_y")
         return met.groupBy(*keep).agg(F.count(F.lit(1)).alias(count))
     places = places.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
-    placed, cover = _salted(_with_cells(places, "_x", "_y", levels), cover, hot_cell_rows)
-    met = _meet(placed, cover, ["_cell", "_salt"], "_x", "_y", boundary)
+    placed, strips = _salted(_with_cells(places, "_x", "_y", levels), strips, hot_cell_rows)
+    met = _meet(placed, strips, ["_cell", "_salt"], "_x", "_y")
     return met.groupBy(*keep).agg(F.sum("_n").alias(count))
 
 

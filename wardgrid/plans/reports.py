@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import in_box, per_thousand, safe_bigint, safe_double
+from wardgrid.functions.clean import computed_once, in_box, per_thousand, safe_bigint, safe_double
 from wardgrid.functions.geometry import area
 from wardgrid.operators.relational import ascending, count_by, top_k
 from wardgrid.operators.spatial import centroid_crosswalk, points_per_polygon
@@ -21,9 +21,10 @@ def rows_per_year(table: DataFrame) -> DataFrame:
 
 
 def _crash_points(collisions: DataFrame, year: str) -> DataFrame:
-    return collisions.where(F.col("year") == year).select(
-        safe_double(F.col("latitude")).alias("lat"), safe_double(F.col("longitude")).alias("lon")
-    )
+    """`lat` and `lon` as numbers, each text cast once whatever is filtered later."""
+    rows = collisions.where(F.col("year") == year)
+    numbers = computed_once(rows, lat=safe_double(F.col("latitude")), lon=safe_double(F.col("longitude")))
+    return numbers.select("lat", "lon")
 
 
 def top_coordinates(collisions: DataFrame, year: str = "2024", k: int = 10) -> DataFrame:
