@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import record, valid_point
+from wardgrid.functions.clean import computed_once, record, valid_point
 from wardgrid.functions.geometry import parse_rings, polygon_box, polygon_edges, polygon_moments
 
 LEVELS = 10
@@ -369,8 +369,8 @@ def points_per_polygon(
 def centroids(polygons: DataFrame, wkt: str = "geometry_wkt", lon: str = "centroid_lon",
               lat: str = "centroid_lat") -> DataFrame:
     """The polygons' columns without the text, and their centroid columns."""
-    moments = polygons.withColumn("_moments", polygon_moments(parse_rings(F.col(wkt))))
-    return moments.select(
+    measured = computed_once(polygons, _moments=polygon_moments(parse_rings(F.col(wkt))))
+    return measured.select(
         *[c for c in polygons.columns if c != wkt],
         F.col("_moments.cx").alias(lon),
         F.col("_moments.cy").alias(lat),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -66,6 +66,11 @@ def dataset_calendar(spark: SparkSession, dataset: Dataset, as_of: date) -> Data
     return reduce(DataFrame.union, spans).distinct()
 
 
+def _pending(spark: SparkSession, dataset: Dataset, ledger_path: str, as_of: date) -> DataFrame:
+    calendar = dataset_calendar(spark, dataset, as_of).select("year", "month", "closed")
+    return pending_months(calendar, read_ledger(spark, ledger_path), dataset.table)
+
+
 @dataclass(frozen=True)
 class LoadPreview:
     """What a load would write."""
@@ -88,15 +93,16 @@ def preview_load(spark: SparkSession, landed: Mapping[str, DataFrame], dataset:
     """A dry run: schema, rows per pending month and the first partition. Nothing is
     written, the ledger included, so a later load still sees every month as pending."""
     rows = clean_resources(landed, dataset, kinds, cells)
-    pending = pending_months(dataset_calendar(spark, dataset, as_of), read_ledger(spark, ledger_path), dataset.table)
+    pending = _pending(spark, dataset, ledger_path, as_of).collect()
     months = count_by(_pending_rows(rows, pending), "year", "month")
     first = months.orderBy("year", "month").first()
     return LoadPreview(rows.schema, months, (first["year"], first["month"]) if first else None)
 
 
-def _pending_rows(rows: DataFrame, pending: DataFrame) -> DataFrame:
-    # the calendar bounds this side: twelve rows for each year of the data set
-    return rows.join(F.broadcast(pending.select("year", "month")), ["year", "month"], "left_semi")
+def _pending_rows(rows: DataFrame, pending: Iterable[Row]) -> DataFrame:
+    # twelve values for each year of the data set at most; on a stored table they prune folders
+    months = [f"{m['year']}-{m['month']}" for m in pending]
+    return rows.where(F.concat_ws("-", "year", "month").isin(months))
 
 
 def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: Dataset, root: str, ledger_path: str,
@@ -106,19 +112,20 @@ def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: D
     Months are replaced whole from all landed rows, so a run that died between
     the write and the ledger entry is simply repeated.
     """
-    ledger = read_ledger(spark, ledger_path)
-    pending = pending_months(dataset_calendar(spark, dataset, as_of), ledger, dataset.table)
+    calendar = _pending(spark, dataset, ledger_path, as_of)
+    pending = calendar.collect()
     rows = _pending_rows(clean_resources(landed, dataset, kinds, cells), pending)
     replace_months(rows, root, dataset.rows_per_file)
-    entries = load_entries(pending, stored_counts(spark, root, pending), dataset.table)
-    # one row per month, fixed before the append because `pending` reads the ledger
+    closed = spark.createDataFrame(pending, calendar.schema)
+    entries = load_entries(closed, stored_counts(spark, root, pending), dataset.table)
+    # one row per month, fixed before the ledger grows
     months = entries.collect()
     entries = spark.createDataFrame(months, entries.schema)
     record(entries, ledger_path)
     return LoadReport(sum(m["rows"] for m in months), entries)
 
 
-def stored_counts(spark: SparkSession, root: str, pending: DataFrame) -> DataFrame:
+def stored_counts(spark: SparkSession, root: str, pending: Iterable[Row]) -> DataFrame:
     """Rows per pending month as stored; reads file footers and no column."""
     keys = text_schema(*PARTITION_COLUMNS)
     stored = read_if_present(spark, root, keys)

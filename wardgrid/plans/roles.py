@@ -20,6 +20,8 @@ from wardgrid.operators.wide import as_stored_text, curated, header_rows, in_cou
 from wardgrid.schemas import COUNTIES, MEASURES, Dataset, Resource
 
 WEST, SOUTH, WIDTH, HEIGHT = -74.3, 40.4, 0.7, 0.6
+# slightly less than the box, so that no area ends in a digit that rounds either way
+TRACT_WIDTH, TRACT_HEIGHT = 0.6931, 0.5987
 HOT_LON, HOT_LAT = -73.9871, 40.7557
 
 
@@ -153,7 +155,7 @@ TRACT_NUMBERS = f"""
 SELECT *, {num(WEST)} + CAST(slot % side AS DOUBLE) * w AS x0,
   {num(SOUTH)} + CAST(floor(slot / side) AS DOUBLE) * h AS y0
 FROM (
-  SELECT *, {num(WIDTH)} / CAST(side AS DOUBLE) AS w, {num(HEIGHT)} / CAST(side AS DOUBLE) AS h
+  SELECT *, {num(TRACT_WIDTH)} / CAST(side AS DOUBLE) AS w, {num(TRACT_HEIGHT)} / CAST(side AS DOUBLE) AS h
   FROM (
     SELECT *, k - CAST(pow(4, ring) AS BIGINT) AS slot, CAST(pow(2, ring + 1) AS BIGINT) AS side
     FROM (
