@@ -15,7 +15,7 @@ def points(spark, n=20000):
 
 @pytest.mark.parametrize("resolution", [8, 9, 10])
 def test_the_cell_has_the_nearest_centre(spark, resolution):
-    df = points(spark).withColumn("c", hex_axial(F.col("lon"), F.col("lat"), resolution))
+    df = points(spark).withColumn("c", hex_axial("lon", "lat", resolution))
 
     def distance(dq, dr):
         x, y = hex_center(F.col("c.q") + dq, F.col("c.r") + dr, resolution)

@@ -8,7 +8,7 @@ from wardgrid.functions import clean
 
 def column(spark, values, build, kind="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
-    return [r[0] for r in df.orderBy("i").select(build(F.col("v"))).collect()]
+    return [r[0] for r in df.orderBy("i").select(build("v")).collect()]
 
 
 def test_safe_double(spark):
@@ -26,7 +26,7 @@ def test_safe_timestamp(spark):
 
 def test_sentinel_is_strictly_below(spark):
     given = ["-666666666", "-100000000", "-5", "abc", None]
-    built = column(spark, given, lambda v: clean.sentinel_to_null(clean.safe_double(v)))
+    built = column(spark, given, lambda v: clean.sentinel_to_null(f"({clean.number_sql(v)})"))
     assert built == [None, -100000000.0, -5.0, None, None]
 
 
@@ -53,7 +53,7 @@ def test_number_text(spark):
 )
 def test_first_valid_point(one, a, b, wanted):
     def build(lat, lon, lat2, lon2):
-        pairs = [(clean.safe_double(x), clean.safe_double(y)) for x, y in ((lat, lon), (lat2, lon2))]
+        pairs = [tuple(f"({clean.number_sql(v)})" for v in pair) for pair in (("v0", "v1"), ("v2", "v3"))]
         return clean.first_valid_point(*pairs)
 
     got = one(build, *a, *b)
@@ -62,7 +62,7 @@ def test_first_valid_point(one, a, b, wanted):
 
 def test_nan_is_not_a_valid_point(spark):
     df = spark.createDataFrame([(float("nan"), 1.0), (1.0, float("nan")), (1.0, 2.0)], "lat double, lon double")
-    assert [r[0] for r in df.select(clean.valid_point(F.col("lat"), F.col("lon"))).collect()] == [False, False, True]
+    assert [r[0] for r in df.select(clean.valid_point("lat", "lon")).collect()] == [False, False, True]
 
 
 def test_geoid_and_rates(one):
@@ -74,5 +74,5 @@ def test_geoid_and_rates(one):
 
 
 def test_partition_keys(one):
-    assert one(lambda v: F.concat_ws("/", clean.year_key(clean.safe_timestamp(v)), clean.month_key(clean.safe_timestamp(v))),
+    assert one(lambda v: F.concat_ws("/", clean.year_key(clean.safe_timestamp("v0")), clean.month_key(clean.safe_timestamp("v0"))),
                "2020-02-01T00:00:00.000") == "2020/02"

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import valid_point
+from wardgrid.functions.clean import valid_sql
 from wardgrid.schemas import RESOLUTIONS
 
 # Fixed value: hexagon edge at resolution 0, in degrees.
@@ -27,32 +27,36 @@ def edge_length(resolution: int) -> float:
     return EDGE_AT_ZERO / math.pow(7.0, resolution / 2.0)
 
 
-def hex_axial(lon: Column, lat: Column, resolution: int) -> Column:
-    """`struct<q,r>` of the hexagon that holds the point, by cube rounding."""
+def _axial_sql(lon: str, lat: str, resolution: int) -> tuple[str, str]:
     edge = edge_length(resolution)
-    fq = F.lit(math.sqrt(3.0) / 3.0 / edge) * lon - F.lit(1.0 / 3.0 / edge) * lat
-    fr = F.lit(2.0 / 3.0 / edge) * lat
-    half = F.lit(0.5)
+    fq = f"({math.sqrt(3.0) / 3.0 / edge!r}D * {lon} - {1.0 / 3.0 / edge!r}D * {lat})"
+    fr = f"({2.0 / 3.0 / edge!r}D * {lat})"
     # floor(v + 0.5) rounds inside generated code, round() would go through BigDecimal
-    q, r, s = F.floor(fq + half), F.floor(fr + half), F.floor(-fq - fr + half)
-    dq, dr, ds = F.abs(q - fq), F.abs(r - fr), F.abs(s + fq + fr)
-    return F.struct(
-        F.when((dq > dr) & (dq > ds), -r - s).otherwise(q).alias("q"),
-        F.when((dr > ds) & ~((dq > dr) & (dq > ds)), -q - s).otherwise(r).alias("r"),
+    q, r, s = f"floor({fq} + 0.5D)", f"floor({fr} + 0.5D)", f"floor(-{fq} - {fr} + 0.5D)"
+    dq, dr, ds = f"abs({q} - {fq})", f"abs({r} - {fr})", f"abs({s} + {fq} + {fr})"
+    q_is_worst = f"{dq} > {dr} AND {dq} > {ds}"
+    return (
+        f"CASE WHEN {q_is_worst} THEN -{r} - {s} ELSE {q} END",
+        f"CASE WHEN NOT ({q_is_worst}) AND {dr} > {ds} THEN -{q} - {s} ELSE {r} END",
     )
 
 
+def hex_axial(lon: str, lat: str, resolution: int) -> Column:
+    """`struct<q,r>` of the hexagon that holds the point, by cube rounding."""
+    q, r = _axial_sql(lon, lat, resolution)
+    return F.expr(f"named_struct('q', {q}, 'r', {r})")
+
+
 def hex_center(q: Column, r: Column, resolution: int) -> tuple[Column, Column]:
     """(lon, lat) of a hexagon's centre."""
     edge = edge_length(resolution)
     return F.lit(edge * math.sqrt(3.0)) * (q + r / F.lit(2.0)), F.lit(edge * 1.5) * r
 
 
-def hex_cell(lon: Column, lat: Column, resolution: int) -> Column:
+def hex_cell(lon: str, lat: str, resolution: int) -> Column:
     """The key `resolution:q:r`; NULL unless the point is valid."""
-    at = hex_axial(lon, lat, resolution)
-    key = F.concat_ws(":", F.lit(str(resolution)), at["q"].cast("string"), at["r"].cast("string"))
-    return F.when(valid_point(lat, lon), key)
+    q, r = _axial_sql(lon, lat, resolution)
+    return F.expr(f"CASE WHEN {valid_sql(lat, lon)} THEN concat_ws(':', '{resolution}', {q}, {r}) END")
 
 
 def _h3_cell(resolution: int):
@@ -81,7 +85,7 @@ def add_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int] = RE
               backend: str = "hex") -> DataFrame:
     """Add one cell column per resolution; all are NULL where the point is not valid."""
     if backend == "hex":
-        keys = {f"hex_r{r}": hex_cell(F.col(lon), F.col(lat), r) for r in resolutions}
+        keys = {f"hex_r{r}": hex_cell(lon, lat, r) for r in resolutions}
     elif backend == "h3":
         if not h3_available():
             raise ValueError("backend 'h3' needs the h3 package; use 'hex'")

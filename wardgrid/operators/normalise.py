@@ -36,7 +36,7 @@ NESTED = (StructType, ArrayType, MapType, VariantType)
 def _hoist(df: DataFrame, name: str, data_type: StructType) -> list[Column]:
     fields = {f.name: f.dataType for f in data_type.fields}
     return [
-        scalar_text(F.col(name)[part], fields[part]).alias(f"{name}_{part}") for part in HOISTED if part in fields
+        scalar_text(f"`{name}`.{part}", fields[part]).alias(f"{name}_{part}") for part in HOISTED if part in fields
     ]
 
 
@@ -54,7 +54,7 @@ def stringify_all(df: DataFrame, nested: str = "hoist") -> DataFrame:
         elif isinstance(f.dataType, NESTED):
             out.append(F.to_json(F.col(f.name)).alias(f.name))
         else:
-            out.append(scalar_text(F.col(f.name), f.dataType).alias(f.name))
+            out.append(scalar_text(f"`{f.name}`", f.dataType).alias(f.name))
     return df.select(*out)
 
 
@@ -104,15 +104,20 @@ def _path(*keys: str) -> str:
     return "$" + "".join(step(k) for k in keys)
 
 
+def _value_sql(kind: str, *keys: str) -> str:
+    path = _path(*keys).replace("\\", "\\\\").replace("'", "\\'")
+    return f"try_variant_get(record, '{path}', '{kind}')"
+
+
 def _text_at(*keys: str) -> Column:
-    return F.try_variant_get(F.col("record"), _path(*keys), "string")
+    return F.expr(_value_sql("string", *keys))
 
 
 def _text_unless_object(key: str, kinds: set[str]) -> Column:
     if "object" not in kinds:
         return _text_at(key)
-    value = F.try_variant_get(F.col("record"), _path(key), "variant")
-    return F.when(~F.schema_of_variant(value).startswith("OBJECT"), _text_at(key))
+    kind = f"schema_of_variant({_value_sql('variant', key)})"
+    return F.expr(f"CASE WHEN NOT startswith({kind}, 'OBJECT') THEN {_value_sql('string', key)} END")
 
 
 def text_columns(records: DataFrame, kinds: Mapping[str, set[str]]) -> DataFrame:
@@ -151,8 +156,8 @@ def typed_core(records: DataFrame, kinds: Mapping[str, set[str]], time_column: s
     """
     tail = sorted(set(kinds) - {time_column} - set(float_columns))
     return records.select(
-        safe_timestamp(_text_at(time_column)).alias(time_column),
-        *[safe_double(_text_at(c)).alias(c) for c in float_columns],
+        safe_timestamp(_value_sql("string", time_column)).alias(time_column),
+        *[safe_double(_value_sql("string", c)).alias(c) for c in float_columns],
         *[_text_at(c).alias(c) for c in tail],
     )
 
@@ -167,12 +172,10 @@ def with_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
     if not present:
         return df.withColumns({lat: F.lit(None).cast("double"), lon: F.lit(None).cast("double")})
 
-    def number(name: str) -> Column:
-        return F.col(name) if dict(df.dtypes)[name] == "double" else safe_double(F.col(name))
-
+    types = dict(df.dtypes)
     names = [name for pair in present for name in pair]
-    numbers = df.withColumns({f"_{name}": number(name) for name in names})
-    point = first_valid_point(*[(F.col(f"_{a}"), F.col(f"_{o}")) for a, o in present])
+    numbers = df.withColumns({f"_{n}": F.col(n) if types[n] == "double" else safe_double(f"`{n}`") for n in names})
+    point = first_valid_point(*[(f"`_{a}`", f"`_{o}`") for a, o in present])
     chosen = computed_once(numbers, _point=point).drop(*[f"_{name}" for name in names])
     return chosen.withColumns({lat: F.col("_point.lat"), lon: F.col("_point.lon")}).drop("_point")
 
@@ -186,9 +189,8 @@ def with_record_cells(df: DataFrame, backend: str = "hex",
 
 def with_partition_keys(df: DataFrame, date_column: str) -> DataFrame:
     """Add text columns `year` and `month` from a timestamp or ISO text column."""
-    moment = F.col(date_column)
-    if dict(df.dtypes)[date_column] == "string":
-        moment = safe_timestamp(moment)
+    is_text = dict(df.dtypes)[date_column] == "string"
+    moment = safe_timestamp(f"`{date_column}`") if is_text else F.col(date_column)
     return df.withColumn("_at", moment).withColumns(
         {"year": year_key(F.col("_at")), "month": month_key(F.col("_at"))}
     ).drop("_at")

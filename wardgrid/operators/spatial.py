@@ -23,10 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import computed_once, record, valid_point
+from wardgrid.functions.clean import computed_once, valid_sql
 from wardgrid.functions.geometry import parse_rings, polygon_box, polygon_edges, polygon_moments
 
 LEVELS = 10
@@ -43,41 +43,34 @@ MAX_COPIES = 16384
 STRIP = ["_low", "_high", "_closed", "_lx", "_ly", "_lk", "_rx", "_ry", "_rk"]
 
 
-def _cell_key(level: Column, cx: Column, cy: Column) -> Column:
+def _cell_sql(level: str, cx: str, cy: str) -> str:
     """Level and both indexes in one BIGINT: a join key that needs no further test."""
-    high = (cx.cast("bigint") * 16 + level).cast("bigint")
-    return F.shiftleft(high, 32).bitwiseOR(cy.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
+    return f"(shiftleft({cx} * 16 + {level}, 32) | ({cy} & 4294967295))"
 
 
-def _x_at(line: Column, y: Column) -> Column:
+def _x_at(line: str, y: str) -> str:
     """Where an edge is at a height; its end points come out exactly."""
     return (
-        F.when(y == line["ya"], line["xa"])
-        .when(y == line["yb"], line["xb"])
-        .otherwise(line["xa"] + (y - line["ya"]) * line["k"])
+        f"CASE WHEN {y} = {line}.ya THEN {line}.xa WHEN {y} = {line}.yb THEN {line}.xb "
+        f"ELSE {line}.xa + ({y} - {line}.ya) * {line}.k END"
     )
 
 
-def _pairs(sorted_lines: Column) -> Column:
-    """Neighbours two by two: the inside lies between an odd edge and the next."""
-    half = F.floor(F.size(sorted_lines) / 2).cast("int")
-    return F.when(
-        half > 0,
-        F.transform(
-            F.sequence(F.lit(0), half - 1),
-            lambda i: record(l=F.get(sorted_lines, i * 2)["line"], r=F.get(sorted_lines, i * 2 + 1)["line"]),
-        ),
+def _pairs(sorted_lines: str, l: str, r: str) -> str:  # noqa: E741
+    """Neighbours two by two: the inside lies between an odd edge and the next.
+    `l` and `r` say what to keep of an edge `e`."""
+    left, right = (f"get({sorted_lines}, 2 * i{step}).line" for step in ("", " + 1"))
+    return (
+        f"CASE WHEN size({sorted_lines}) > 1 THEN transform(sequence(0, size({sorted_lines}) div 2 - 1), "
+        f"i -> named_struct('l', {l.format(e=left)}, 'r', {r.format(e=right)})) END"
     )
 
 
-def _steps(heights: Column) -> Column:
+def _steps(heights: str) -> str:
     """Neighbouring heights as `_low` and `_high`; NULL for fewer than two."""
-    return F.when(
-        F.size(heights) > 1,
-        F.transform(
-            F.sequence(F.lit(0), F.size(heights) - 2),
-            lambda j: record(_low=F.get(heights, j), _high=F.get(heights, j + 1)),
-        ),
+    return (
+        f"CASE WHEN size({heights}) > 1 THEN transform(sequence(0, size({heights}) - 2), "
+        f"j -> named_struct('_low', get({heights}, j), '_high', get({heights}, j + 1))) END"
     )
 
 
@@ -88,41 +81,22 @@ def _bands(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
     parsed = spread.select(*keep, parse_rings(F.col(wkt)).alias("_rings")).select(
         *keep, polygon_edges(F.col("_rings")).alias("_edges"), polygon_box(F.col("_rings")).alias("_box")
     )
-    extent = F.greatest(
-        F.col("_box.xmax") - F.col("_box.xmin"), F.col("_box.ymax") - F.col("_box.ymin"), F.lit(1e-12)
-    )
-    level = F.ceil((F.log2(extent / CELLS_ACROSS) - FINEST_EXPONENT) / 3).cast("int")
-    leveled = parsed.withColumn("_level", F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), level))).withColumn(
-        "_size", F.pow(F.lit(2.0), F.col("_level") * 3 + FINEST_EXPONENT)
-    )
-
-    def index(value: Column) -> Column:
-        return F.floor(value / F.col("_size"))
-
-    def upward(e: Column) -> Column:
-        up = e["y1"] < e["y2"]
-        return record(
-            xa=F.when(up, e["x1"]).otherwise(e["x2"]),
-            ya=F.least(e["y1"], e["y2"]),
-            xb=F.when(up, e["x2"]).otherwise(e["x1"]),
-            yb=F.greatest(e["y1"], e["y2"]),
-            k=(e["x2"] - e["x1"]) / (e["y2"] - e["y1"]),
-        )
-
-    sloped = F.transform(F.filter("_edges", lambda e: e["y1"] != e["y2"]), upward)
-    rows = leveled.select(
-        *keep,
-        "_level",
-        "_size",
-        sloped.alias("_lines"),
-        F.explode(F.sequence(index(F.col("_box.ymin")), index(F.col("_box.ymax")))).alias("_cy"),
+    extent = "greatest(_box.xmax - _box.xmin, _box.ymax - _box.ymin, 1E-12)"
+    level = f"CAST(ceil((log2({extent} / {CELLS_ACROSS}) - ({FINEST_EXPONENT})) / 3) AS INT)"
+    upward = """transform(filter(_edges, e -> e.y1 <> e.y2), e -> named_struct(
+        'xa', CASE WHEN e.y1 < e.y2 THEN e.x1 ELSE e.x2 END, 'ya', least(e.y1, e.y2),
+        'xb', CASE WHEN e.y1 < e.y2 THEN e.x2 ELSE e.x1 END, 'yb', greatest(e.y1, e.y2),
+        'k', (e.x2 - e.x1) / (e.y2 - e.y1)))"""
+    leveled = parsed.selectExpr(
+        *keep, "_box", f"{upward} AS _lines", f"greatest(0, least({LEVELS - 1}, {level})) AS _level"
+    ).selectExpr("*", f"pow(2D, _level * 3 + ({FINEST_EXPONENT})) AS _size")
+    rows = leveled.selectExpr(
+        *keep, "_level", "_size", "_lines",
+        "explode(sequence(floor(_box.ymin / _size), floor(_box.ymax / _size))) AS _cy",
     )
-    return rows.withColumn(
-        "_lines",
-        F.filter(
-            "_lines",
-            lambda v: (v["ya"] < (F.col("_cy") + 1) * F.col("_size")) & (v["yb"] >= F.col("_cy") * F.col("_size")),
-        ),
+    return rows.selectExpr(
+        *keep, "_level", "_size", "_cy",
+        "filter(_lines, v -> v.ya < (_cy + 1) * _size AND v.yb >= _cy * _size) AS _lines",
     )
 
 
@@ -132,117 +106,67 @@ def polygon_strips(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFr
     A point is in a piece if it lies between the two edge lines and its height is
     above `_low` and below `_high`, or equal to `_low` where the piece is closed.
     """
-    low, high = F.col("_low"), F.col("_high")
-    bottom, top = F.col("_cy") * F.col("_size"), (F.col("_cy") + 1) * F.col("_size")
-
-    bands = _bands(polygons, wkt, keep)
-    heights = F.array_sort(
-        F.array_distinct(
-            F.transform(
-                F.concat(F.transform("_lines", lambda v: v["ya"]), F.transform("_lines", lambda v: v["yb"])),
-                lambda y: F.greatest(bottom, F.least(top, y)),
-            )
-        )
-    )
-    strips = bands.withColumn("_heights", heights).select(
-        *keep, "_level", "_size", "_cy", "_lines", F.inline(_steps(F.col("_heights")))
+    base = [*keep, "_level", "_size", "_cy"]
+    bands = _bands(polygons, wkt, keep).selectExpr(
+        *base, "_lines",
+        """array_sort(array_distinct(transform(concat(transform(_lines, v -> v.ya), transform(_lines, v -> v.yb)),
+           y -> greatest(_cy * _size, least((_cy + 1) * _size, y))))) AS _heights""",
     )
+    strips = bands.selectExpr(*base, "_lines", f"inline({_steps('_heights')})")
 
     # rings that cross themselves: cut the strip where two of its edges change places
-    through = strips.withColumn(
-        "_through",
-        F.transform(
-            F.filter("_lines", lambda v: (v["ya"] <= low) & (v["yb"] >= high)),
-            lambda v: record(x0=_x_at(v, low), x9=_x_at(v, high), line=v),
-        ),
-    )
-    swaps = F.flatten(
-        F.transform(
-            "_through",
-            lambda a: F.transform(
-                F.filter("_through", lambda b: (a["x0"] < b["x0"]) & (a["x9"] > b["x9"])),
-                lambda b: low + (high - low) * ((b["x0"] - a["x0"]) / ((b["x0"] - a["x0"]) + (a["x9"] - b["x9"]))),
-            ),
-        )
+    through = strips.selectExpr(
+        *base, "_lines", "_low", "_high",
+        f"""transform(filter(_lines, v -> v.ya <= _low AND v.yb >= _high), v -> named_struct(
+            'x0', {_x_at('v', '_low')}, 'x9', {_x_at('v', '_high')}, 'line', v)) AS _through""",
     )
-    cuts = F.array_sort(
-        F.array_distinct(F.concat(F.array(low, high), F.filter(swaps, lambda y: (y > low) & (y < high))))
-    )
-    strips = through.withColumn("_cuts", cuts).select(
-        *keep, "_level", "_size", "_cy", "_lines", F.transform("_through", lambda t: t["line"]).alias("_through"),
-        F.inline(_steps(F.col("_cuts"))),
+    cuts = through.selectExpr(
+        *base, "_lines", "_through",
+        """array_sort(array_distinct(concat(array(_low, _high), filter(
+             flatten(transform(_through, a -> transform(
+               filter(_through, b -> a.x0 < b.x0 AND a.x9 > b.x9),
+               b -> _low + (_high - _low) * ((b.x0 - a.x0) / ((b.x0 - a.x0) + (a.x9 - b.x9)))))),
+             y -> y > _low AND y < _high)))) AS _cuts""",
     )
+    strips = cuts.selectExpr(*base, "_lines", "_through", f"inline({_steps('_cuts')})")
 
     # edges through the strip, and edges that reach its lower border from below
-    across = F.array_sort(F.transform("_through", lambda v: record(x=_x_at(v, (low + high) / 2), line=v)))
-    under = F.array_sort(
-        F.transform(
-            F.filter("_lines", lambda v: (v["ya"] < low) & (v["yb"] >= low)),
-            lambda v: record(x=_x_at(v, low), turn=-v["k"], line=v),
-        )
+    sides = strips.selectExpr(
+        *base, "_low", "_high",
+        f"""array_sort(transform(_through, t -> named_struct(
+            'x', {_x_at('t.line', '((_low + _high) / 2)')}, 'line', t.line))) AS _across""",
+        f"""array_sort(transform(filter(_lines, v -> v.ya < _low AND v.yb >= _low), v -> named_struct(
+            'x', {_x_at('v', '_low')}, 'turn', -v.k, 'line', v))) AS _under""",
     )
-    sides = strips.select(*keep, "_level", "_size", "_cy", "_low", "_high", across.alias("_across"), under.alias("_under"))
-    pieces = sides.select(
-        *keep,
-        "_level",
-        "_size",
-        "_cy",
-        "_low",
-        "_high",
-        F.transform(
-            F.coalesce(_pairs(F.col("_under")), F.array()),
-            lambda p: record(start=_x_at(p["l"], low), end=_x_at(p["r"], low)),
-        ).alias("_under"),
-        F.inline(_pairs(F.col("_across"))),
+    at_low = "CASE WHEN _low = {e}.ya THEN {e}.xa WHEN _low = {e}.yb THEN {e}.xb ELSE {e}.xa + (_low - {e}.ya) * {e}.k END"
+    pieces = sides.selectExpr(
+        *base, "_low", "_high",
+        f"{_pairs('_under', at_low, at_low)} AS _under",
+        f"inline({_pairs('_across', '{e}', '{e}')})",
     )
-    edged = pieces.select(
-        "*", _x_at(F.col("l"), low).alias("_start"), _x_at(F.col("r"), low).alias("_end")
-    ).withColumn(
+    edged = pieces.selectExpr("*", f"{_x_at('l', '_low')} AS _start", f"{_x_at('r', '_low')} AS _end").selectExpr(
+        "*",
         # nothing of the boundary lies on the lower border of a closed piece
-        "_closed", F.exists("_under", lambda u: (u["start"] <= F.col("_start")) & (u["end"] >= F.col("_end")))
+        "coalesce(exists(_under, u -> u.l <= _start AND u.r >= _end), false) AS _closed",
     )
 
-    def piece(lo, hi, closed, lx, ly, lk, rx, ry, rk, x0, x9) -> Column:
-        return record(**dict(zip([*STRIP, "_x0", "_x9"], (lo, hi, closed, lx, ly, lk, rx, ry, rk, x0, x9))))
+    def piece(*values: str) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip([*STRIP, "_x0", "_x9"], values)) + ")"
 
-    line_l, line_r = F.col("l"), F.col("r")
     whole = piece(
-        low, high, F.col("_closed"),
-        line_l["xa"], line_l["ya"], line_l["k"], line_r["xa"], line_r["ya"], line_r["k"],
-        F.least(_x_at(line_l, low), _x_at(line_l, high)), F.greatest(_x_at(line_r, low), _x_at(line_r, high)),
+        "_low", "_high", "_closed", "l.xa", "l.ya", "l.k", "r.xa", "r.ya", "r.k",
+        f"least(_start, {_x_at('l', '_high')})", f"greatest(_end, {_x_at('r', '_high')})",
     )
     # what is inside on an open lower border: inside above and below it
-    zero = F.lit(0.0)
-    on_border = F.filter(
-        F.transform(
-            "_under",
-            lambda u: record(start=F.greatest(u["start"], F.col("_start")), end=F.least(u["end"], F.col("_end"))),
-        ),
-        lambda u: u["start"] < u["end"],
-    )
-    borders = F.when(
-        ~F.col("_closed"),
-        F.transform(
-            on_border,
-            lambda u: piece(low, low, F.lit(True), u["start"], low, zero, u["end"], low, zero, u["start"], u["end"]),
-        ),
-    )
-    placed = edged.select(
-        *keep, "_level", "_size", "_cy",
-        F.inline(F.concat(F.array(whole), F.coalesce(borders, F.array().cast(_struct_array())))),
+    on_border = """filter(transform(_under, u -> named_struct('l', greatest(u.l, _start), 'r', least(u.r, _end))),
+        u -> u.l < u.r)"""
+    border = piece("_low", "_low", "true", "u.l", "_low", "0D", "u.r", "_low", "0D", "u.l", "u.r")
+    borders = f"CASE WHEN _closed OR _under IS NULL THEN filter(array({whole}), p -> false) ELSE transform({on_border}, u -> {border}) END"
+    placed = edged.selectExpr(*base, f"inline(concat(array({whole}), {borders}))")
+    cells = placed.selectExpr(
+        *keep, "_level", "_cy", *STRIP, "explode(sequence(floor(_x0 / _size), floor(_x9 / _size))) AS _cx"
     )
-    cells = placed.select(
-        *keep, "_level", "_cy", *STRIP,
-        F.explode(
-            F.sequence(F.floor(F.col("_x0") / F.col("_size")), F.floor(F.col("_x9") / F.col("_size")))
-        ).alias("_cx"),
-    )
-    return cells.select(*keep, "_level", _cell_key(F.col("_level"), F.col("_cx"), F.col("_cy")).alias("_cell"), *STRIP)
-
-
-def _struct_array() -> str:
-    fields = ", ".join(f"{n}: {'boolean' if n == '_closed' else 'double'}" for n in [*STRIP, "_x0", "_x9"])
-    return f"array<struct<{fields}>>"
+    return cells.selectExpr(*keep, "_level", f"{_cell_sql('_level', '_cx', '_cy')} AS _cell", *STRIP)
 
 
 def _with_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) -> DataFrame:
@@ -252,12 +176,12 @@ def _with_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) ->
     into a null check on the key.
     """
 
-    def key(level: int) -> Column:
+    def key(level: int) -> str:
         size = 2.0 ** (3 * level + FINEST_EXPONENT)
-        return _cell_key(F.lit(level), F.floor(F.col(lon) / size), F.floor(F.col(lat) / size))
+        return _cell_sql(str(level), f"floor({lon} / {size!r}D)", f"floor({lat} / {size!r}D)")
 
-    keys = F.when(valid_point(F.col(lat), F.col(lon)), F.array(*[key(level) for level in levels]))
-    return points.withColumn("_cell", F.explode(keys))
+    keys = ", ".join(key(level) for level in levels)
+    return points.selectExpr("*", f"explode(CASE WHEN {valid_sql(lat, lon)} THEN array({keys}) END) AS _cell")
 
 
 def _salted(points: DataFrame, strips: DataFrame, hot_cell_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -297,12 +221,11 @@ def _measure(strips: DataFrame) -> tuple[list[int], int]:
 
 
 def _meet(points: DataFrame, strips: DataFrame, on: list[str], lon: str, lat: str) -> DataFrame:
-    x, y, low = F.col(lon), F.col(lat), F.col("_low")
-    at_height = ((y > low) & (y < F.col("_high"))) | (F.col("_closed") & (y == low))
-    between = (x > F.col("_lx") + (y - F.col("_ly")) * F.col("_lk")) & (
-        x < F.col("_rx") + (y - F.col("_ry")) * F.col("_rk")
+    inside = (
+        f"(({lat} > _low AND {lat} < _high) OR (_closed AND {lat} = _low)) "
+        f"AND {lon} > _lx + ({lat} - _ly) * _lk AND {lon} < _rx + ({lat} - _ry) * _rk"
     )
-    return points.join(strips.drop("_level"), on).where(at_height & between).drop(*on, *STRIP)
+    return points.join(strips.drop("_level"), on).where(inside).drop(*on, *STRIP)
 
 
 def points_in_polygons(

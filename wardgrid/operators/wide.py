@@ -23,8 +23,7 @@ def header_rows(responses: DataFrame, columns: Sequence[str], text: str = "value
         F.col("_t")[0].alias("_header"),
         F.explode(F.slice("_t", F.lit(2), F.greatest(F.size("_t") - 1, F.lit(0)))).alias("_row"),
     )
-    at = [F.get("_row", F.array_position("_header", name).cast("int") - 1).alias(name) for name in columns]
-    return rows.select(*at)
+    return rows.selectExpr(*[f"get(_row, CAST(array_position(_header, '{name}') AS INT) - 1) AS {name}" for name in columns])
 
 
 def in_counties(rows: DataFrame, state: str = STATE, counties: Sequence[str] = COUNTIES) -> DataFrame:
@@ -33,10 +32,11 @@ def in_counties(rows: DataFrame, state: str = STATE, counties: Sequence[str] = C
 
 def curated(rows: DataFrame, measures: Mapping[str, str] = MEASURES) -> DataFrame:
     """`geoid` and the renamed measures as DOUBLE, missing-value codes as NULL."""
-    return rows.select(
+    numbers = rows.select(
         geoid(F.col("state"), F.col("county"), F.col("tract")).alias("geoid"),
-        *[sentinel_to_null(safe_double(F.col(code))).alias(name) for code, name in measures.items()],
+        *[safe_double(code).alias(name) for code, name in measures.items()],
     )
+    return numbers.select("geoid", *[sentinel_to_null(name).alias(name) for name in measures.values()])
 
 
 def suffixed(df: DataFrame, suffix: object, key: str = "geoid") -> DataFrame:
@@ -52,13 +52,13 @@ def merge_vintages(vintages: Mapping[object, DataFrame], key: str = "geoid") ->
 
 def as_stored_text(df: DataFrame, key: str = "geoid") -> DataFrame:
     """The stored form: doubles as plain text, `85000.0`."""
-    return df.select(*[F.col(c) if c == key else number_text(F.col(c)).alias(c) for c in df.columns])
+    return df.select(*[F.col(c) if c == key else number_text(c).alias(c) for c in df.columns])
 
 
 def demographic_rates(df: DataFrame, vintage: int) -> DataFrame:
     """Rates from the counts of one vintage of the stored table."""
     def m(name: str):
-        return safe_double(F.col(f"{name}_{vintage}"))
+        return safe_double(f"{name}_{vintage}")
 
     degrees = m("edu_bachelors") + m("edu_masters") + m("edu_professional") + m("edu_doctorate")
     limited = (

@@ -393,7 +393,7 @@ def text_records(t: Tables) -> DataFrame:
         "channel",
         "tags",
         (F.col("latitude") == "").alias("blank_latitude"),
-        clean.safe_double(F.col("location_latitude")).alias("hoisted_latitude"),
+        clean.safe_double("location_latitude").alias("hoisted_latitude"),
         F.lit(len(rows.columns)).alias("n_columns"),
     )
     return rounded(shown, 6, "hoisted_latitude")
@@ -442,8 +442,8 @@ def stringified(t: Tables) -> DataFrame:
     text = normalise.stringify_all(typed)
     return text.select(
         "o_orderkey", "o_custkey", "keys",
-        clean.safe_double(F.col("price")).alias("price"),
-        clean.safe_double(F.col("at_latitude")).alias("at_latitude"),
+        clean.safe_double("price").alias("price"),
+        clean.safe_double("at_latitude").alias("at_latitude"),
         F.lit(len(text.columns)).alias("n_columns"),
     )
 
@@ -457,7 +457,7 @@ def safe_double(t: Tables) -> DataFrame:
         e.value.cast("string"),
         F.element_at(F.array(*[F.lit(p) for p in ("", "  ", "d", "e2", " ", "%", "")]), (e.event_id % 7 + 1).cast("int")),
     )
-    return e.select("event_id", F.round(clean.safe_double(text), 6).alias("number"))
+    return e.select("event_id", text.alias("v")).select("event_id", F.round(clean.safe_double("v"), 6).alias("number"))
 
 
 @query
@@ -468,7 +468,7 @@ def safe_timestamp(t: Tables) -> DataFrame:
     forms = [iso, F.concat(iso, F.lit("Z")), F.substring(iso, 1, 7), F.substring(iso, 1, 10), F.lit(""), F.lit("soon"),
              F.concat(F.lit("  "), iso, F.lit(".250 ")), F.concat(iso, F.lit("+05:00"))]
     text = F.element_at(F.array(*forms), (e.event_id % 8 + 1).cast("int"))
-    return e.select("event_id", clean.safe_timestamp(text).alias("moment"))
+    return e.select("event_id", text.alias("v")).select("event_id", clean.safe_timestamp("v").alias("moment"))
 
 
 @query
@@ -512,7 +512,7 @@ def outer_merged_vintages(t: Tables) -> DataFrame:
     return stored.select(
         "geoid",
         *[
-            clean.safe_bigint(F.col(f"{m}_{v}")).alias(f"{m}_{v}")
+            clean.safe_bigint(f"{m}_{v}").alias(f"{m}_{v}")
             for v in RESPONSE_YEARS
             for m in ("total_pop", "median_household_income", "median_gross_rent")
         ],
@@ -523,7 +523,7 @@ def outer_merged_vintages(t: Tables) -> DataFrame:
 def stored_number_text(t: Tables) -> DataFrame:
     """Doubles as plain text: no exponent, and a point in every number."""
     p = t.raw("orders").select("o_orderkey", (F.col("o_totalprice") * F.col("o_orderkey")).alias("v"))
-    text = p.select("o_orderkey", "v", clean.number_text(F.col("v")).alias("s"))
+    text = p.select("o_orderkey", "v", clean.number_text("v").alias("s"))
     return text.select(
         "o_orderkey", (~F.col("s").contains("E") & F.col("s").contains(".")).alias("plain"),
         F.round(F.col("s").cast("double"), 2).alias("read_back"),
@@ -534,7 +534,7 @@ def stored_number_text(t: Tables) -> DataFrame:
 def vintage_delta(t: Tables) -> DataFrame:
     """The change of one measure for every key with both vintages."""
     both = t.demographics.select(
-        "geoid", *[clean.safe_bigint(F.col(f"total_pop_{v}")).alias(f"pop_{v}") for v in RESPONSE_YEARS]
+        "geoid", *[clean.safe_bigint(f"total_pop_{v}").alias(f"pop_{v}") for v in RESPONSE_YEARS]
     ).where(F.col("pop_2018").isNotNull() & F.col("pop_2023").isNotNull())
     return relational.difference(both, "pop_2023", "pop_2018")
 
@@ -552,8 +552,8 @@ def demographic_rates(t: Tables) -> DataFrame:
 def _places(t: Tables) -> DataFrame:
     return clean.computed_once(
         t.collisions.select("collision_id", "year", "month", "latitude", "longitude"),
-        lat=clean.safe_double(F.col("latitude")),
-        lon=clean.safe_double(F.col("longitude")),
+        lat=clean.safe_double("latitude"),
+        lon=clean.safe_double("longitude"),
     ).drop("latitude", "longitude")
 
 
@@ -638,7 +638,7 @@ def zone_lookup(t: Tables) -> DataFrame:
 def tract_crash_rates(t: Tables) -> DataFrame:
     """Counts joined to two tables by key, as a rate, for every tract with residents."""
     counts = points_per_polygon(_places(t), t.tracts, ["geoid"], "lon", "lat", count="crashes")
-    residents = t.demographics.select("geoid", clean.safe_bigint(F.col("total_pop_2023")).alias("pop"))
+    residents = t.demographics.select("geoid", clean.safe_bigint("total_pop_2023").alias("pop"))
     named = counts.join(residents, "geoid").join(t.tracts.select("geoid", "ntaname"), "geoid")
     rate = clean.per_thousand(F.col("crashes"), F.col("pop"))
     return named.select("geoid", "ntaname", "crashes", "pop", F.round(rate, 6).alias("crashes_per_1k"))

@@ -23,7 +23,7 @@ def rows_per_year(table: DataFrame) -> DataFrame:
 def _crash_points(collisions: DataFrame, year: str) -> DataFrame:
     """`lat` and `lon` as numbers, each text cast once whatever is filtered later."""
     rows = collisions.where(F.col("year") == year)
-    numbers = computed_once(rows, lat=safe_double(F.col("latitude")), lon=safe_double(F.col("longitude")))
+    numbers = computed_once(rows, lat=safe_double("latitude"), lon=safe_double("longitude"))
     return numbers.select("lat", "lon")
 
 
@@ -83,7 +83,7 @@ def zone_tract_crosswalk(zones: DataFrame, tracts: DataFrame) -> DataFrame:
 
 def measure_summary(demographics: DataFrame, measure: str = "median_household_income_2023") -> DataFrame:
     """Least, greatest and approximate median value of a stored measure."""
-    values = demographics.select(safe_bigint(F.col(measure)).alias("v"))
+    values = demographics.select(safe_bigint(measure).alias("v"))
     return values.agg(
         F.min("v").alias("min_income"),
         F.max("v").alias("max_income"),
@@ -97,8 +97,8 @@ def top_income_change(demographics: DataFrame, tracts: DataFrame, earlier: int =
     before, after = f"inc_{earlier}", f"inc_{later}"
     incomes = demographics.select(
         "geoid",
-        safe_bigint(F.col(f"median_household_income_{earlier}")).alias(before),
-        safe_bigint(F.col(f"median_household_income_{later}")).alias(after),
+        safe_bigint(f"median_household_income_{earlier}").alias(before),
+        safe_bigint(f"median_household_income_{later}").alias(after),
     ).where(F.col(before).isNotNull() & F.col(after).isNotNull())
     named = incomes.join(tracts.select("geoid", "ntaname", "boroname"), "geoid")
     changes = named.select(
@@ -111,7 +111,7 @@ def crashes_per_1k(collisions: DataFrame, tracts: DataFrame, demographics: DataF
                    vintage: int = 2023, least_population: int = 100, k: int = 20) -> DataFrame:
     """Crashes per 1,000 residents, without near-empty tracts."""
     counts = _crashes_by_tract(collisions, tracts, year)
-    residents = demographics.select("geoid", safe_bigint(F.col(f"total_pop_{vintage}")).alias("pop")).where(
+    residents = demographics.select("geoid", safe_bigint(f"total_pop_{vintage}").alias("pop")).where(
         F.col("pop") > least_population
     )
     named = counts.join(residents, "geoid").join(tracts.select("geoid", "ntaname"), "geoid")
@@ -122,5 +122,5 @@ def crashes_per_1k(collisions: DataFrame, tracts: DataFrame, demographics: DataF
 
 
 def fatal_collisions(collisions: DataFrame, year: str = "2024", at_least: int = 1) -> DataFrame:
-    killed = safe_bigint(F.col("number_of_persons_killed")).cast("int")
+    killed = safe_bigint("number_of_persons_killed").cast("int")
     return collisions.where((F.col("year") == year) & (killed >= at_least))
