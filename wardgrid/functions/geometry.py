@@ -7,9 +7,12 @@ can be pooled, so containment needs only the edges.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardgrid.functions.clean import record
 from wardgrid.functions.projection import state_plane_to_lonlat
 
 PART_BREAK = r"\)\s*\)\s*,\s*\(\s*\("
@@ -17,12 +20,14 @@ RING_BODY = r"[-+.0-9][^()]*"
 POLYGON_TEXT = r"(?i)^\s*(multi)?polygon\b"
 
 
+def bound(value: Column, build: Callable[[Column], Column]) -> Column:
+    """`build(value)` with `value` evaluated once, however often `build` refers to it."""
+    return F.transform(F.array(value), build)[0]
+
+
 def _vertex(text: Column) -> Column:
     numbers = F.split(F.trim(text), r"\s+")
-    return F.struct(
-        F.get(numbers, F.lit(0)).try_cast("double").alias("x"),
-        F.get(numbers, F.lit(1)).try_cast("double").alias("y"),
-    )
+    return record(x=F.get(numbers, F.lit(0)).try_cast("double"), y=F.get(numbers, F.lit(1)).try_cast("double"))
 
 
 def parse_rings(wkt: Column) -> Column:
@@ -36,9 +41,7 @@ def parse_rings(wkt: Column) -> Column:
             parts,
             lambda part: F.transform(
                 F.regexp_extract_all(part, F.lit(RING_BODY), F.lit(0)),
-                lambda body, i: F.struct(
-                    (i > 0).alias("hole"), F.transform(F.split(body, ","), _vertex).alias("pts")
-                ),
+                lambda body, i: record(hole=i > 0, pts=F.transform(F.split(body, ","), _vertex)),
             ),
         )
     )
@@ -51,9 +54,7 @@ def ring_edges(pts: Column) -> Column:
     paired = F.zip_with(
         pts,
         ahead,
-        lambda a, b: F.struct(
-            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-        ),
+        lambda a, b: record(x1=a["x"], y1=a["y"], x2=b["x"], y2=b["y"]),
     )
     return F.slice(paired, F.lit(1), F.greatest(F.size(pts) - 1, F.lit(0)))
 
@@ -67,12 +68,7 @@ def polygon_box(rings: Column) -> Column:
     """`struct<xmin,ymin,xmax,ymax>`."""
     xs = F.flatten(F.transform(rings, lambda ring: ring["pts"]["x"]))
     ys = F.flatten(F.transform(rings, lambda ring: ring["pts"]["y"]))
-    return F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
-    )
+    return record(xmin=F.array_min(xs), ymin=F.array_min(ys), xmax=F.array_max(xs), ymax=F.array_max(ys))
 
 
 def polygon_moments(rings: Column) -> Column:
@@ -81,45 +77,34 @@ def polygon_moments(rings: Column) -> Column:
     Sums run on offsets from the first vertex, so that coordinates far from
     zero keep their precision. A polygon without area has no centroid.
     """
+    return bound(rings, _moments)
+
+
+def _moments(rings: Column) -> Column:
     origin = rings[0]["pts"][0]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+    zero = record(a=F.lit(0.0), mx=F.lit(0.0), my=F.lit(0.0))
+
+    def add(acc: Column, e: Column) -> Column:
+        x1, y1 = e["x1"] - origin["x"], e["y1"] - origin["y"]
+        x2, y2 = e["x2"] - origin["x"], e["y2"] - origin["y"]
+        cross = x1 * y2 - x2 * y1
+        return record(
+            a=acc["a"] + cross / 2, mx=acc["mx"] + (x1 + x2) * cross / 6, my=acc["my"] + (y1 + y2) * cross / 6
+        )
 
     def ring_sums(ring: Column) -> Column:
-        def add(acc: Column, e: Column) -> Column:
-            x1, y1 = e["x1"] - origin["x"], e["y1"] - origin["y"]
-            x2, y2 = e["x2"] - origin["x"], e["y2"] - origin["y"]
-            cross = x1 * y2 - x2 * y1
-            return F.struct(
-                (acc["a"] + cross / 2).alias("a"),
-                (acc["mx"] + (x1 + x2) * cross / 6).alias("mx"),
-                (acc["my"] + (y1 + y2) * cross / 6).alias("my"),
-            )
-
-        return F.aggregate(ring_edges(ring["pts"]), zero, add)
-
-    def signed(ring: Column) -> Column:
-        sums = F.struct(ring["hole"].alias("hole"), ring_sums(ring).alias("s"))
-        return sums
+        return record(hole=ring["hole"], s=F.aggregate(ring_edges(ring["pts"]), zero, add))
 
     def fold(acc: Column, ring: Column) -> Column:
         side = F.when(ring["s"]["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
         weight = F.when(ring["hole"], -side).otherwise(side)
-        return F.struct(
-            (acc["a"] + weight * ring["s"]["a"]).alias("a"),
-            (acc["mx"] + weight * ring["s"]["mx"]).alias("mx"),
-            (acc["my"] + weight * ring["s"]["my"]).alias("my"),
-        )
+        return record(**{part: acc[part] + weight * ring["s"][part] for part in ("a", "mx", "my")})
 
-    return F.aggregate(
-        F.transform(rings, signed),
-        zero,
-        fold,
-        lambda acc: F.struct(
-            acc["a"].alias("area"),
-            (origin["x"] + acc["mx"] / F.nullif(acc["a"], F.lit(0.0))).alias("cx"),
-            (origin["y"] + acc["my"] / F.nullif(acc["a"], F.lit(0.0))).alias("cy"),
-        ),
-    )
+    def finish(acc: Column) -> Column:
+        total = F.nullif(acc["a"], F.lit(0.0))
+        return record(area=acc["a"], cx=origin["x"] + acc["mx"] / total, cy=origin["y"] + acc["my"] / total)
+
+    return F.aggregate(F.transform(rings, ring_sums), zero, fold, finish)
 
 
 def area(wkt: Column) -> Column:
@@ -174,20 +159,20 @@ def wkt_from_rings(rings: Column) -> Column:
     )
     # outer rings start a part, holes continue it
     parts = F.split(F.substring(F.array_join(texts, ""), 2, 1 << 30), r"\|")
-    bodies = F.transform(parts, lambda part: F.concat(F.lit("("), part, F.lit(")")))
-    return F.when(F.size(bodies) == 1, F.concat(F.lit("POLYGON "), bodies[0])).otherwise(
-        F.concat(F.lit("MULTIPOLYGON ("), F.array_join(bodies, ", "), F.lit(")"))
-    )
+
+    def join(bodies: Column) -> Column:
+        return F.when(F.size(bodies) == 1, F.concat(F.lit("POLYGON "), bodies[0])).otherwise(
+            F.concat(F.lit("MULTIPOLYGON ("), F.array_join(bodies, ", "), F.lit(")"))
+        )
+
+    return bound(F.transform(parts, lambda part: F.concat(F.lit("("), part, F.lit(")"))), join)
 
 
 def map_vertices(rings: Column, move) -> Column:
     """The same rings with each vertex replaced by `move(x, y)`, a `struct<x,y>`."""
     return F.transform(
         rings,
-        lambda ring: F.struct(
-            ring["hole"].alias("hole"),
-            F.transform(ring["pts"], lambda p: move(p["x"], p["y"])).alias("pts"),
-        ),
+        lambda ring: record(hole=ring["hole"], pts=F.transform(ring["pts"], lambda p: move(p["x"], p["y"]))),
     )
 
 

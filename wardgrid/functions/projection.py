@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardgrid.functions.clean import record
+
 # EPSG:2263 parameters and the GRS80 ellipsoid.
 PARALLEL_1 = math.radians(41 + 2 / 60)
 PARALLEL_2 = math.radians(40 + 40 / 60)
@@ -45,18 +47,21 @@ def state_plane_to_lonlat(x: Column, y: Column) -> Column:
     east = (x - F.lit(FALSE_EASTING_FT)) * F.lit(FOOT)
     north = F.lit(RHO_ORIGIN) - y * F.lit(FOOT)
     rho = F.sqrt(east * east + north * north)
-    t = F.pow(rho / F.lit(SEMI_MAJOR * SCALE), F.lit(1 / CONE))
     lon = F.degrees(F.atan2(east, north) / F.lit(CONE)) + F.lit(math.degrees(ORIGIN_LON))
 
-    def step(phi: Column) -> Column:
-        wave = F.lit(ECC) * F.sin(phi)
-        bent = t * F.pow((F.lit(1.0) - wave) / (F.lit(1.0) + wave), F.lit(ECC / 2))
-        return F.lit(math.pi / 2) - F.lit(2.0) * F.atan(bent)
+    def latitude(t: Column) -> Column:
+        def step(phi: Column) -> Column:
+            wave = F.lit(ECC) * F.sin(phi)
+            bent = t * F.pow((F.lit(1.0) - wave) / (F.lit(1.0) + wave), F.lit(ECC / 2))
+            return F.lit(math.pi / 2) - F.lit(2.0) * F.atan(bent)
 
-    start = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
-    # a fold, because nesting the step five deep would double the expression each time
-    phi = F.aggregate(F.sequence(F.lit(1), F.lit(LATITUDE_STEPS)), start, lambda acc, _: step(acc))
-    return F.struct(lon.alias("x"), F.degrees(phi).alias("y"))
+        start = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
+        # a fold, because nesting the step five deep would double the expression each time
+        return F.aggregate(F.sequence(F.lit(1), F.lit(LATITUDE_STEPS)), start, lambda phi, _: step(phi))
+
+    # t through a one-element array, so that the steps share one value of it
+    t = F.pow(rho / F.lit(SEMI_MAJOR * SCALE), F.lit(1 / CONE))
+    return record(x=lon, y=F.degrees(F.transform(F.array(t), latitude)[0]))
 
 
 def lonlat_to_state_plane(lon: Column, lat: Column) -> Column:
@@ -68,7 +73,7 @@ def lonlat_to_state_plane(lon: Column, lat: Column) -> Column:
     )
     rho = F.lit(SEMI_MAJOR * SCALE) * F.pow(t, F.lit(CONE))
     theta = F.lit(CONE) * (F.radians(lon) - F.lit(ORIGIN_LON))
-    return F.struct(
-        (rho * F.sin(theta) / F.lit(FOOT) + F.lit(FALSE_EASTING_FT)).alias("x"),
-        ((F.lit(RHO_ORIGIN) - rho * F.cos(theta)) / F.lit(FOOT)).alias("y"),
+    return record(
+        x=rho * F.sin(theta) / F.lit(FOOT) + F.lit(FALSE_EASTING_FT),
+        y=(F.lit(RHO_ORIGIN) - rho * F.cos(theta)) / F.lit(FOOT),
     )

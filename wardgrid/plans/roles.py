@@ -20,8 +20,8 @@ from wardgrid.operators.wide import as_stored_text, curated, header_rows, in_cou
 from wardgrid.schemas import COUNTIES, MEASURES, Dataset, Resource
 
 WEST, SOUTH, WIDTH, HEIGHT = -74.3, 40.4, 0.7, 0.6
-# slightly less than the box, so that no area ends in a digit that rounds either way
-TRACT_WIDTH, TRACT_HEIGHT = 0.6931, 0.5987
+# slightly less than the box, and no short fraction of it: no result ends in a digit that rounds either way
+TRACT_WIDTH, TRACT_HEIGHT = WIDTH - 1 / 313, HEIGHT - 1 / 777
 HOT_LON, HOT_LAT = -73.9871, 40.7557
 
 
