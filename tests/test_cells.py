@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wardgrid.functions.cells import add_cells, edge_length, h3_available, hex_axial, hex_center
+from wardgrid.functions.cells import add_cells, edge_length, h3_available, hex_center, with_hex_axial
 
 
 def points(spark, n=20000):
@@ -15,7 +15,7 @@ def points(spark, n=20000):
 
 @pytest.mark.parametrize("resolution", [8, 9, 10])
 def test_the_cell_has_the_nearest_centre(spark, resolution):
-    df = points(spark).withColumn("c", hex_axial("lon", "lat", resolution))
+    df = with_hex_axial(points(spark), "lon", "lat", resolution, "c")
 
     def distance(dq, dr):
         x, y = hex_center(F.col("c.q") + dq, F.col("c.r") + dr, resolution)

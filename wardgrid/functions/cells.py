@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.clean import valid_sql
+from wardgrid.functions.clean import computed_once, record, valid_sql
 from wardgrid.schemas import RESOLUTIONS
 
 # Fixed value: hexagon edge at resolution 0, in degrees.
@@ -27,24 +27,40 @@ def edge_length(resolution: int) -> float:
     return EDGE_AT_ZERO / math.pow(7.0, resolution / 2.0)
 
 
-def _axial_sql(lon: str, lat: str, resolution: int) -> tuple[str, str]:
+def _rounded(lon: str, lat: str, resolution: int) -> dict[str, Column]:
+    """The three rounded cube coordinates and how far each was moved."""
     edge = edge_length(resolution)
     fq = f"({math.sqrt(3.0) / 3.0 / edge!r}D * {lon} - {1.0 / 3.0 / edge!r}D * {lat})"
     fr = f"({2.0 / 3.0 / edge!r}D * {lat})"
+    fs = f"(-{fq} - {fr})"
     # floor(v + 0.5) rounds inside generated code, round() would go through BigDecimal
-    q, r, s = f"floor({fq} + 0.5D)", f"floor({fr} + 0.5D)", f"floor(-{fq} - {fr} + 0.5D)"
-    dq, dr, ds = f"abs({q} - {fq})", f"abs({r} - {fr})", f"abs({s} + {fq} + {fr})"
-    q_is_worst = f"{dq} > {dr} AND {dq} > {ds}"
+    axes = {"q": fq, "r": fr, "s": fs}
+    return {f"{n}{resolution}": F.expr(f"floor({v} + 0.5D)") for n, v in axes.items()} | {
+        f"d{n}{resolution}": F.expr(f"abs(floor({v} + 0.5D) - {v})") for n, v in axes.items()
+    }
+
+
+def _axial_sql(resolution: int) -> tuple[str, str]:
+    """The coordinate that was moved most follows from the other two."""
+    q, r, s, dq, dr, ds = (f"_hex.{n}{resolution}" for n in ("q", "r", "s", "dq", "dr", "ds"))
     return (
-        f"CASE WHEN {q_is_worst} THEN -{r} - {s} ELSE {q} END",
-        f"CASE WHEN NOT ({q_is_worst}) AND {dr} > {ds} THEN -{q} - {s} ELSE {r} END",
+        f"CASE WHEN {dq} > {dr} AND {dq} > {ds} THEN -{r} - {s} ELSE {q} END",
+        f"CASE WHEN NOT ({dq} > {dr} AND {dq} > {ds}) AND {dr} > {ds} THEN -{q} - {s} ELSE {r} END",
     )
 
 
-def hex_axial(lon: str, lat: str, resolution: int) -> Column:
-    """`struct<q,r>` of the hexagon that holds the point, by cube rounding."""
-    q, r = _axial_sql(lon, lat, resolution)
-    return F.expr(f"named_struct('q', {q}, 'r', {r})")
+def _with_rounded(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int]) -> DataFrame:
+    parts: dict[str, Column] = {}
+    for resolution in resolutions:
+        parts |= _rounded(lon, lat, resolution)
+    return computed_once(df, _hex=record(**parts))
+
+
+def with_hex_axial(df: DataFrame, lon: str, lat: str, resolution: int, name: str) -> DataFrame:
+    """Add `struct<q,r>` of the hexagon that holds the point, by cube rounding."""
+    q, r = _axial_sql(resolution)
+    rounded = _with_rounded(df, lon, lat, [resolution])
+    return rounded.withColumn(name, F.expr(f"named_struct('q', {q}, 'r', {r})")).drop("_hex")
 
 
 def hex_center(q: Column, r: Column, resolution: int) -> tuple[Column, Column]:
@@ -53,10 +69,15 @@ def hex_center(q: Column, r: Column, resolution: int) -> tuple[Column, Column]:
     return F.lit(edge * math.sqrt(3.0)) * (q + r / F.lit(2.0)), F.lit(edge * 1.5) * r
 
 
-def hex_cell(lon: str, lat: str, resolution: int) -> Column:
-    """The key `resolution:q:r`; NULL unless the point is valid."""
-    q, r = _axial_sql(lon, lat, resolution)
-    return F.expr(f"CASE WHEN {valid_sql(lat, lon)} THEN concat_ws(':', '{resolution}', {q}, {r}) END")
+def _with_hex_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int]) -> DataFrame:
+    """Add the keys `resolution:q:r`; NULL unless the point is valid."""
+    keys = {}
+    for resolution in resolutions:
+        q, r = _axial_sql(resolution)
+        keys[f"hex_r{resolution}"] = F.expr(
+            f"CASE WHEN {valid_sql(lat, lon)} THEN concat_ws(':', '{resolution}', {q}, {r}) END"
+        )
+    return _with_rounded(df, lon, lat, resolutions).withColumns(keys).drop("_hex")
 
 
 def _h3_cell(resolution: int):
@@ -85,11 +106,9 @@ def add_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int] = RE
               backend: str = "hex") -> DataFrame:
     """Add one cell column per resolution; all are NULL where the point is not valid."""
     if backend == "hex":
-        keys = {f"hex_r{r}": hex_cell(lon, lat, r) for r in resolutions}
-    elif backend == "h3":
-        if not h3_available():
-            raise ValueError("backend 'h3' needs the h3 package; use 'hex'")
-        keys = {f"h3_r{r}": _h3_cell(r)(F.col(lon), F.col(lat)) for r in resolutions}
-    else:
+        return _with_hex_cells(df, lon, lat, resolutions)
+    if backend != "h3":
         raise ValueError(f"unknown cell backend {backend!r}")
-    return df.withColumns(keys)
+    if not h3_available():
+        raise ValueError("backend 'h3' needs the h3 package; use 'hex'")
+    return df.withColumns({f"h3_r{r}": _h3_cell(r)(F.col(lon), F.col(lat)) for r in resolutions})

@@ -71,7 +71,9 @@ def lower_case_names(df: DataFrame) -> DataFrame:
 
 def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     """One `record` VARIANT per JSON object; a malformed line fails the job."""
-    return lines.where(F.length(F.trim(F.col(column))) > 0).select(F.parse_json(F.col(column)).alias("record"))
+    filled = lines.where(F.length(F.trim(F.col(column))) > 0)
+    # once: a later filter on a field must not parse the line again
+    return computed_once(filled, record=F.parse_json(F.col(column))).select("record")
 
 
 def landed_keys(records: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def with_partition_keys(df: DataFrame, date_column: str) -> DataFrame:
     """Add text columns `year` and `month` from a timestamp or ISO text column."""
     is_text = dict(df.dtypes)[date_column] == "string"
     moment = safe_timestamp(f"`{date_column}`") if is_text else F.col(date_column)
-    return df.withColumn("_at", moment).withColumns(
+    return computed_once(df, _at=moment).withColumns(
         {"year": year_key(F.col("_at")), "month": month_key(F.col("_at"))}
     ).drop("_at")
 

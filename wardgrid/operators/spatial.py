@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from wardgrid.functions.clean import computed_once, valid_sql
 from wardgrid.functions.geometry import parse_rings, polygon_box, polygon_edges, polygon_moments
+from wardgrid.session import shared_folder
 
 LEVELS = 10
 FINEST_EXPONENT = -18
@@ -36,6 +37,8 @@ CELLS_ACROSS = 8
 BROADCAST_BYTES = 256 << 20
 ROW_BYTES = 160
 
+SPREAD = 256
+
 HOT_CELLS = 4096
 HOT_CELL_ROWS = 2_000_000
 MAX_COPIES = 16384
@@ -76,8 +79,9 @@ def _steps(heights: str) -> str:
 
 def _bands(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
     """One row per polygon and grid row, with the sloped edges that reach into it."""
-    # parsing costs time rather than bytes, so a table of one file is spread first
-    spread = polygons.select(*keep, wkt).repartition(*keep)
+    # cutting costs time rather than bytes: spread the polygons evenly, whatever their keys
+    tasks = min(polygons.sparkSession.sparkContext.defaultParallelism, SPREAD)
+    spread = polygons.select(*keep, wkt).repartition(tasks)
     parsed = spread.select(*keep, parse_rings(F.col(wkt)).alias("_rings")).select(
         *keep, polygon_edges(F.col("_rings")).alias("_edges"), polygon_box(F.col("_rings")).alias("_box")
     )
@@ -214,10 +218,17 @@ def _salted(points: DataFrame, strips: DataFrame, hot_cell_rows: int) -> tuple[D
     )
 
 
-def _measure(strips: DataFrame) -> tuple[list[int], int]:
-    """Grid levels in use and the estimated bytes of the strips."""
+def _fixed_strips(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> tuple[DataFrame, list[int], int]:
+    """The strips, the grid levels in use and the estimated bytes.
+
+    Checkpointed, so that they are built once and what was measured is what is joined.
+    """
+    context = polygons.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(polygons.sparkSession, "checkpoints"))
+    strips = polygon_strips(polygons, wkt, keep).checkpoint()
     sizes = strips.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()
-    return sorted(row["_level"] for row in sizes), sum(row["n"] for row in sizes) * ROW_BYTES
+    return strips, sorted(row["_level"] for row in sizes), sum(row["n"] for row in sizes) * ROW_BYTES
 
 
 def _meet(points: DataFrame, strips: DataFrame, on: list[str], lon: str, lat: str) -> DataFrame:
@@ -247,8 +258,7 @@ def points_in_polygons(
     clash = set(points.columns) & set(keep)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    strips = polygon_strips(polygons, wkt, keep)
-    levels, size = _measure(strips)
+    strips, levels, size = _fixed_strips(polygons, wkt, keep)
     if not levels:
         return points.join(polygons.select(*keep), F.lit(False))
     placed = _with_cells(points, lon, lat, levels)
@@ -275,8 +285,7 @@ def points_per_polygon(
     Beyond the limit equal coordinates are counted first, so a place that holds
     a third of all points is one row by the time it reaches the join.
     """
-    strips = polygon_strips(polygons, wkt, keep)
-    levels, size = _measure(strips)
+    strips, levels, size = _fixed_strips(polygons, wkt, keep)
     if not levels:
         return polygons.select(*keep).where(F.lit(False)).withColumn(count, F.lit(0).cast("bigint"))
     places = points.select(F.col(lon).alias("_x"), F.col(lat).alias("_y"))

@@ -16,7 +16,7 @@ from wardgrid.operators.spatial import centroids, points_in_polygons, points_per
 from wardgrid.plans import loads, reports
 from wardgrid.plans.roles import REQUESTS_DATASET, RESPONSE_YEARS, WEST, WIDTH, X_BREAKS, Tables
 from wardgrid.schemas import DATASETS, MEASURES, PAGE_ROWS, RESOLUTIONS, ridership_schema, text_schema, with_partitions
-from wardgrid.session import shared_folder
+from wardgrid.session import apply_settings, shared_folder
 from wardgrid.sources import catalog, landing, ledger, sinks, tables
 from wardgrid.sources.calendar import calendar_of
 from wardgrid.streaming.ingest import read_streamed, stream_months
@@ -46,7 +46,7 @@ def query(build: Callable[[Tables], DataFrame]) -> Query:
     """Register `build` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Tables(spark, sf_dir))
+        return build(Tables(apply_settings(spark), sf_dir))
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run

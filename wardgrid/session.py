@@ -22,6 +22,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM never compiles a method over 8000 bytes of code: past that a stage of
+    # smaller, compiled projections beats one large interpreted method by far
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_roots: dict[str, str] = {}
@@ -38,6 +41,13 @@ def build_session(app_name: str = "wardgrid", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """`SETTINGS` for a session that was built elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under `spark.checkpoint.dir`, which all executors can reach.
 
