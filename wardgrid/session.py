@@ -57,7 +57,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_roots.setdefault(context.applicationId, "")
         if not root:
