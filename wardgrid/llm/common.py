@@ -11,7 +11,14 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+# rows go to Python in batches of this size: texts are long, and a batch is held several times over
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table of the test data; sets the session's `BATCH`."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     frame = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return frame.select(*columns) if columns else frame
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, fingerprints, sentencepieces
+from wardgrid.llm import common, fingerprints, langid, sentencepieces, sharding
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -28,6 +28,22 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SHARDS = 40
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of nearly equal bytes; equal texts stay together."""
+    docs, _ = sharding.shard(common.table(spark, sf_dir, "documents", "doc_id", "text"), SHARDS)
+    return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.with_edits(common.table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -35,6 +51,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_sharding": op4_sharding,
+    "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }
 

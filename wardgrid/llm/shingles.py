@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACES = b" \t\n\x0b\x0c\r"
-AT_ONCE = 2 << 20
+AT_ONCE = 256 << 10
 _random = np.random.default_rng(20240229)
 _VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
