@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, fingerprints, langid, sentencepieces, sharding
+from wardgrid.llm import common, decontamination, fingerprints, langid, sentencepieces, sharding, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -37,6 +37,55 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document, and which documents are contaminated."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    items = common.table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontamination.decide(docs, items).select("doc_id", *decontamination.RESULT)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives as request, response or revisit, and metadata records; read back."""
+    path = warc.archive(common.table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    captures = warc.assemble(warc.read(spark, path, keep_payload=False))
+    return captures.select(
+        "page_id",
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to_page").alias("refers_to"),
+        F.col("request.target").alias("request_target"),
+        F.col("metadata.record_id").alias("metadata_id"),
+    )
+
+
+# the same by plain comparison of every window of every length
+DECONTAMINATION_SQL = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n,
+         unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda s: array_to_string(w[s : s + least(len(w), 13) - 1], ' '))) AS words
+  FROM item WHERE len(w) > 0),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+place AS (
+  SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (
+  SELECT DISTINCT r, s, place.n AS n, item_id FROM place JOIN win ON win.n = place.n AND win.words = array_to_string(w[s : s + place.n - 1], ' ')),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
@@ -52,8 +101,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
+    "op5_warc": op5_warc,
+    "op6_decontamination": op6_decontamination,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontamination": DECONTAMINATION_SQL,
+}
