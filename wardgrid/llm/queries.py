@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, fingerprints, langid, sentencepieces, sharding, warc
+from wardgrid.llm import common, decontamination, fingerprints, langid, neardup, sentencepieces, sharding, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -86,6 +86,28 @@ FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents at a Jaccard similarity of 0.85."""
+    return neardup.cluster(common.table(spark, sf_dir, "documents", "doc_id", "text"), 85).select("doc_id", *neardup.RESULT)
+
+
+# the same by counting the shared shingles of every pair that shares one
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda s: array_to_string(w[s : s + 4], ' ')) END) AS g FROM doc),
+one AS (SELECT doc_id, unnest(g) AS g FROM shingle),
+link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM one x JOIN one y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN shingle p ON p.doc_id = a JOIN shingle q ON q.doc_id = b
+  WHERE 100 * n >= 85 * (len(p.g) + len(q.g) - n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT a AS doc_id, CAST(any_value(len(g)) AS BIGINT) AS n_shingles, min(b) AS component_id, a = min(b) AS kept
+FROM reach JOIN shingle ON shingle.doc_id = a GROUP BY a
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
@@ -103,10 +125,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION_SQL,
+    "op7_near_duplicates": NEAR_DUPLICATES_SQL,
 }
