@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, fingerprints, langid, neardup, sentencepieces, sharding, warc
+from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, sentencepieces, sharding, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -16,6 +16,12 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated runs of lines."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "n_lines", "n_deleted", "deleted", F.col("kept_text").alias("text"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and the text decoded from them, as digests."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -121,6 +127,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
