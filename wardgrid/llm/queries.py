@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, sentencepieces, sharding, warc
+from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, sentencepieces, sharding, toolcalls, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -22,6 +22,42 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(docs).select("doc_id", "n_lines", "n_deleted", "deleted", F.col("kept_text").alias("text"))
 
 
+# what a message says about itself when it is handed on as a call of its role's tool
+MESSAGE_SCHEMA = {"properties": {"text": {"type": "string"}, "turn": {"type": "integer"}, "words": {"type": "integer"}}, "required": ["text", "turn"], "additionalProperties": False}
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as a call of the tool named like its role, beside the calls that messages state as JSON:
+    it rests on the message at half its turn and is answered by the next turn."""
+    messages = common.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    named = messages.filter("conv_id is not null and turn is not null")
+    words = F.size(F.split("text", " "))
+    calls = named.select(
+        "conv_id",
+        F.col("turn").cast("string").alias("call_id"),
+        "turn",
+        F.col("role").alias("tool"),
+        F.to_json(F.struct(F.when(F.col("text").isNotNull(), words).alias("words"), "turn", "text")).alias("arguments"),
+        F.when(F.col("turn") > 0, F.array(F.expr("turn div 2").cast("string"))).otherwise(F.array().cast("array<string>")).alias("depends_on"),
+    )
+    results = named.select("conv_id", (F.col("turn") - 1).cast("string").alias("call_id"), "turn", F.coalesce("text", F.lit("")).alias("text"))
+    stated, answered = toolcalls.calls_of(messages)
+    schemas = {role: MESSAGE_SCHEMA for role in ("system", "user", "assistant", "tool")}
+    done = toolcalls.linked(calls.unionByName(stated.select(*calls.columns)), results.unionByName(answered), schemas)
+    return done.select("conv_id", "call_id", "turn", "tool", "arguments", "error", "level", "result_turn", F.sha2("result", 256).alias("result_sha256"), "status")
+
+
+TOOL_CALLS_SQL = """
+SELECT c.conv_id, CAST(c.turn AS VARCHAR) AS call_id, c.turn, c.role AS tool,
+       '{"text":' || to_json(c.text) || ',"turn":' || c.turn || ',"words":' || len(string_split(c.text, ' ')) || '}' AS arguments,
+       CAST(NULL AS VARCHAR) AS error,
+       CASE WHEN c.turn = 0 THEN 0 ELSE CAST(floor(log2(c.turn)) AS INT) + 1 END AS level,
+       r.turn AS result_turn, sha256(r.text) AS result_sha256,
+       CASE WHEN r.turn IS NULL THEN 'pending' ELSE 'linked' END AS status
+FROM conversations c LEFT JOIN conversations r ON r.conv_id = c.conv_id AND r.turn = c.turn + 1
+"""
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and the text decoded from them, as digests."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -128,6 +164,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_tool_calls": op2_tool_calls,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
@@ -138,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_tool_calls": TOOL_CALLS_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_near_duplicates": NEAR_DUPLICATES_SQL,
 }
