@@ -27,12 +27,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """`df` written once to the shared folder and read back: work is not repeated when an
     executor is lost, and later plans start from the files."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, sentencepieces, sharding, toolcalls, warc
+from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -150,6 +150,11 @@ FROM reach JOIN shingle ON shingle.doc_id = a GROUP BY a
 """
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under a model of those that are not held out."""
+    return pitmanyor.score(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
@@ -170,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_language_model": op8_language_model,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }
