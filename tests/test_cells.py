@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wardgrid.functions.cells import add_cells, edge_length, h3_available, hex_center, with_hex_axial
+from wardgrid.functions.cells import add_cells, edge_length, hex_center, with_hex_axial
 
 
 def points(spark, n=20000):
@@ -34,12 +34,3 @@ def test_cells_are_null_without_a_valid_point(spark):
     out = add_cells(spark.createDataFrame(rows, "lon double, lat double"), "lon", "lat").collect()
     assert all(r[f"hex_r{n}"] is None for r in out[:5] for n in (8, 9, 10))
     assert all(out[5][f"hex_r{n}"].startswith(f"{n}:") for n in (8, 9, 10))
-
-
-def test_backends(spark):
-    df = points(spark, 3)
-    if not h3_available():
-        with pytest.raises(ValueError, match="h3"):
-            add_cells(df, "lon", "lat", backend="h3")
-    with pytest.raises(ValueError, match="unknown"):
-        add_cells(df, "lon", "lat", backend="square")

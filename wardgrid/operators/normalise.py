@@ -17,6 +17,7 @@ from wardgrid.functions.clean import (
     computed_once,
     first_valid_point,
     month_key,
+    number_text_sql,
     safe_double,
     safe_timestamp,
     scalar_text,
@@ -69,11 +70,20 @@ def lower_case_names(df: DataFrame) -> DataFrame:
 # --- raw JSON: the records say what they hold --------------------------------
 
 
-def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
-    """One `record` VARIANT per JSON object; a malformed line fails the job."""
+def parse_records(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
+    """One `record` VARIANT per JSON object. A malformed line fails the job, or with
+    `strict=False` is kept as a NULL record beside its text `line`.
+
+    Of a key that an object repeats the last value counts.
+    """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     filled = lines.where(F.length(F.trim(F.col(column))) > 0)
     # once: a later filter on a field must not parse the line again
-    return computed_once(filled, record=F.parse_json(F.col(column))).select("record")
+    if strict:
+        return computed_once(filled, record=F.parse_json(F.col(column))).select("record")
+    read = computed_once(filled.select(F.col(column).alias("line")), record=F.try_parse_json("line"))
+    whole = F.startswith(F.schema_of_variant("record"), F.lit("OBJECT"))
+    return read.select(F.when(whole, F.col("record")).alias("record"), F.when(~F.coalesce(whole, F.lit(False)), F.col("line")).alias("line"))
 
 
 def landed_keys(records: DataFrame) -> DataFrame:
@@ -99,54 +109,82 @@ def key_kinds(records: DataFrame) -> dict[str, set[str]]:
     return {row["key"]: {f for f in flags if row[f]} for row in landed_keys(records).collect()}
 
 
-def _path(*keys: str) -> str:
-    def step(key: str) -> str:
-        return f"['{key}']" if "'" not in key else f'["{key}"]'
-
-    return "$" + "".join(step(k) for k in keys)
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _value_sql(kind: str, *keys: str) -> str:
-    path = _path(*keys).replace("\\", "\\\\").replace("'", "\\'")
-    return f"try_variant_get(record, '{path}', '{kind}')"
+    """The value at nested keys. A path can't spell a key with both quote signs; such
+    objects are read as maps."""
+    value, path = "record", "$"
+    for key in keys:
+        if "'" in key and '"' in key:
+            value = f"element_at(try_variant_get({value}, {_literal(path)}, 'map<string,variant>'), {_literal(key)})"
+            path = "$"
+        else:
+            path += f"['{key}']" if "'" not in key else f'["{key}"]'
+    return f"try_variant_get({value}, {_literal(path)}, '{kind}')"
 
 
-def _text_at(*keys: str) -> Column:
-    return F.expr(_value_sql("string", *keys))
+def _text_sql(*keys: str) -> str:
+    """A value as text; numbers with a fraction or exponent in plain notation."""
+    text, kind = _value_sql("string", *keys), f"schema_of_variant({_value_sql('variant', *keys)})"
+    number = f"{text} RLIKE r'^-?[0-9.]+(E-?[0-9]+)?$' AND ({kind} LIKE 'DECIMAL%' OR {kind} IN ('DOUBLE', 'FLOAT'))"
+    return f"CASE WHEN {number} THEN {number_text_sql(_value_sql('double', *keys))} ELSE {text} END"
+
+
+def text_at(*keys: str) -> Column:
+    return F.expr(_text_sql(*keys))
 
 
 def _text_unless_object(key: str, kinds: set[str]) -> Column:
     if "object" not in kinds:
-        return _text_at(key)
+        return text_at(key)
     kind = f"schema_of_variant({_value_sql('variant', key)})"
-    return F.expr(f"CASE WHEN NOT startswith({kind}, 'OBJECT') THEN {_value_sql('string', key)} END")
+    return F.expr(f"CASE WHEN NOT startswith({kind}, 'OBJECT') THEN {_text_sql(key)} END")
+
+
+def _one_per_name(columns: Mapping[str, Sequence[Column]]) -> list[Column]:
+    """One column for all sources of a name, the first that is not NULL. Names that differ
+    in case only are one column, under the first spelling in order."""
+    merged: dict[str, tuple[str, list[Column]]] = {}
+    for name in sorted(columns):
+        merged.setdefault(name.lower(), (name, []))[1].extend(columns[name])
+    return [F.coalesce(*sources).alias(name) for name, sources in merged.values()]
 
 
 def text_columns(records: DataFrame, kinds: Mapping[str, set[str]]) -> DataFrame:
-    """All-text columns over the union of keys, sorted by name, NULL where absent."""
-    columns: dict[str, Column] = {}
+    """All-text columns over the union of keys, sorted by name, NULL where absent.
+
+    A column may have a flat and a nested source; each row takes what it has.
+    """
+    columns: dict[str, list[Column]] = {}
     for key, seen in kinds.items():
         if seen & {"scalar", "list"} or not seen:
-            columns[key] = _text_unless_object(key, seen)
+            columns.setdefault(key, []).insert(0, _text_unless_object(key, seen))
         for part in HOISTED:
             if part in seen:
-                columns.setdefault(f"{key}_{part}", _text_at(key, part))
-    return records.select(*[columns[name].alias(name) for name in sorted(columns)])
+                columns.setdefault(f"{key}_{part}", []).append(text_at(key, part))
+    return records.select(*_one_per_name(columns), *_carried(records))
+
+
+def _carried(records: DataFrame) -> list[str]:
+    """Marks that a caller put beside the records."""
+    return [c for c in records.columns if c.startswith("_")]
 
 
 def declared_kinds(columns: Iterable[str]) -> dict[str, set[str]]:
     """Kinds for a declared table, which saves the pass that discovers the keys.
 
-    `location_latitude` and its twin are what a nested `location` is hoisted to.
+    `location_latitude` and its twin may be flat keys or what a nested `location` is
+    hoisted to.
     """
     kinds: dict[str, set[str]] = {}
     for name in columns:
+        kinds.setdefault(name, set()).add("scalar")
         for part in HOISTED:
             if name == f"location_{part}":
-                kinds.setdefault("location", {"object"}).add(part)
-                break
-        else:
-            kinds[name] = {"scalar"}
+                kinds.setdefault("location", set()).update({"object", part})
     return kinds
 
 
@@ -157,11 +195,10 @@ def typed_core(records: DataFrame, kinds: Mapping[str, set[str]], time_column: s
     Nested values become JSON text; unlike in the all-text form nothing is hoisted.
     """
     tail = sorted(set(kinds) - {time_column} - set(float_columns))
-    return records.select(
-        safe_timestamp(_value_sql("string", time_column)).alias(time_column),
-        *[safe_double(_value_sql("string", c)).alias(c) for c in float_columns],
-        *[_text_at(c).alias(c) for c in tail],
-    )
+    columns = {c: [text_at(c)] for c in tail} | {c: [safe_double(_value_sql("string", c))] for c in float_columns}
+    columns[time_column] = [safe_timestamp(_value_sql("string", time_column))]
+    first = [columns[c][0].alias(c) for c in (time_column, *float_columns)]
+    return records.select(*first, *_one_per_name({c: columns[c] for c in tail}), *_carried(records))
 
 
 # --- shared by both forms ----------------------------------------------------
@@ -182,10 +219,9 @@ def with_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
     return chosen.withColumns({lat: F.col("_point.lat"), lon: F.col("_point.lon")}).drop("_point")
 
 
-def with_record_cells(df: DataFrame, backend: str = "hex",
-                      pairs: Sequence[tuple[str, str]] = COORDINATE_PAIRS) -> DataFrame:
+def with_record_cells(df: DataFrame, pairs: Sequence[tuple[str, str]] = COORDINATE_PAIRS) -> DataFrame:
     """Add the cell columns for the row's coordinates."""
-    placed = add_cells(with_coordinates(df, "_lat", "_lon", pairs), "_lon", "_lat", backend=backend)
+    placed = add_cells(with_coordinates(df, "_lat", "_lon", pairs), "_lon", "_lat")
     return placed.drop("_lat", "_lon")
 
 

@@ -35,13 +35,8 @@ FINEST_EXPONENT = -18
 CELLS_ACROSS = 8
 
 BROADCAST_BYTES = 256 << 20
-ROW_BYTES = 160
 
-SPREAD = 256
-
-HOT_CELLS = 4096
 HOT_CELL_ROWS = 2_000_000
-MAX_COPIES = 16384
 
 STRIP = ["_low", "_high", "_closed", "_lx", "_ly", "_lk", "_rx", "_ry", "_rk"]
 
@@ -80,8 +75,7 @@ def _steps(heights: str) -> str:
 def _bands(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> DataFrame:
     """One row per polygon and grid row, with the sloped edges that reach into it."""
     # cutting costs time rather than bytes: spread the polygons evenly, whatever their keys
-    tasks = min(polygons.sparkSession.sparkContext.defaultParallelism, SPREAD)
-    spread = polygons.select(*keep, wkt).repartition(tasks)
+    spread = polygons.select(*keep, wkt).repartition(polygons.sparkSession.sparkContext.defaultParallelism)
     parsed = spread.select(*keep, parse_rings(F.col(wkt)).alias("_rings")).select(
         *keep, polygon_edges(F.col("_rings")).alias("_edges"), polygon_box(F.col("_rings")).alias("_box")
     )
@@ -189,29 +183,20 @@ def _with_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) ->
 
 
 def _salted(points: DataFrame, strips: DataFrame, hot_cell_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Spread the points of crowded cells over several tasks, each with a copy of
-    the cell's pieces. Cells past the first `HOT_CELLS` hold less than one
-    4096th of the points each, which is why the list has a fixed bound."""
-    spark = points.sparkSession
-    crowded = (
-        points.groupBy("_cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_cell_rows)
-        .orderBy(F.desc("n"), "_cell")
-        .limit(HOT_CELLS)
-        .collect()
-    )
-    if not crowded:
-        return points.withColumn("_salt", F.lit(0)), strips.withColumn("_salt", F.lit(0))
-    # at most `MAX_COPIES` copies and one per cell in all, however many points there are
-    share = max(hot_cell_rows, sum(row["n"] for row in crowded) // MAX_COPIES)
-    copies = F.broadcast(
-        spark.createDataFrame([(row["_cell"], -(-row["n"] // share)) for row in crowded], "_cell bigint, _copies bigint")
-    )
+    """Spread the points of crowded cells over several tasks, each with a copy of the
+    cell's pieces: as many copies as the cell has `hot_cell_rows` points.
+
+    Salts number the rows of a task, so equal points get different ones. Crowded
+    cells are a table that Spark joins by its own size check; there are at most as
+    many as there are points by `hot_cell_rows`.
+    """
+    numbered = points.withColumn("_row", F.monotonically_increasing_id())
+    crowded = points.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_cell_rows)
+    copies = crowded.select("_cell", F.ceil(F.col("n") / hot_cell_rows).alias("_copies"))
     copies_or_one = F.coalesce("_copies", F.lit(1))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), copies_or_one).cast("int")
+    spread = F.pmod(F.xxhash64("_row"), copies_or_one).cast("int")
     return (
-        points.join(copies, "_cell", "left").withColumn("_salt", spread).drop("_copies"),
+        numbered.join(copies, "_cell", "left").withColumn("_salt", spread).drop("_copies", "_row"),
         strips.join(copies, "_cell", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), (copies_or_one - 1).cast("int"))))
         .drop("_copies"),
@@ -219,7 +204,7 @@ def _salted(points: DataFrame, strips: DataFrame, hot_cell_rows: int) -> tuple[D
 
 
 def _fixed_strips(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> tuple[DataFrame, list[int], int]:
-    """The strips, the grid levels in use and the estimated bytes.
+    """The strips, the grid levels in use and their bytes as rows in memory.
 
     Checkpointed, so that they are built once and what was measured is what is joined.
     """
@@ -227,8 +212,11 @@ def _fixed_strips(polygons: DataFrame, wkt: str, keep: Sequence[str]) -> tuple[D
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(polygons.sparkSession, "checkpoints"))
     strips = polygon_strips(polygons, wkt, keep).checkpoint()
-    sizes = strips.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()
-    return strips, sorted(row["_level"] for row in sizes), sum(row["n"] for row in sizes) * ROW_BYTES
+    # eight bytes a column, a header, and the texts; a hash table holds as much again
+    texts = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keep), F.lit(0))
+    fixed = 2 * (8 * len(strips.columns) + 32)
+    sizes = strips.groupBy("_level").agg(F.sum(fixed + 2 * texts).alias("bytes")).collect()
+    return strips, sorted(row["_level"] for row in sizes), sum(row["bytes"] for row in sizes)
 
 
 def _meet(points: DataFrame, strips: DataFrame, on: list[str], lon: str, lat: str) -> DataFrame:
@@ -260,7 +248,8 @@ def points_in_polygons(
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     strips, levels, size = _fixed_strips(polygons, wkt, keep)
     if not levels:
-        return points.join(polygons.select(*keep), F.lit(False))
+        kinds = dict(polygons.dtypes)
+        return points.select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in keep]).limit(0)
     placed = _with_cells(points, lon, lat, levels)
     if size <= broadcast_bytes:
         return _meet(placed, F.broadcast(strips), ["_cell"], lon, lat)

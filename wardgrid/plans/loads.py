@@ -3,66 +3,127 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardgrid.operators.normalise import (
     COORDINATE_PAIRS,
     key_kinds,
+    latest_per_key,
     parse_records,
+    text_at,
     text_columns,
     typed_core,
     with_partition_keys,
     with_record_cells,
 )
 from wardgrid.operators.relational import count_by, union_resources
-from wardgrid.schemas import PARTITION_COLUMNS, Dataset, text_schema
+from wardgrid.schemas import PARTITION_COLUMNS, Dataset, Resource, text_schema
 from wardgrid.sources.calendar import month_calendar
 from wardgrid.sources.ledger import load_entries, pending_months, read_ledger, record
-from wardgrid.sources.sinks import replace_months
+from wardgrid.sources.sinks import month_files, remove_months, replace_months, replace_table
 from wardgrid.sources.tables import read_if_present
 
 Kinds = Mapping[str, set[str]]
 
+REASONS = ("malformed", "undated", "outside")
 
-def clean_records(records: DataFrame, dataset: Dataset, kinds: Kinds, cells: str = "hex") -> DataFrame:
-    """Parsed records as the data set's columns, with cell and partition keys."""
+
+def clean_records(records: DataFrame, dataset: Dataset, kinds: Kinds, cells: bool = True) -> DataFrame:
+    """Parsed records as the data set's columns, with cell (if asked for) and partition keys."""
     kinds = {dataset.date_column: {"scalar"}} | dict(kinds)
+    pairs = COORDINATE_PAIRS
     if dataset.typed:
-        rows = typed_core(records, kinds, dataset.date_column, dataset.float_columns)
-        return with_partition_keys(with_record_cells(rows, cells, COORDINATE_PAIRS[:1]), dataset.date_column)
-    rows = text_columns(records, kinds)
-    return with_partition_keys(with_record_cells(rows, cells), dataset.date_column)
+        rows, pairs = typed_core(records, kinds, dataset.date_column, dataset.float_columns), COORDINATE_PAIRS[:1]
+    else:
+        rows = text_columns(records, kinds)
+    return with_partition_keys(with_record_cells(rows, pairs) if cells else rows, dataset.date_column)
+
+
+def in_years(resource: Resource) -> Column:
+    """Whether a row's year is one of the resource's; the last year may be open."""
+    inside = F.col("year") >= f"{resource.first_year:04d}"
+    return inside if resource.last_year is None else inside & (F.col("year") <= f"{resource.last_year:04d}")
+
+
+def refusal(resource: Resource) -> Column:
+    """Why a row is not loaded, or NULL: `malformed` line, `undated` record, or `outside`
+    the resource's years."""
+    return (
+        F.when(F.col("_malformed"), "malformed").when(F.col("year").isNull(), "undated").when(~in_years(resource), "outside")
+    )
+
+
+def refused_rows(landed: Mapping[str, DataFrame], dataset: Dataset) -> DataFrame:
+    """(resource, reason, text) of every landed line that no load stores. Reads the date only."""
+    frames = []
+    for resource in dataset.resources:
+        if resource.name in landed:
+            records = parse_records(landed[resource.name], strict=False)
+            dated = records.select("record", "line", F.col("record").isNull().alias("_malformed"), text_at(dataset.date_column).alias("_date"))
+            reason = with_partition_keys(dated, "_date").withColumn("reason", refusal(resource)).where("reason is not null")
+            frames.append(reason.select(F.lit(resource.name).alias("resource"), "reason", F.coalesce("line", F.to_json("record")).alias("text")))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def refused_counts(landed: Mapping[str, DataFrame], dataset: Dataset) -> dict[str, dict[str, int]]:
+    """The number of refused lines by resource and reason."""
+    counts: dict[str, dict[str, int]] = {name: {} for name in landed}
+    if landed:
+        for row in refused_rows(landed, dataset).groupBy("resource", "reason").count().collect():
+            counts[row["resource"]][row["reason"]] = row["count"]
+    return counts
 
 
-def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Kinds | None = None,
-                    cells: str = "hex") -> DataFrame:
+def one_per_key(rows: DataFrame, dataset: Dataset) -> DataFrame:
+    """Of rows that share the data set's key the latest; rows without a key all stay."""
+    if dataset.key_column not in rows.columns:
+        return rows
+    unnamed = rows.withColumn("_unnamed", F.when(F.col(dataset.key_column).isNull(), F.monotonically_increasing_id()))
+    return latest_per_key(unnamed, [dataset.key_column, "_unnamed"], [dataset.date_column]).drop("_unnamed")
+
+
+def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Kinds | None = None, cells: bool = True,
+                    pending: Iterable[Row] | None = None, watch: dict[str, Observation] | None = None) -> DataFrame:
     """All resources of a data set as one table, each held to its own years.
 
     Without `kinds` the keys are discovered first, which reads the records twice;
-    for a known table pass `declared_kinds(dataset.text_columns)`.
+    for a known table pass `declared_kinds(dataset.text_columns)`. With `pending`
+    months, resources without one are not read, and of lines landed in folders by
+    `year` and `month` only the pending folders are. `watch` gets an observation a
+    resource: the rows of the pass that are refused, by reason.
     """
     frames = []
-    for resource in dataset.resources:
-        if resource.name not in landed:
-            continue
-        records = parse_records(landed[resource.name])
-        rows = clean_records(records, dataset, key_kinds(records) if kinds is None else kinds, cells)
-        years = [f"{y:04d}" for y in (resource.first_year, resource.last_year)]
-        frames.append(rows.where(F.col("year").between(*years)))
-    if not frames:
+    known = [r for r in dataset.resources if r.name in landed]
+    if not known:
         raise ValueError(f"no landed resource of {dataset.table}; known are {[r.name for r in dataset.resources]}")
-    return union_resources(*frames)
+    for resource in known:
+        lines, wanted = landed[resource.name], None
+        if pending is not None:
+            wanted = [m for m in pending if resource.first_year <= int(m["year"]) <= (resource.last_year or 9999)]
+            if not wanted:
+                continue
+            if {"year", "month"} <= set(lines.columns):
+                lines = _pending_rows(lines, wanted)
+        records = parse_records(lines, strict=False)
+        found = key_kinds(records) if kinds is None else kinds
+        flagged = records.withColumn("_malformed", F.col("record").isNull())
+        rows = clean_records(flagged, dataset, found, cells).withColumn("_reason", refusal(resource))
+        if watch is not None:
+            watch[resource.name] = Observation()
+            rows = rows.observe(watch[resource.name], *[F.count_if(F.col("_reason") == r).alias(r) for r in REASONS])
+        frames.append(rows.where("_reason is null").drop("_reason", "_malformed"))
+    return union_resources(*frames) if frames else None
 
 
 def dataset_calendar(spark: SparkSession, dataset: Dataset, as_of: date) -> DataFrame:
-    """The months of all resources together."""
-    spans = [month_calendar(spark, r.first_year, r.last_year, as_of) for r in dataset.resources]
+    """The months of all resources together; an open resource goes on to the present."""
+    spans = [month_calendar(spark, r.first_year, r.last_year or max(r.first_year, as_of.year), as_of) for r in dataset.resources]
     return reduce(DataFrame.union, spans).distinct()
 
 
@@ -82,19 +143,22 @@ class LoadPreview:
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a load wrote: rows in all, and the ledger entries of its months."""
+    """What a load wrote: rows in all, the ledger entries of its months, and the lines it
+    refused, by resource and reason."""
 
     rows: int
     months: DataFrame
+    refused: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def preview_load(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: Dataset, ledger_path: str,
-                 as_of: date, kinds: Kinds | None = None, cells: str = "hex") -> LoadPreview:
+                 as_of: date, kinds: Kinds | None = None, cells: bool = True) -> LoadPreview:
     """A dry run: schema, rows per pending month and the first partition. Nothing is
     written, the ledger included, so a later load still sees every month as pending."""
-    rows = clean_resources(landed, dataset, kinds, cells)
     pending = _pending(spark, dataset, ledger_path, as_of).collect()
-    months = count_by(_pending_rows(rows, pending), "year", "month")
+    rows = clean_resources(landed, dataset, kinds, cells, pending or None)
+    rows = _pending_rows(one_per_key(rows, dataset), pending)
+    months = count_by(rows, "year", "month")
     first = months.orderBy("year", "month").first()
     return LoadPreview(rows.schema, months, (first["year"], first["month"]) if first else None)
 
@@ -106,23 +170,39 @@ def _pending_rows(rows: DataFrame, pending: Iterable[Row]) -> DataFrame:
 
 
 def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: Dataset, root: str, ledger_path: str,
-                as_of: date, kinds: Kinds | None = None, cells: str = "hex") -> LoadReport:
+                as_of: date, kinds: Kinds | None = None, cells: bool = True, refused_path: str | None = None) -> LoadReport:
     """Load every pending month and record it.
 
     Months are replaced whole from all landed rows, so a run that died between
-    the write and the ledger entry is simply repeated.
+    the write and the ledger entry is simply repeated. A pending month of which no
+    row is left loses its old files. Refused lines are counted in the same pass,
+    and kept as a table at `refused_path` where one is given.
     """
     calendar = _pending(spark, dataset, ledger_path, as_of)
     pending = calendar.collect()
-    rows = _pending_rows(clean_resources(landed, dataset, kinds, cells), pending)
-    replace_months(rows, root, dataset.rows_per_file)
+    watch: dict[str, Observation] = {}
+    rows = clean_resources(landed, dataset, kinds, cells, pending, watch)
+    names = [(m["year"], m["month"]) for m in pending]
+    before = month_files(spark, root, names)
+    if rows is not None:
+        replace_months(_pending_rows(one_per_key(rows, dataset), pending), root, dataset.rows_per_file)
+    # files have new names with each write: those that are still there belong to months without rows
+    after = month_files(spark, root, names)
+    remove_months(spark, root, [m for m in names if before[m] and before[m] == after[m]])
+    if before != after:
+        refused = {name: {r: n for r, n in seen.get.items() if n} for name, seen in watch.items()}
+    else:  # Spark drops observations from a plan that turns out to be empty
+        refused = refused_counts({n: landed[n] for n in watch}, dataset)
+    if refused_path and any(refused.values()):
+        replace_table(refused_rows({n: landed[n] for n in refused}, dataset), refused_path)
     closed = spark.createDataFrame(pending, calendar.schema)
     entries = load_entries(closed, stored_counts(spark, root, pending), dataset.table)
     # one row per month, fixed before the ledger grows
     months = entries.collect()
     entries = spark.createDataFrame(months, entries.schema)
-    record(entries, ledger_path)
-    return LoadReport(sum(m["rows"] for m in months), entries)
+    if months:
+        record(entries, ledger_path)
+    return LoadReport(sum(m["rows"] for m in months), entries, refused)
 
 
 def stored_counts(spark: SparkSession, root: str, pending: Iterable[Row]) -> DataFrame:

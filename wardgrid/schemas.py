@@ -91,24 +91,24 @@ def text_schema(*names: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def cell_columns(prefix: str = "hex") -> list[str]:
-    return [f"{prefix}_r{r}" for r in RESOLUTIONS]
+def cell_columns() -> list[str]:
+    return [f"hex_r{r}" for r in RESOLUTIONS]
 
 
-def requests_schema(cells: str = "hex") -> StructType:
-    return text_schema(*REQUEST_COLUMNS, *cell_columns(cells))
+def requests_schema() -> StructType:
+    return text_schema(*REQUEST_COLUMNS, *cell_columns())
 
 
-def collisions_schema(cells: str = "hex") -> StructType:
-    return text_schema(*COLLISION_COLUMNS, *cell_columns(cells))
+def collisions_schema() -> StructType:
+    return text_schema(*COLLISION_COLUMNS, *cell_columns())
 
 
-def ridership_schema(cells: str = "hex") -> StructType:
+def ridership_schema() -> StructType:
     return StructType(
         [StructField("transit_timestamp", TimestampNTZType())]
         + [StructField(n, StringType()) for n in RIDERSHIP_TEXT_COLUMNS]
         + [StructField(n, DoubleType()) for n in RIDERSHIP_FLOAT_COLUMNS]
-        + [StructField(n, StringType()) for n in cell_columns(cells)]
+        + [StructField(n, StringType()) for n in cell_columns()]
     )
 
 
@@ -139,7 +139,7 @@ class Resource:
 
     name: str
     first_year: int
-    last_year: int
+    last_year: int | None = None  # open-ended
 
 
 @dataclass(frozen=True)
@@ -162,21 +162,21 @@ DATASETS = {
         table="nyc_311",
         date_column="created_date",
         key_column="unique_key",
-        resources=(Resource("311_legacy", 2010, 2019), Resource("311_current", 2020, 2027)),
+        resources=(Resource("311_legacy", 2010, 2019), Resource("311_current", 2020)),
         text_columns=tuple(REQUEST_COLUMNS),
     ),
     "collisions": Dataset(
         table="nypd_collisions",
         date_column="crash_date",
         key_column="collision_id",
-        resources=(Resource("crashes", 2012, 2027),),
+        resources=(Resource("crashes", 2012),),
         text_columns=tuple(COLLISION_COLUMNS),
     ),
     "ridership": Dataset(
         table="mta_turnstile_hourly",
         date_column="transit_timestamp",
         key_column=None,
-        resources=(Resource("2020_2024", 2020, 2024), Resource("2025_present", 2025, 2027)),
+        resources=(Resource("2020_2024", 2020, 2024), Resource("2025_present", 2025)),
         typed=True,
         float_columns=tuple(RIDERSHIP_FLOAT_COLUMNS),
         rows_per_file=PAGE_ROWS,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from wardgrid.schemas import PARTITION_COLUMNS
 
@@ -25,6 +27,26 @@ def replace_months(df: DataFrame, root: str, rows_per_file: int = 0, partitions:
     writer.parquet(root)
 
 
+def month_files(spark: SparkSession, root: str, months: Iterable[tuple[str, str]]) -> dict[tuple[str, str], set[str]]:
+    """The names of the files that hold each month, in any store Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for year, month in months:
+        folder = path(f"{root}/year={year}/month={month}")
+        listed = files.listStatus(folder) if files.exists(folder) else []
+        found[year, month] = {s.getPath().getName() for s in listed}
+    return found
+
+
+def remove_months(spark: SparkSession, root: str, months: Iterable[tuple[str, str]]) -> None:
+    """Delete whole months of a partitioned table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for year, month in months:
+        files.delete(path(f"{root}/year={year}/month={month}"), True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Write an unpartitioned table: one file while it is small, more as it grows."""
     df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)

@@ -56,5 +56,5 @@ class SpotCheck:
 def spot_check(spark: SparkSession, root: str, year: str, month: str, rows: int = 5) -> SpotCheck:
     """Row count, file columns, cell columns if any, and the first rows of a month."""
     df = spark.read.parquet(f"{root}/year={year}/month={month}")
-    cells = [c for c in df.columns if c.startswith(("hex_r", "h3_r"))]
+    cells = [c for c in df.columns if c.startswith("hex_r")]
     return SpotCheck(df.select(F.count(F.lit(1))).first()[0], df.columns, cells, df.limit(rows))

@@ -16,36 +16,41 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wardgrid.operators.normalise import key_kinds, parse_records
-from wardgrid.plans.loads import clean_records
-from wardgrid.schemas import PARTITION_COLUMNS, Dataset, with_partitions
+from wardgrid.plans.loads import clean_records, one_per_key, refused_rows
+from wardgrid.schemas import PARTITION_COLUMNS, Dataset, Resource, with_partitions
 from wardgrid.sources.sinks import replace_months
 
 BATCH = "load_batch"
 
 
 def stream_months(spark: SparkSession, landing: str, dataset: Dataset, root: str, checkpoint: str,
-                  kinds: Mapping[str, set[str]] | None = None, cells: str = "hex",
-                  files_per_batch: int | None = None) -> StreamingQuery:
+                  kinds: Mapping[str, set[str]] | None = None, cells: bool = True,
+                  files_per_batch: int | None = None, refused_path: str | None = None) -> StreamingQuery:
     """Start a load of all files landed since the last run; it stops by itself.
 
-    Without `kinds` each batch stores the union of the keys it holds.
+    Without `kinds` each batch stores the union of the keys it holds. Copies of a key
+    within a batch are stored once. Lines that are malformed or undated go to a table
+    at `refused_path`, if one is given, also by batch.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = parse_records(batch)
+        records = parse_records(batch, strict=False)
         found = key_kinds(records) if kinds is None else kinds
-        if not found:
-            return
-        rows = clean_records(records, dataset, found, cells).where(F.col("year").isNotNull())
-        replace_months(
-            rows.withColumn(BATCH, F.lit(str(batch_id))),
-            root,
-            dataset.rows_per_file,
-            [*PARTITION_COLUMNS, BATCH],
-        )
+        if found:
+            rows = clean_records(records, dataset, found, cells).where(F.col("year").isNotNull())
+            replace_months(
+                one_per_key(rows, dataset).withColumn(BATCH, F.lit(str(batch_id))),
+                root,
+                dataset.rows_per_file,
+                [*PARTITION_COLUMNS, BATCH],
+            )
+        if refused_path:
+            everything = Dataset(dataset.table, dataset.date_column, dataset.key_column, (Resource("stream", 0),))
+            refused = refused_rows({"stream": batch}, everything).drop("resource")
+            replace_months(refused.withColumn(BATCH, F.lit(str(batch_id))), refused_path, 0, [BATCH])
 
     return (
         reader.text(landing)
