@@ -146,6 +146,8 @@ SELECT 'Station ' || CAST(user_id AS VARCHAR) AS station_complex, round(sum(ride
 FROM {RIDES} AS r WHERE year = '2024' AND month = '01'
 GROUP BY user_id ORDER BY sum(ridership) DESC, station_complex LIMIT 20"""
 
+ORACLES["stored_busiest_stations"] = ORACLES["busiest_stations"]
+
 ORACLES["busiest_cells"] = f"""
 SELECT hex_r9, COUNT(*) AS n FROM (SELECT year, {hex_key(9)} AS hex_r9 FROM {RIDES} AS r) AS k
 WHERE year = '2024' AND hex_r9 IS NOT NULL GROUP BY hex_r9 ORDER BY n DESC, hex_r9 LIMIT 10"""
@@ -237,7 +239,7 @@ SELECT {MONTH_OF_ORDER}, CASE WHEN year(o_orderdate) = 1998 THEN 'again' ELSE o_
 FROM orders GROUP BY ALL"""
 
 ORACLES["page_parts"] = f"""
-SELECT {roles.month_parts('l_shipdate')}, COUNT(*) AS n, FALSE AS exceeded FROM lineitem GROUP BY ALL"""
+SELECT {roles.month_parts('l_shipdate')}, COUNT(*) AS n, FALSE AS exceeded, TRUE AS enough FROM lineitem GROUP BY ALL"""
 
 ORACLES["registered_months"] = """
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, COUNT(*) AS n FROM orders WHERE year(o_orderdate) >= 1997 GROUP BY 1"""
@@ -258,6 +260,31 @@ SELECT months.year, months.month,
   CASE WHEN NOT closed THEN 'open' WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status, COALESCE(n, 0) AS rows
 FROM months LEFT JOIN counts ON months.year = counts.year AND months.month = counts.month"""
 
+ORACLES["refused_lines"] = """
+SELECT CASE WHEN o_orderkey % 53 = 0 THEN 'malformed' WHEN o_orderkey % 50 = 0 THEN 'undated'
+  WHEN year(o_orderdate) NOT BETWEEN 1994 AND 1996 THEN 'outside' ELSE 'stored' END AS reason, COUNT(*) AS n
+FROM orders GROUP BY 1"""
+
+ORACLES["emptied_month"] = f"""
+WITH months AS (
+  SELECT strftime(m, '%Y') AS year, strftime(m, '%m') AS month
+  FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1996-12-01', INTERVAL 1 MONTH) AS g(m)),
+counts AS (SELECT {MONTH_OF_ORDER}, COUNT(*) AS n FROM orders WHERE o_orderdate < '1996-12-01' GROUP BY ALL)
+SELECT months.year, months.month, CASE WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status,
+  COALESCE(n, 0) AS rows, COALESCE(n, 0) AS n
+FROM months LEFT JOIN counts ON months.year = counts.year AND months.month = counts.month"""
+
+ORACLES["landed_once"] = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, COUNT(*) AS n FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 1999 GROUP BY 1"
+
+ORACLES["mixed_location_forms"] = """
+SELECT keys, CAST(o_orderkey % 3 AS VARCHAR) AS form, COUNT(*) AS n, COUNT(*) AS n_latitude, COUNT(*) AS n_placed
+FROM orders, (VALUES ('discovered'), ('declared')) AS k(keys) GROUP BY ALL"""
+
+ORACLES["drifting_keys"] = """
+SELECT o_orderstatus AS status_text,
+  (o_orderkey % 5) || CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN '.0' ELSE '0000000000.0' END AS amount,
+  COUNT(*) AS rows FROM orders GROUP BY ALL"""
+
 ORACLES["dry_run_preview"] = f"SELECT {MONTH_OF_ORDER}, COUNT(*) AS n FROM orders GROUP BY ALL"
 
 ORACLES["resumed_stream"] = f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardgrid.functions import clean
@@ -15,7 +15,7 @@ from wardgrid.operators import normalise, relational, wide
 from wardgrid.operators.spatial import centroids, points_in_polygons, points_per_polygon
 from wardgrid.plans import loads, reports
 from wardgrid.plans.roles import REQUESTS_DATASET, RESPONSE_YEARS, WEST, WIDTH, X_BREAKS, Tables
-from wardgrid.schemas import DATASETS, MEASURES, PAGE_ROWS, RESOLUTIONS, ridership_schema, text_schema, with_partitions
+from wardgrid.schemas import DATASETS, MEASURES, RESOLUTIONS, Dataset, Resource, ridership_schema, text_schema, with_partitions
 from wardgrid.session import apply_settings, shared_folder
 from wardgrid.sources import catalog, landing, ledger, sinks, tables
 from wardgrid.sources.calendar import calendar_of
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 
 CRASH_YEAR = "2000"
 AS_OF = date(2002, 1, 15)
+PART_ROWS = 20
 # every line between zones, and a place between every two lines
 ZONE_LINES = sorted([WEST + b * WIDTH for b in X_BREAKS] + [WEST + (b + 0.03) * WIDTH for b in X_BREAKS[:-1]])
 REQUEST_KINDS = {
@@ -80,11 +81,11 @@ def top_crash_zones(t: Tables) -> DataFrame:
     return reports.top_crash_zones(t.collisions, t.zones, CRASH_YEAR)
 
 
-def typed_rides(t: Tables) -> DataFrame:
-    """The landed ridership lines as the declared typed table."""
+def typed_rides(t: Tables, cells: bool = False) -> DataFrame:
+    """The landed ridership lines as the declared typed table, with cells only where asked."""
     data = DATASETS["ridership"]
     kinds = normalise.declared_kinds(["transit_timestamp", *data.text_columns, *data.float_columns, "georeference"])
-    rows = loads.clean_records(normalise.parse_records(t.ridership_lines), data, kinds)
+    rows = loads.clean_records(normalise.parse_records(t.ridership_lines), data, kinds, cells)
     return normalise.to_declared(rows, with_partitions(ridership_schema()))
 
 
@@ -100,7 +101,16 @@ def busiest_stations(t: Tables) -> DataFrame:
 
 @query
 def busiest_cells(t: Tables) -> DataFrame:
-    return reports.busiest_cells(typed_rides(t))
+    return reports.busiest_cells(typed_rides(t, cells=True))
+
+
+@query
+def stored_busiest_stations(t: Tables) -> DataFrame:
+    """The same report over the stored table, of which it reads one month and two columns."""
+    root = shared_folder(t.spark, "rides")
+    sinks.replace_months(typed_rides(t).drop(*[f"hex_r{r}" for r in RESOLUTIONS]), root)
+    stored = tables.read_months(t.spark, root, ridership_schema())
+    return rounded(reports.busiest_stations(stored), 4, "total_ridership")
 
 
 @query
@@ -279,13 +289,16 @@ def replace_month_partitions(t: Tables) -> DataFrame:
 
 @query
 def page_parts(t: Tables) -> DataFrame:
-    """Months cut into files of bounded rows: rows per month, and whether a file exceeds the bound."""
+    """Months cut into files of bounded rows: rows per month, whether a file exceeds the bound,
+    and whether there are as many files as that takes."""
     root = shared_folder(t.spark, "parts")
-    sinks.replace_months(t.collisions.select("collision_id", "crash_date", "year", "month"), root, rows_per_file=PAGE_ROWS)
+    sinks.replace_months(t.collisions.select("collision_id", "crash_date", "year", "month"), root, rows_per_file=PART_ROWS)
     stored = tables.read_months(t.spark, root, text_schema("collision_id", "crash_date"))
     files = stored.withColumn("_file", F.input_file_name()).groupBy("year", "month", "_file").count()
     return files.groupBy("year", "month").agg(
-        F.sum("count").alias("n"), F.max(F.col("count") > PAGE_ROWS).alias("exceeded")
+        F.sum("count").alias("n"),
+        F.max(F.col("count") > PART_ROWS).alias("exceeded"),
+        (F.count("*") >= F.ceil(F.sum("count") / PART_ROWS)).alias("enough"),
     )
 
 
@@ -351,6 +364,84 @@ def load_states(t: Tables) -> DataFrame:
     return ledger.month_states(ledger.read_ledger(t.spark, book), "requests").select("year", "month", "status", "rows")
 
 
+def request_dataset(first: int, last: int) -> Dataset:
+    """Requests of one resource, `all`."""
+    return Dataset("requests", "created_date", "unique_key", (Resource("all", first, last),))
+
+
+def plain_requests(t: Tables, *columns: Column) -> DataFrame:
+    """Requests as JSON lines of a key, a date and `columns`."""
+    return t.requests.select(F.to_json(F.struct("unique_key", "created_date", *columns)).alias("value"))
+
+
+PLAIN = {"unique_key": {"scalar"}, "created_date": {"scalar"}}
+
+
+@query
+def refused_lines(t: Tables) -> DataFrame:
+    """Every landed line is stored, or kept with the reason why not."""
+    root, book, refused = (shared_folder(t.spark, p) for p in ("load", "ledger", "refused"))
+    key = F.col("unique_key").cast("bigint")
+    dated = t.requests.withColumn("created_date", F.when(key % 50 == 0, "soon").otherwise(F.col("created_date")))
+    line = F.when(key % 53 == 0, '{"broken"').otherwise(F.to_json(F.struct("unique_key", "created_date")))
+    loads.load_months(t.spark, {"all": dated.select(line.alias("value"))}, request_dataset(1994, 1996), root, book, AS_OF, PLAIN, refused_path=refused)
+    kept = t.spark.read.schema("resource string, reason string, text string").parquet(refused).select("reason")
+    stored = tables.read_months(t.spark, root, text_schema("unique_key")).select(F.lit("stored").alias("reason"))
+    return relational.count_by(kept.unionByName(stored), "reason")
+
+
+@query
+def emptied_month(t: Tables) -> DataFrame:
+    """A month whose rows left the landing folder loses its stored rows; the others stay."""
+    root, book = shared_folder(t.spark, "load"), shared_folder(t.spark, "ledger")
+    data = request_dataset(1995, 1996)
+    lines = plain_requests(t)
+    left = lines.where(~F.get_json_object("value", "$.created_date").startswith("1996-12"))
+    loads.load_months(t.spark, {"all": lines}, data, root, book, date(1996, 12, 15), PLAIN)
+    loads.load_months(t.spark, {"all": left}, data, root, book, date(1997, 2, 1), PLAIN)
+    states = ledger.month_states(ledger.read_ledger(t.spark, book), "requests").select("year", "month", "status", "rows")
+    stored = relational.count_by(tables.read_months(t.spark, root, text_schema("unique_key")), "year", "month")
+    return states.join(stored, ["year", "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query
+def landed_once(t: Tables) -> DataFrame:
+    """Records that landed in two files are stored once."""
+    root, book = shared_folder(t.spark, "load"), shared_folder(t.spark, "ledger")
+    lines = plain_requests(t)
+    loads.load_months(t.spark, {"all": lines.union(lines)}, request_dataset(1992, 1999), root, book, AS_OF, PLAIN)
+    return relational.count_by(tables.read_months(t.spark, root, text_schema("unique_key")), "year")
+
+
+@query
+def mixed_location_forms(t: Tables) -> DataFrame:
+    """Nested, flat and doubled coordinates in one table, with keys discovered and declared."""
+    form = F.col("unique_key").cast("bigint") % 3
+    nested = F.when(form != 1, F.struct(F.col("true_lat").alias("latitude"), F.col("true_lon").alias("longitude")))
+    lat, lon = (F.when(form != 0, F.col(c).cast("string")).alias(f"location_{a}") for c, a in (("true_lat", "latitude"), ("true_lon", "longitude")))
+    lines = plain_requests(t, nested.alias("location"), lat, lon, form.cast("string").alias("form"))
+    records = normalise.parse_records(lines)
+    declared = normalise.declared_kinds(["unique_key", "created_date", "form", "location_latitude", "location_longitude"])
+    out = None
+    for name, kinds in (("discovered", normalise.key_kinds(records)), ("declared", declared)):
+        rows = normalise.with_record_cells(normalise.text_columns(records, kinds)).withColumn("keys", F.lit(name))
+        found = rows.groupBy("keys", "form").agg(F.count("*").alias("n"), F.count("location_latitude").alias("n_latitude"), F.count("hex_r8").alias("n_placed"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query
+def drifting_keys(t: Tables) -> DataFrame:
+    """Keys that differ in case are one column, of repeated keys the last counts, numbers keep plain notation."""
+    key = F.col("unique_key").cast("bigint")
+    name = F.when(key % 2 == 0, "Status").otherwise("status")
+    amount = F.concat((key % 5).cast("string"), F.when(key % 3 == 0, ".0").otherwise("e10"))
+    line = F.concat(F.lit('{"'), name, F.lit('": "'), F.col("status"), F.lit('", "n": 0, "n": '), amount, F.lit(', "a\'b\\"c": 1}'))
+    records = normalise.parse_records(t.requests.select(line.alias("value")))
+    rows = normalise.text_columns(records, normalise.key_kinds(records))
+    return rows.groupBy(F.col("Status").alias("status_text"), F.col("n").alias("amount")).agg(F.count("`a'b\"c`").alias("rows"))
+
+
 @query
 def dry_run_preview(t: Tables) -> DataFrame:
     """Rows per month that a load would write."""
