@@ -207,6 +207,18 @@ SELECT year, month, CAST(first_day AS VARCHAR) AS first_day, CAST(next_first_day
 ORACLES["header_row_response"] = f"""
 SELECT state, county, tract, B01003_001E AS people, B25064_001E AS rent FROM {_role(roles.vintage_rows(2018))} AS v"""
 
+ORACLES["response_files"] = f"""
+SELECT state, county, COUNT(*) AS n FROM (
+  SELECT state, county FROM {_role(roles.vintage_rows(2018))} AS a UNION ALL
+  SELECT state, county FROM {_role(roles.vintage_rows(2023))} AS b) AS u
+GROUP BY state, county"""
+
+ORACLES["record_pages"] = "SELECT o_orderstatus AS status, COUNT(*) AS n FROM orders GROUP BY 1"
+
+ORACLES["month_spot_check"] = """
+SELECT COUNT(*) AS rows, 'hex_r8,hex_r9,hex_r10' AS cells, least(COUNT(*), 5) AS head
+FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 3"""
+
 ORACLES["stacked_counties"] = f"""
 SELECT county, COUNT(*) AS n FROM (
   SELECT county FROM {_role(roles.vintage_rows(2018))} AS a UNION ALL

@@ -200,6 +200,38 @@ def header_row_response(t: Tables) -> DataFrame:
     return rows.withColumnsRenamed({"B01003_001E": "people", "B25064_001E": "rent"})
 
 
+@query
+def response_files(t: Tables) -> DataFrame:
+    """Header-row responses landed as files of two vintages, all read by one multi-path read."""
+    folders = [shared_folder(t.spark, f"responses-{v}") for v in RESPONSE_YEARS]
+    for folder, vintage in zip(folders, RESPONSE_YEARS, strict=True):
+        t.responses(vintage).write.option("maxRecordsPerFile", 1).text(folder)
+    rows = wide.header_rows(landing.read_responses(t.spark, folders), ["state", "county", "tract"])
+    return relational.count_by(rows, "state", "county")
+
+
+@query
+def record_pages(t: Tables) -> DataFrame:
+    """Files that hold one JSON array of records each, as one line per record."""
+    folder = shared_folder(t.spark, "pages")
+    pages = t.requests.groupBy("year", "month").agg(F.to_json(F.collect_list(F.struct("unique_key", "status"))).alias("value"))
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    lines = landing.read_pages(t.spark, folder)
+    return relational.count_by(lines.select(F.get_json_object("value", "$.status").alias("status")), "status")
+
+
+@query
+def month_spot_check(t: Tables) -> DataFrame:
+    """One stored month: its rows, its cell columns and how many rows the head shows."""
+    root = shared_folder(t.spark, "requests")
+    rows = normalise.with_record_cells(t.requests.select("unique_key", "year", "month", F.col("true_lat").alias("latitude"), F.col("true_lon").alias("longitude")))
+    sinks.replace_months(rows, root)
+    seen = tables.spot_check(t.spark, root, "1997", "03")
+    return seen.head.groupBy().agg(
+        F.lit(seen.rows).alias("rows"), F.lit(",".join(seen.cell_columns)).alias("cells"), F.count("hex_r8").alias("head")
+    )
+
+
 @query
 def stacked_counties(t: Tables) -> DataFrame:
     """All counties of both vintages from one stacked set of responses."""
