@@ -249,3 +249,23 @@ def test_reprojection_refuses_to_guess(one):
     moved = one(lambda t: geometry.wkt_to_wgs84(t, 2263), "POLYGON ((984250 0, 985250 0, 985250 1000, 984250 0))")
     first = moved[len("POLYGON (("):].split(",")[0].split()
     assert (float(first[0]), float(first[1])) == pytest.approx((-74.0, 40 + 10 / 60))
+
+
+def test_equal_points_of_a_crowded_cell_are_spread(spark):
+    from wardgrid.operators.spatial import _salted
+
+    points = spark.range(10000).selectExpr("1D lon", "2D lat", "IF(id < 9000, 5L, id) _cell")
+    strips = spark.createDataFrame([(5, "a"), (9500, "b")], "_cell long, name string")
+    spread, copies = _salted(points, strips, 1000)
+    counts = [r["count"] for r in spread.where("_cell = 5").groupBy("_salt").count().collect()]
+    assert len(counts) == 9 and max(counts) < 1300 and spread.count() == 10000
+    assert copies.groupBy("name").count().orderBy("name").collect() == [("a", 9), ("b", 1)]
+    assert spread.join(copies, ["_cell", "_salt"]).count() == 9001
+
+
+def test_no_polygons_match_nothing(spark):
+    from wardgrid.operators.spatial import points_in_polygons
+
+    none = spark.createDataFrame([], "zone string, geometry_wkt string")
+    found = points_in_polygons(spark.createDataFrame([(1.0, 2.0)], "longitude double, latitude double"), none, ["zone"])
+    assert found.columns == ["longitude", "latitude", "zone"] and found.count() == 0
