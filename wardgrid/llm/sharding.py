@@ -103,9 +103,7 @@ def minimax(groups: DataFrame, end: str, size: str, shards: int, resolution: int
     low, high = max(largest, -(-total // shards)), total
     spans, known, blind = [(0, total)], {total}, set()
     while True:
-        inside = F.lit(False)
-        for a, b in spans:
-            inside = inside | ((F.col(end) > a) & (F.col(end) <= b))
+        inside = F.exists(F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in spans]), lambda s: (F.col(end) > s["a"]) & (F.col(end) <= s["b"]))
         wide = sum(b - a for a, b in spans)
         step = max(1, -(-wide // resolution))
         cells = sized.filter(inside).groupBy(F.expr(f"{end} div {step}").alias("cell")).agg(F.max(end).alias("last"), F.count("*").alias("n")).collect()
@@ -150,14 +148,12 @@ def shard(docs: DataFrame, shards: int, text: str = "text", order: str = "doc_id
         F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("0" * 32)).alias("key"),
         F.xxhash64(F.col(order).cast("string")).alias("_spread"),
     )
-    base = common.stored(base.drop(text), "sizes")
+    base = base.drop(text)
     groups = base.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     groups = common.stored(running(groups, "bytes", "rows"), "groups")
     capacity, cuts = minimax(groups, "bytes_end", "bytes", shards)
-    number = F.lit(0)
-    for cut in cuts[:-1]:
-        number = number + (F.col("bytes_end") > cut).cast("int")
-    groups = groups.withColumn("shard", number)
+    borders = F.array(*[F.lit(c).cast("long") for c in cuts[:-1]]).cast("array<long>")
+    groups = groups.withColumn("shard", F.size(F.filter(borders, lambda c: c < F.col("bytes_end"))))
     starts = groups.groupBy("shard").agg(F.min(F.col("rows_end") - F.col("rows")).alias("_shard_start"))
     groups = groups.join(starts, "shard").select("key", "shard", "rows", (F.col("rows_end") - F.col("rows") - F.col("_shard_start")).alias("_group_start"))
     rows = base.join(groups, "key").withColumn("_part", F.pmod(F.col("_spread"), F.ceil(F.col("rows") / ROWS_TOGETHER)).cast("long"))
