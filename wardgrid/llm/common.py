@@ -27,12 +27,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
-def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, purpose: str, together: bool = True) -> DataFrame:
     """`df` written once to the shared folder and read back: work is not repeated when an
-    executor is lost, and later plans start from the files."""
+    executor is lost, and later plans start from the files.
+
+    Small partitions are written one after another by a few tasks a core, which saves
+    files; `together=False` leaves each to its own task, for functions that use its number.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.option("compression", compression).parquet(path)
+    if together:
+        df = df.coalesce(8 * spark.sparkContext.defaultParallelism)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,8 +48,3 @@ def same(left: str, right: str, *columns: str) -> Column:
     for name in columns:
         out = out & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
     return out
-
-
-def split_count(spark: SparkSession, n_bytes: int, each: int) -> int:
-    """Partitions for `n_bytes` of data at `each` bytes a partition, at least one a core."""
-    return max(spark.sparkContext.defaultParallelism, -(-int(n_bytes) // each))

@@ -2,7 +2,7 @@
 
 A fingerprint is the list of minima of `HASHES` universal hash functions over the shingles of five words, 16
 bits each; the share of equal places estimates the Jaccard similarity of two texts' shingles. Minima are
-computed in numpy, a few megabytes of text at a time; everything that moves rows is Spark's.
+computed in numpy, some texts at a time; everything that moves rows is Spark's.
 
 `near_pairs` joins bands of the signatures and verifies Jaccard on the full sets. `with_edits` sorts the
 documents into ranges of ids, where each row meets the next one as the rows stream by; only the last row of a
@@ -120,7 +120,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_tie")
         .select("doc_id", "text")
     )
-    rows = common.stored(ordered.mapInArrow(_in_order, PAIRED), "fingerprints")
+    rows = common.stored(ordered.mapInArrow(_in_order, PAIRED), "fingerprints", together=False)
     tails = rows.filter(F.col("kind") == TAIL).select("part", "doc_id", "text", "signature")
     heads = rows.filter(F.col("kind") == HEAD).select(F.col("part").alias("_next"), F.col("text").alias("_text"), F.col("signature").alias("_signature"))
     # one row a range: its number and the number of the one that follows, the first after the last
