@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from wardgrid.llm import neardup, queries
 from wardgrid.llm.components import connected
-from wardgrid.llm.shingles import MinHash
 
 
 def sets_of(text):
@@ -67,14 +66,18 @@ def test_empty_repeated_and_unnamed_rows(spark, tables):
 
 
 def test_estimate_follows_jaccard(spark):
-    functions, source = MinHash(neardup.HASHES), np.random.default_rng(3)
-    rows = []
-    for share in (0.0, 0.3, 0.6, 0.85, 1.0):
-        joint = source.integers(0, 2**63, 2000, dtype=np.uint64)
-        cut = int(2000 * (1 - share) / 2)
-        rows.append((share, neardup.packed(functions.minima(joint[cut:])), neardup.packed(functions.minima(joint[: 2000 - cut] if cut else joint))))
+    source, rows = np.random.default_rng(3), []
+    for size in (150, 4000):
+        for share in (0.0, 0.3, 0.7, 0.85, 1.0):
+            for _ in range(30):
+                joint = np.unique(source.integers(0, 2**64, size, dtype=np.uint64))
+                kind = source.random(len(joint))
+                a, b = joint[kind < (1 + share) / 2], joint[(kind < share) | (kind >= (1 + share) / 2)]
+                true = len(np.intersect1d(a, b)) / len(joint)
+                rows.append((true, neardup.packed(a), neardup.packed(b)))
     found = spark.createDataFrame(rows, "share double, a array<long>, b array<long>").select("share", neardup.estimate(F.col("a"), F.col("b")).alias("e")).collect()
-    assert all(abs(r.share - r.e) < 0.13 for r in found)
+    assert all(abs(r.share - r.e) < (0.057 if r.share > 0.8 else 0.12) for r in found)
+    assert abs(sum(r.share - r.e for r in found) / len(found)) < 0.01
 
 
 def test_components_of_a_long_path(spark):

@@ -2,14 +2,15 @@
 
 Each text's set is its distinct shingles of five words (the whole of a shorter text). Equal sets are one
 class, so exact copies cost one row each and no comparison. Of each class's minima, bands of `ROWS` minima
-name buckets, and the low `BITS` bits of all minima are packed into words of 64 bits: the share of equal bits
-in two signatures, counted with bit_count and corrected for chance matches (two random fields of b bits agree
-with probability 2^-b), estimates the Jaccard similarity. Classes that share a bucket and are estimated near
-are verified on their full sets, read from their texts again.
+name buckets. For the estimate the range of hashes is cut into `BINS` parts, and the low `BITS` bits of the
+minimum in each part are packed into words of 64 bits, beside a bit that says whether the part holds anything.
+The share of equal minima among parts that hold something, counted with bit_count and corrected for chance
+matches (two different minima agree in b bits with probability 2^-b), estimates the Jaccard similarity.
+Classes that share a bucket and are estimated near are verified on their full sets, read from their texts again.
 
 Links are found in two steps, so that a bucket of many copies does not become all its pairs:
-1. In each bucket all classes are compared with two of its members: the one that shares most buckets
-   with others (in a group of edited copies, the original or whatever is nearest to it) and one by hash.
+1. In each bucket all classes are compared with the one that shares most buckets with others: in a group of
+   edited copies, the original or whatever is nearest to it.
 2. Components of the verified links are formed. Only classes of the same bucket that are still in
    different components are compared with each other, all of them. Whatever was left out joins classes that
    are connected anyway, so components are those of all links between candidates.
@@ -38,10 +39,11 @@ from wardgrid.llm.components import connected
 from wardgrid.llm.shingles import MinHash, runs, shingles, words
 
 SHINGLE = 5
-BANDS, ROWS, BITS = 32, 6, 2
+BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
-WORDS = HASHES * BITS // 64
-SLACK = 0.22  # six standard errors of the estimate and more
+BINS, BITS = 1024, 4
+HELD, WORDS = BINS // 64, BINS * BITS // 64
+SLACK = 0.05  # with 1 / shingles added, four and a half standard errors of the estimate
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, class binary, bands array<long>, bits array<long>"
 SIGNED_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -56,11 +58,18 @@ def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
             yield shingles(hashes[first[k] : first[k + 1]], SHINGLE)
 
 
-def packed(minima: np.ndarray) -> list[int]:
-    """The low bits of the minima, `64 // BITS` to a signed 64-bit integer."""
-    fields = (minima & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(WORDS, -1)
-    shifts = np.arange(fields.shape[1], dtype=np.uint64) * np.uint64(BITS)
-    return np.bitwise_or.reduce(fields << shifts, axis=1).view(np.int64).tolist()
+def packed(found: np.ndarray) -> list[int]:
+    """From sorted hashes: a bit for each part of their range that holds one, then the low bits of the least
+    hash in each part, `64 // BITS` to a signed 64-bit integer."""
+    part = (found >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    held, fields = np.zeros(BINS, np.uint64), np.zeros(BINS, np.uint64)
+    held[part[first]] = 1
+    fields[part[first]] = found[first] & np.uint64((1 << BITS) - 1)
+    bits = np.bitwise_or.reduce(held.reshape(HELD, 64) << np.arange(64, dtype=np.uint64), axis=1)
+    shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
+    low = np.bitwise_or.reduce(fields.reshape(WORDS, -1) << shifts, axis=1)
+    return np.concatenate([bits, low]).view(np.int64).tolist()
 
 
 def band_keys(minima: np.ndarray) -> list[int]:
@@ -75,7 +84,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in sets_of(batch.column(2)):
             if len(found):
                 minima = functions.minima(found)
-                rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), band_keys(minima), packed(minima)))
+                rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), band_keys(minima), packed(found)))
             else:
                 rows.append((0, None, None, None))
         columns = [batch.column(0), batch.column(1), *([x[k] for x in rows] for k in range(4))]
@@ -88,15 +97,29 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def estimate(left: Column, right: Column) -> Column:
-    """Jaccard similarity from two signatures: equal fields by bit counts, less those equal by chance."""
-    low = int("01" * (64 // BITS), 2) if BITS == 2 else (1 << 63) - 1
-    differing = F.lit(0)
-    for k in range(WORDS):
+    """Jaccard similarity from two signatures: equal minima by bit counts, less those equal by chance."""
+    either, both, differing = F.lit(0), F.lit(0), F.lit(0)
+    for k in range(HELD):
+        either = either + F.bit_count(left[k].bitwiseOR(right[k]))
+        both = both + F.bit_count(left[k].bitwiseAND(right[k]))
+    ones = int("0001" * 16, 2)
+    for k in range(HELD, HELD + WORDS):
         x = left[k].bitwiseXOR(right[k])
-        # a field differs if either of its two bits does
-        differing = differing + F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(low)))
-    chance = 2.0**-BITS
-    return (1 - differing / HASHES - chance) / (1 - chance)
+        # a field differs if any of its four bits does; empty parts have the field 0
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(ones))
+        differing = differing + F.bit_count(x)
+    # parts that one side holds differ for sure, and show in the fields unless theirs is 0
+    alone, chance = either - both, 2.0**-BITS
+    unequal = (differing - alone * (1 - chance)) / (1 - chance)
+    return (both - unequal) / F.greatest(either, F.lit(1))
+
+
+def likely(least: float) -> Column:
+    """Whether sizes n and signatures bits of the sides a and b allow a similarity of `least`."""
+    larger = F.greatest("n_a", "n_b")
+    near = estimate(F.col("bits_a"), F.col("bits_b")) >= least - SLACK - 1 / larger
+    return (F.least("n_a", "n_b") >= larger * least) & near
 
 
 def _verified(percent: int):
@@ -121,10 +144,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def classes_of(rows: DataFrame) -> DataFrame:
     """(node, class, doc_id, text_hash, n, bands, bits): a row for each class with words, with one of its rows."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("first")
-    chosen = rows.filter("class is not null").groupBy("class").agg(first).select("class", "first.doc_id", "first.text_hash")
-    full = rows.select("class", "doc_id", "text_hash", F.col("n_shingles").alias("n"), "bands", "bits").alias("r").join(chosen.alias("c"), common.same("r", "c", "class", "doc_id", "text_hash"), "left_semi")
-    return full.dropDuplicates(["class"]).withColumn("node", F.monotonically_increasing_id())
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", F.col("n_shingles").alias("n"), "bands", "bits")
+    chosen = rows.filter("class is not null").groupBy("class").agg(F.min(row).alias("r"))
+    return chosen.select("class", "r.doc_id", "r.text_hash", "r.n", "r.bands", "r.bits").withColumn("node", F.monotonically_increasing_id())
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -135,20 +157,21 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame,
     shared = common.stored(bands.join(crowded, "band"), "buckets")
     weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     signatures = common.stored(weight.join(classes, "node").select("node", "weight", "doc_id", "text_hash", "n", "bits"), "signatures")
-    # texts only of classes that share a bucket
+    # texts only of classes that share a bucket, read once; both sides grow with the documents
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").alias("d")
-    texts = source.join(signatures.select("node", "doc_id", "text_hash").alias("s"), common.same("d", "s", "doc_id", "text_hash")).select("s.node", "d.text").dropDuplicates(["node"])
+    wanted = signatures.select("node", "doc_id", "text_hash").alias("s").hint("merge")
+    texts = source.join(wanted, common.same("d", "s", "doc_id", "text_hash")).select("s.node", "d.text")
+    texts = common.stored(texts, "texts").dropDuplicates(["node"])
 
     def near(pairs: DataFrame) -> DataFrame:
         """Pairs that sizes and signatures allow."""
         for side in ("a", "b"):
             pairs = pairs.join(signatures.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-        sized = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least
-        return pairs.filter(sized & (estimate(F.col("bits_a"), F.col("bits_b")) >= least - SLACK)).select("a", "b")
+        return pairs.filter(likely(least)).select("a", "b")
 
-    ranked = shared.join(weight, "node").select("band", "node", F.struct("weight", F.xxhash64("node"), "node").alias("by_weight"), F.struct(F.xxhash64("node", "band"), "node").alias("by_hash"))
-    leaders = ranked.groupBy("band").agg(F.max("by_weight")["node"].alias("first"), F.max("by_hash")["node"].alias("second"))
-    stars = shared.join(leaders, "band").select("node", F.explode(F.array("first", "second")).alias("leader")).filter("node <> leader")
+    ranked = shared.join(weight, "node").select("band", F.struct("weight", "node").alias("by_weight"))
+    leaders = ranked.groupBy("band").agg(F.max("by_weight")["node"].alias("leader"))
+    stars = shared.join(leaders, "band").filter("node <> leader")
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     found = common.stored(_confirmed(near(stars), texts, percent), "links")
     parts = connected(found)
@@ -156,11 +179,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame,
     open_buckets = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
     still = common.stored(labelled.join(open_buckets, "band").join(signatures.select("node", "n", "bits"), "node"), "open")
     left, right = (still.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "bits")]) for side in ("a", "b"))
-    across = (
-        (F.col("component_a") < F.col("component_b"))
-        & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
-        & (estimate(F.col("bits_a"), F.col("bits_b")) >= least - SLACK)
-    )
+    across = (F.col("component_a") < F.col("component_b")) & likely(least)
     rest = left.withColumnRenamed("band", "band_a").join(right.withColumnRenamed("band", "band_b"), (F.col("band_a") == F.col("band_b")) & across)
     rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
     more = common.stored(_confirmed(rest.join(found, ["a", "b"], "left_anti"), texts, percent), "links")
