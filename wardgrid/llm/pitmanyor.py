@@ -1,7 +1,8 @@
 """A hierarchical Pitman-Yor language model over words, sampled and applied by Spark.
 
-Tokens are the words of a text and one end. A token's context is a class of the word before it: its hash
-modulo `CLASSES`, with one class for the beginning. Each class is a restaurant whose customers are the
+Tokens are the words of a text and one end. A token's context is a class of the word before it: one for all
+words of more than `SHORT` bytes, the others for short words by their hash, which tells most of the frequent
+ones apart, and one for the beginning. Each class is a restaurant whose customers are the
 training tokens after it; all share the root as parent, whose customers are their tables; the root's base
 gives `UNSEEN` to all unseen words together and the rest evenly to the `V` known ones. So the model is a
 distribution over the known tokens and one outcome for any other.
@@ -34,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.llm import common
-from wardgrid.llm.shingles import runs, words
+from wardgrid.llm.shingles import runs, sized_words
 
-CLASSES = 12
-BLOCK_BYTES = 20 << 20
+CLASSES, SHORT = 12, 3
+BLOCK_BYTES = 24 << 20
 DISCOUNT, STRENGTH = 0.8, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
 UNSEEN = 0.5
-SWEEPS, BURN_IN = 4, 2
+SWEEPS, BURN_IN = 3, 1
 END = 1  # the end's hash
 BEGINNING = CLASSES
 
@@ -54,12 +55,13 @@ def tokens_of(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Hashes and classes of each text's tokens."""
     hashes, kinds = [], []
     for begin, end in runs(texts):
-        found, first = words(texts.slice(begin, end - begin))
+        found, first, sizes = sized_words(texts.slice(begin, end - begin))
+        classes = np.where(sizes <= SHORT, found % np.uint64(CLASSES - 1) + np.uint64(1), np.uint64(0)).astype(np.uint8)
         for k in range(end - begin):
             own = np.append(found[first[k] : first[k + 1]], np.uint64(END))
             before = np.empty(len(own), np.uint8)
             before[0] = BEGINNING
-            before[1:] = own[:-1] % np.uint64(CLASSES)
+            before[1:] = classes[first[k] : first[k + 1]]
             hashes.append(own)
             kinds.append(before)
     return hashes, kinds
@@ -169,7 +171,7 @@ def _sweep(sweep: int, totals: dict, known: int):
                 root = total / max(totals["tokens"], 1)
             # probabilities under the seating of the sweep before
             sums = batch.column(6).flatten().to_numpy().copy()
-            roots = np.array(batch.column(7).to_pylist(), float).reshape(len(word), -1)
+            roots = batch.column(7).flatten().to_numpy().reshape(len(word), -1)
             if sweep > BURN_IN:
                 tables = batch.column(4).flatten().to_numpy()
                 sums += (n - DISCOUNT * tables + strength[kind] * root[owner]) / (STRENGTH + served[kind])
@@ -187,7 +189,7 @@ def _sweep(sweep: int, totals: dict, known: int):
                     pa.ListArray.from_arrays(at, pa.array(tables.astype(np.int64))),
                     pa.array(root_tables.astype(np.int64)),
                     pa.ListArray.from_arrays(at, pa.array(sums)),
-                    pa.array(list(roots), pa.list_(pa.float64())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(word) + 1, dtype=np.int32) * roots.shape[1]), pa.array(np.ascontiguousarray(roots).ravel())),
                 ],
                 names=names,
             )
@@ -281,7 +283,7 @@ def score(docs: DataFrame) -> DataFrame:
     documents that are not held out."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    read = common.stored(source.mapInArrow(_read, READ), "tokens", "zstd")
+    read = common.stored(source.mapInArrow(_read, READ), "tokens", together=False)
     asked = read.filter("pair is not null")
     counts = asked.filter("n > 0").groupBy("word", "class").agg(F.sum("n").alias("n"))
     model, shared = train(counts)

@@ -2,7 +2,8 @@
 
 Texts are cut at ASCII white space after A-Z are lower-cased. A word's hash is a polynomial over its bytes
 modulo 2^64 with a random value for each byte, then mixed; a shingle's hash combines the hashes of its words.
-Work goes over a few megabytes of text at a time, so memory is bounded by that and the longest single text.
+Work goes over a quarter of a megabyte of text at a time, so memory is bounded by that and the longest single
+text.
 """
 
 from __future__ import annotations
@@ -69,9 +70,15 @@ def runs(texts: pa.Array, at_once: int = AT_ONCE) -> Iterator[tuple[int, int]]:
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the number of the first word of each text (with the total at the end)."""
+    return sized_words(texts)[:2]
+
+
+def sized_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `words`, and each word's bytes."""
     data, offsets = text_bytes(texts)
+    none = np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), np.empty(0, np.int64)
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none
     inside = ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -79,12 +86,13 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begins[borders] = inside[borders]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none
     lengths = np.diff(np.append(starts, len(data)))
     place = np.arange(len(data), dtype=np.int64)[starts[0] :] - np.repeat(starts, lengths)
     values = _VALUES[data[starts[0] :]]
     values *= _powers_of(int(lengths.max()) + 1)[place]
-    return mixed(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
+    sizes = np.add.reduceat(inside[starts[0] :].astype(np.int64), starts - starts[0])
+    return mixed(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets), sizes
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
