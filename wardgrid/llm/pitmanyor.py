@@ -260,7 +260,7 @@ def _scored(known: int, tokens: int):
     def score(texts: pa.Table, given: pa.Table) -> pa.Table:
         order = given.column("pair").to_numpy()
         p, n = np.empty(len(order)), np.empty(len(order), np.int64)
-        p[order] = np.log10(given.column("p").to_numpy())
+        p[order] = np.log10(given.column("p").to_numpy().astype(float))
         n[order] = given.column("n").to_numpy()
         base = np.log10((n + 1) / (tokens + known + 1))
         rows = [unpacked(x.as_py()) for x in texts.column("tokens")]
@@ -287,7 +287,8 @@ def score(docs: DataFrame) -> DataFrame:
     asked = read.filter("pair is not null")
     counts = asked.filter("n > 0").groupBy("word", "class").agg(F.sum("n").alias("n"))
     model, shared = train(counts)
-    given = answers(asked, model, shared)
+    # single precision is enough for a logarithm, and half the bytes
+    given = answers(asked, model, shared).withColumn("p", F.col("p").cast("float"))
     texts = read.filter("tokens is not null").select(F.col("block").alias("home"), "doc_id", "held_out", "tokens")
     done = texts.groupBy("home").cogroup(given.groupBy("asker")).applyInArrow(_scored(shared["known"], shared["tokens"]), SCORED)
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(shared["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
