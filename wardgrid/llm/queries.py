@@ -89,7 +89,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives as request, response or revisit, and metadata records; read back."""
     path = warc.archive(common.table(spark, sf_dir, "pages", "page_id", "url", "html"))
-    captures = warc.assemble(warc.read(spark, path, keep_payload=False))
+    # kept without payloads: assembly uses the records several times
+    captures = warc.assemble(common.stored(warc.read(spark, path, keep_payload=False), "records"))
     return captures.select(
         "page_id",
         "payload_bytes",
