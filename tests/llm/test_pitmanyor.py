@@ -65,3 +65,29 @@ def test_seating():
     tables = pitmanyor.seated(customers, np.full(5, 2.0), 0.8, source)
     assert tables[0] == 0 and tables[1] == 1 and all(1 <= t <= c for t, c in zip(tables[1:], customers[1:], strict=True))
     assert pitmanyor.unpacked(pitmanyor.packed(np.array([0, 65535, 65536, 10**6]))).tolist() == [0, 65535, 65536, 10**6]
+
+
+def test_what_follows_each_long_word_is_learned(spark, tables):
+    """Two long words decide the next one; a model without them gives both followers the same chance."""
+    source = random.Random(4)
+    texts = [" ".join(w for _ in range(40) for w in source.choice([("alphabet", "follower"), ("boulevard", "successor")])) for _ in range(60)]
+    turned = "alphabet successor boulevard follower " * 20
+    kept = next(k for k in range(1000, 2000) if held_out(k))
+    other = next(k for k in range(kept + 1, 2000) if held_out(k))
+    rows = [(k, x) for k, x in enumerate(texts)] + [(kept, "alphabet follower boulevard successor " * 20), (other, turned)]
+    found = {r.doc_id: r.score for r in queries.op8_language_model(spark, tables(documents=rows)).collect()}
+    # of 80 tokens 40 are followers: right ones nearly certain, wrong ones never seen after their word
+    assert found[kept] - found[other] > 40
+
+
+def test_any_number_of_contexts(spark):
+    source = random.Random(3)
+    counts = Counter((source.randrange(200), int(source.paretovariate(0.5)) % 10**12) for _ in range(4000))
+    model, shared = pitmanyor.train(spark.createDataFrame([(w, c, n) for (w, c), n in counts.items()], "word long, class long, n long"))
+    assert model[2].count() == len({c for _, c in counts}) > 100
+    kinds = spark.createDataFrame([(k, c) for k, c in enumerate([*sorted({c for _, c in counts})[:40], -5])], "pair int, class long")
+    asked = spark.createDataFrame([(w,) for w in [*range(200), 999]], "word long").crossJoin(kinds).select(F.lit(0).alias("block"), "pair", "word", "class")
+    known = {w for w, _ in counts}
+    asked = asked.filter(F.col("word").isin([*known, 999]))
+    sums = pitmanyor.answers(asked, model, shared).groupBy("pair").agg(F.sum("p").alias("p")).collect()
+    assert len(sums) == 41 and all(abs(r.p - 1) < 1e-9 for r in sums)

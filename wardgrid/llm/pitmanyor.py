@@ -1,22 +1,21 @@
 """A hierarchical Pitman-Yor language model over words, sampled and applied by Spark.
 
-Tokens are the words of a text and one end. A token's context is a class of the word before it: one for all
-words of more than `SHORT` bytes, the others for short words by their hash, which tells most of the frequent
-ones apart, and one for the beginning. Each class is a restaurant whose customers are the
-training tokens after it; all share the root as parent, whose customers are their tables; the root's base
-gives `UNSEEN` to all unseen words together and the rest evenly to the `V` known ones. So the model is a
-distribution over the known tokens and one outcome for any other.
-
-Seating is sampled in sweeps. Dishes meet only in a restaurant's totals, so a sweep seats each word's
-customers anew in every restaurant that serves it, one after another by the Chinese-restaurant rule given the
-last sweep's totals and parent probabilities (a blocked Gibbs move; after the first customers a few at a time,
-by binomial draws with the chance of a new table), then the word's tables at the root. Totals are summed by
-Spark between sweeps: `CLASSES` + 3 numbers. Probabilities are averaged over the sweeps after the first
-`BURN_IN`.
+Tokens are the words of a text and one end. A token's context is the word before it, or the beginning. Each
+context is a restaurant whose customers are the training tokens after it; all share the root as parent, whose
+customers are their tables; the root's base gives `UNSEEN` to all unseen words together and the rest evenly to
+the `V` known ones. So the model is a distribution over the known tokens and one outcome for any other.
+
+Seating is sampled in sweeps. Dishes meet only in a restaurant's totals, so a sweep seats each pair's
+customers anew, one after another by the Chinese-restaurant rule given the last sweep's totals and parent
+probabilities (a blocked Gibbs move; after the first customers a few at a time, by binomial draws with the
+chance of a new table), then each word's tables at the root. A pair seen once has one table in any seating, so
+sweeps go over the pairs seen more often and add the others by their count. Totals of contexts and of words are
+tables, summed by Spark between sweeps and joined to the pairs; the driver has the root's two totals only.
+Probabilities are averaged over the sweeps from number `BURN_IN` on.
 
 Texts are read once, in blocks of about `BLOCK_BYTES`: a block keeps its texts as numbers of its own pairs of
-word and class, and asks for each pair once. Counts are summed over all blocks, the questions joined with the
-model on the word, and the answers sent to their block; nothing of the corpus reaches the driver, and no
+word and context, and asks for each pair once. Counts are summed over all blocks, the questions joined with the
+model's pairs, words and contexts, and the answers sent to their block; nothing of the corpus reaches the driver, and no
 table that grows with it is broadcast.
 
 Null texts are empty: the end alone. Without any training token nothing is known, and the base and the model give
@@ -35,36 +34,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.llm import common
-from wardgrid.llm.shingles import runs, sized_words
+from wardgrid.llm.shingles import runs, words
 
-CLASSES, SHORT = 12, 3
+CLASSES = 12  # so many contexts, and one more, are summed over by the test; any number is served
 BLOCK_BYTES = 24 << 20
 DISCOUNT, STRENGTH = 0.8, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
 UNSEEN = 0.5
-SWEEPS, BURN_IN = 3, 1
+SWEEPS, BURN_IN = 4, 2
 END = 1  # the end's hash
-BEGINNING = CLASSES
+BEGINNING = 0  # the beginning's, as a context
 
-READ = "block long, doc_id long, held_out boolean, tokens binary, pair int, word long, class int, n long"
-READ_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
+READ = "block long, doc_id long, held_out boolean, tokens binary, pair int, word long, class long, n long"
+READ_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 READ_NAMES = [x.split()[0] for x in READ.split(", ")]
 
 
-def tokens_of(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Hashes and classes of each text's tokens."""
-    hashes, kinds = [], []
+def tokens_of(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of each text's tokens."""
+    hashes = []
     for begin, end in runs(texts):
-        found, first, sizes = sized_words(texts.slice(begin, end - begin))
-        classes = np.where(sizes <= SHORT, found % np.uint64(CLASSES - 1) + np.uint64(1), np.uint64(0)).astype(np.uint8)
-        for k in range(end - begin):
-            own = np.append(found[first[k] : first[k + 1]], np.uint64(END))
-            before = np.empty(len(own), np.uint8)
-            before[0] = BEGINNING
-            before[1:] = classes[first[k] : first[k + 1]]
-            hashes.append(own)
-            kinds.append(before)
-    return hashes, kinds
+        found, first = words(texts.slice(begin, end - begin))
+        hashes += [np.append(found[first[k] : first[k + 1]], np.uint64(END)) for k in range(end - begin)]
+    return hashes
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -82,14 +74,19 @@ def _batch(rows: int, /, **columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=READ_NAMES)
 
 
-def _block(block: int, ids: list, held: list, hashes: list, kinds: list) -> Iterator[pa.RecordBatch]:
+def _block(block: int, ids: list, held: list, hashes: list) -> Iterator[pa.RecordBatch]:
     """A block's texts as numbers of pairs, and its pairs with their training counts."""
     lengths = [len(x) for x in hashes]
+    ends = np.cumsum([0, *lengths])
     whole = np.concatenate(hashes)
     vocabulary, inverse = np.unique(whole, return_inverse=True)
     del whole
-    code = inverse * (CLASSES + 1) + np.concatenate(kinds)
-    del inverse
+    contexts = np.append(vocabulary, np.uint64(BEGINNING))
+    before = np.empty_like(inverse)
+    before[1:] = inverse[:-1]
+    before[ends[:-1]] = len(vocabulary)
+    code = inverse * len(contexts) + before
+    del inverse, before
     pairs, inverse, seen = np.unique(code, return_inverse=True, return_counts=True)
     number = np.empty(len(pairs), np.int64)
     number[np.argsort(-seen, kind="stable")] = np.arange(len(pairs))  # frequent pairs have small numbers
@@ -98,32 +95,29 @@ def _block(block: int, ids: list, held: list, hashes: list, kinds: list) -> Iter
     taught = np.repeat(~np.array(held, bool), lengths)
     counts = np.bincount(inverse[taught], minlength=len(pairs))
     del inverse
-    ends = np.cumsum([0, *lengths])
     for at in range(0, len(ids), 256):
         some = range(at, min(at + 256, len(ids)))
         yield _batch(len(some), block=[block] * len(some), doc_id=[ids[k] for k in some], held_out=[held[k] for k in some], tokens=[packed(numbers[ends[k] : ends[k + 1]]) for k in some])
     for at in range(0, len(pairs), 50_000):
         part = slice(at, at + 50_000)
         here = pairs[part]
-        yield _batch(len(here), block=np.full(len(here), block), pair=number[part].astype(np.int32), word=vocabulary[here // (CLASSES + 1)].view(np.int64), **{"class": (here % (CLASSES + 1)).astype(np.int32)}, n=counts[part].astype(np.int64))
+        yield _batch(len(here), block=np.full(len(here), block), pair=number[part].astype(np.int32), word=vocabulary[here // len(contexts)].view(np.int64), **{"class": contexts[here % len(contexts)].view(np.int64)}, n=counts[part].astype(np.int64))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, number, size = TaskContext.get().partitionId(), 0, 0
-    ids, held, hashes, kinds = [], [], [], []
+    ids, held, hashes = [], [], []
     for batch in batches:
-        h, k = tokens_of(batch.column(2))
         ids += batch.column(0).to_pylist()
         held += batch.column(1).to_pylist()
-        hashes += h
-        kinds += k
+        hashes += tokens_of(batch.column(2))
         size += batch.column(2).nbytes
         if size >= BLOCK_BYTES:
-            yield from _block(part << 24 | number, ids, held, hashes, kinds)
+            yield from _block(part << 24 | number, ids, held, hashes)
             number, size = number + 1, 0
-            ids, held, hashes, kinds = [], [], [], []
+            ids, held, hashes = [], [], []
     if ids:
-        yield from _block(part << 24 | number, ids, held, hashes, kinds)
+        yield from _block(part << 24 | number, ids, held, hashes)
 
 
 def seated(customers: np.ndarray, pull: np.ndarray, discount: float, source: np.random.Generator) -> np.ndarray:
@@ -141,115 +135,83 @@ def seated(customers: np.ndarray, pull: np.ndarray, discount: float, source: np.
     return tables
 
 
-STATE = "word long, classes array<int>, n array<long>, total long, tables array<long>, root_tables long, sums array<double>, roots array<double>"
-
-
-def _sweep(sweep: int, totals: dict, known: int):
-    """One sweep over words: new tables, and probabilities added up after the burn-in."""
-    strength = np.array([STRENGTH + DISCOUNT * totals["tables"][k] for k in range(CLASSES + 1)])
-    root_pull = (ROOT_STRENGTH + ROOT_DISCOUNT * totals["root_tables"]) * (1 - UNSEEN) / max(known, 1)
-    served = np.array(totals["customers"], float)
-    root_served = ROOT_STRENGTH + totals["root_customers"]
-    names = [x.split()[0] for x in STATE.split(", ")]
+def _seat(sweep: int, discount: float):
+    """Tables anew for rows that end with customers and pull, which are replaced by them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            word, total = batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            source = np.random.default_rng([sweep, int(word[0]) & 0xFFFFFFFF, int(word[-1]) & 0xFFFFFFFF, len(word)])
-            lists = batch.column(1)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            offsets = offsets - offsets[0]
-            owner = np.repeat(np.arange(len(word)), np.diff(offsets))
-            kind = lists.flatten().to_numpy().astype(np.int64)
-            n = batch.column(2).flatten().to_numpy()
-            if sweep:
-                before = np.bincount(owner, batch.column(4).flatten().to_numpy(), len(word))
-                root = (before - ROOT_DISCOUNT * batch.column(5).to_numpy() + root_pull) / root_served
-            else:
-                root = total / max(totals["tokens"], 1)
-            # probabilities under the seating of the sweep before
-            sums = batch.column(6).flatten().to_numpy().copy()
-            roots = batch.column(7).flatten().to_numpy().reshape(len(word), -1)
-            if sweep > BURN_IN:
-                tables = batch.column(4).flatten().to_numpy()
-                sums += (n - DISCOUNT * tables + strength[kind] * root[owner]) / (STRENGTH + served[kind])
-                roots = np.hstack([roots, root[:, None]])
-            tables = seated(n, strength[kind] * root[owner], DISCOUNT, source)
-            customers = np.bincount(owner, tables, len(word)).astype(np.int64)
-            root_tables = seated(customers, np.full(len(word), root_pull), ROOT_DISCOUNT, source)
-            at = pa.array(offsets.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(at, pa.array(kind.astype(np.int32))),
-                    pa.ListArray.from_arrays(at, pa.array(n)),
-                    batch.column(3),
-                    pa.ListArray.from_arrays(at, pa.array(tables.astype(np.int64))),
-                    pa.array(root_tables.astype(np.int64)),
-                    pa.ListArray.from_arrays(at, pa.array(sums)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(word) + 1, dtype=np.int32) * roots.shape[1]), pa.array(np.ascontiguousarray(roots).ravel())),
-                ],
-                names=names,
-            )
+            key = batch.column(0).to_numpy()
+            source = np.random.default_rng([sweep, int(key[0]) & 0xFFFFFFFF, int(key[-1]) & 0xFFFFFFFF, len(key)])
+            kept = batch.schema.names[:-1]
+            tables = seated(batch.column(len(kept) - 1).to_numpy(), batch.column(len(kept)).to_numpy(), discount, source)
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(kept))], pa.array(tables.astype(np.int64))], names=[*kept, "tables"])
 
     return run
 
 
-def _totals(state: DataFrame, tokens: int, customers: list[int]) -> dict:
-    """Tables of each restaurant and the root's customers and tables."""
-    each = state.select(F.explode(F.arrays_zip("classes", "tables")).alias("x")).groupBy("x.classes").agg(F.sum("x.tables").alias("t")).collect()
-    tables = [0] * (CLASSES + 1)
-    for r in each:
-        tables[r["classes"]] = r["t"]
-    root = state.agg(F.coalesce(F.sum("root_tables"), F.lit(0))).first()[0]
-    return {"tokens": tokens, "customers": customers, "tables": tables, "root_customers": sum(tables), "root_tables": root}
-
-
-def train(counts: DataFrame) -> tuple[DataFrame, dict]:
-    """From (word, class, n): (word, total, seen map class -> probability, roots), and what unseen pairs need."""
-    grouped = counts.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("x"))
-    empty = F.array().cast("array<double>")
-    state = grouped.select(
-        "word",
-        F.col("x.class").alias("classes"),
-        F.col("x.n").alias("n"),
-        F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("total"),
-        F.transform("x", lambda x: F.lit(1).cast("long")).alias("tables"),
-        F.lit(1).cast("long").alias("root_tables"),
-        F.transform("x", lambda x: F.lit(0.0)).alias("sums"),
-        empty.alias("roots"),
-    )
-    state = common.stored(state.sortWithinPartitions("word"), "seats")
-    known, tokens = state.agg(F.count("*"), F.coalesce(F.sum("total"), F.lit(0))).first()
-    customers = [0] * (CLASSES + 1)
-    for r in state.select(F.explode(F.arrays_zip("classes", "n")).alias("x")).groupBy("x.classes").agg(F.sum("x.n").alias("n")).collect():
-        customers[r["classes"]] = r["n"]
-    totals = _totals(state, tokens, customers)
-    backoff, unseen = [], []
-    for sweep in range(SWEEPS + 1):
-        if sweep > BURN_IN:
-            backoff.append([(STRENGTH + DISCOUNT * t) / (STRENGTH + c) for t, c in zip(totals["tables"], customers, strict=True)])
+PAIRS = "word long, class long, summed long, n long, tables long"
+WORDS = "word long, total long, once long, roots array<double>, customers long, tables long"
+
+
+def train(counts: DataFrame) -> tuple[tuple[DataFrame, DataFrame, DataFrame], dict]:
+    """From (word, class, n), a class being a context: the seen pairs (word, class, n, tables), the words (word,
+    total, roots), the contexts (class, customers, tables), and what unseen words need. `roots` and a context's
+    `tables` have one value a sample, a pair's `tables` is their mean."""
+    none = F.lit(0).cast("long")
+    pairs = common.stored(counts.select("word", F.col("class").cast("long").alias("class"), "n").repartition("word", "class").sortWithinPartitions("word", "class"), "pairs")
+    once = F.sum((F.col("n") == 1).cast("long")).alias("once")
+    words = common.stored(pairs.groupBy("word").agg(F.sum("n").alias("total"), once, F.count("*").alias("customers")), "words")
+    contexts = common.stored(pairs.groupBy("class").agg(F.sum("n").alias("served"), once, F.count("*").alias("now")), "contexts")
+    known, tokens, root_customers = words.agg(F.count("*"), F.coalesce(F.sum("total"), none), F.coalesce(F.sum("customers"), none)).first()
+    root_tables, samples, unseen = known, 0, []
+    words = words.withColumn("root", F.col("total") / max(tokens, 1)).withColumn("roots", F.array().cast("array<double>"))
+    contexts = contexts.withColumn("tables", F.array().cast("array<long>"))
+    often = pairs.filter("n > 1").withColumn("summed", none)
+    for sweep in range(SWEEPS):
+        root_pull = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) * (1 - UNSEEN) / max(known, 1)
+        pull = (STRENGTH + DISCOUNT * F.col("now")) * F.col("root")
+        placed = often.select("word", "class", "summed", "n").join(words.select("word", "root"), "word").join(contexts.select("class", "now"), "class")
+        placed = placed.select("word", "class", "summed", "n", pull.alias("pull")).sortWithinPartitions("word", "class")
+        often = placed.mapInArrow(_seat(sweep, DISCOUNT), PAIRS)
+        if sweep >= BURN_IN:
+            often = often.withColumn("summed", F.col("summed") + F.col("tables"))
+        often = common.stored(often, "seats")
+        by_word = often.groupBy("word").agg(F.sum("tables").alias("more"))
+        at_root = words.select("word", "total", "once", "roots").join(by_word, "word", "left")
+        at_root = at_root.select("word", "total", "once", "roots", (F.col("once") + F.coalesce("more", none)).alias("customers"), F.lit(root_pull).alias("pull"))
+        words = common.stored(at_root.sortWithinPartitions("word").mapInArrow(_seat(sweep, ROOT_DISCOUNT), WORDS), "words")
+        by_class = often.groupBy("class").agg(F.sum("tables").alias("more"))
+        contexts = contexts.select("class", "served", "once", "tables").join(by_class, "class", "left")
+        contexts = contexts.withColumn("now", F.col("once") + F.coalesce("more", none)).drop("more")
+        if sweep >= BURN_IN:
+            contexts = contexts.withColumn("tables", F.concat("tables", F.array("now")))
+        contexts = common.stored(contexts, "contexts")
+        root_customers, root_tables = words.agg(F.coalesce(F.sum("customers"), none), F.coalesce(F.sum("tables"), none)).first()
+        root_pull = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) * (1 - UNSEEN) / max(known, 1)
+        words = words.withColumn("root", (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + root_pull) / (ROOT_STRENGTH + root_customers))
+        if sweep >= BURN_IN:
+            samples += 1
+            words = words.withColumn("roots", F.concat("roots", F.array("root")))
             # without any training token, all is unseen
-            unseen.append((ROOT_STRENGTH + ROOT_DISCOUNT * totals["root_tables"]) * (UNSEEN if known else 1.0) / (ROOT_STRENGTH + totals["root_customers"]))
-        state = common.stored(state.mapInArrow(_sweep(sweep, totals, known), STATE), "seats")
-        totals = _totals(state, tokens, customers)
-    samples = len(backoff)
-    seen = F.map_from_arrays("classes", F.transform("sums", lambda x: x / samples))
-    return state.select("word", "total", seen.alias("seen"), "roots"), {"known": known, "tokens": tokens, "backoff": backoff, "unseen": unseen}
+            unseen.append((ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) * (UNSEEN if known else 1.0) / (ROOT_STRENGTH + root_customers))
+    seen = often.select("word", "class", "n", (F.col("summed") / samples).alias("tables"))
+    seen = seen.unionByName(pairs.filter("n = 1").withColumn("tables", F.lit(1.0)))
+    model = seen, words.select("word", "total", "roots"), contexts.select("class", F.col("served").alias("customers"), "tables")
+    return model, {"known": known, "tokens": tokens, "unseen": unseen}
 
 
-def answers(asked: DataFrame, model: DataFrame, shared: dict) -> DataFrame:
+def answers(asked: DataFrame, model: tuple[DataFrame, DataFrame, DataFrame], shared: dict) -> DataFrame:
     """(asker, pair, p, n): the averaged probability of each pair that a block asks for, and the word's count."""
-    joined = asked.select("block", "pair", "word", "class").join(model, "word", "left")
-    samples, classes = len(shared["backoff"]), range(CLASSES + 1)
-    rest, lost = F.lit(0.0), F.lit(0.0)
-    for s in range(samples):
-        weight = F.array(*[F.lit(float(shared["backoff"][s][k])) for k in classes])[F.col("class")]
-        rest = rest + weight * F.col("roots")[s]
-        lost = lost + weight * F.lit(float(shared["unseen"][s]))
-    p = F.coalesce(F.element_at("seen", F.col("class")), rest / samples, lost / samples)
+    seen, words, contexts = model
+    own = (F.col("n") - DISCOUNT * F.col("tables")).alias("own")
+    joined = asked.select("block", "pair", "word", F.col("class").cast("long").alias("class")).join(seen.select("word", "class", own), ["word", "class"], "left")
+    joined = joined.join(words, "word", "left").drop("word").join(contexts, "class", "left")
+    samples, rest = len(shared["unseen"]), F.lit(0.0)
+    for s, lost in enumerate(shared["unseen"]):
+        rest = rest + (STRENGTH + DISCOUNT * F.coalesce(F.col("tables")[s], F.lit(0))) * F.coalesce(F.col("roots")[s], F.lit(float(lost)))
+    p = (F.coalesce("own", F.lit(0.0)) + rest / samples) / (STRENGTH + F.coalesce("customers", F.lit(0)))
     return joined.select(F.col("block").alias("asker"), "pair", p.alias("p"), F.coalesce("total", F.lit(0)).alias("n"))
 
 
