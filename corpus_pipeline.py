@@ -24,7 +24,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated runs of lines; one of which nothing is left goes."""
     done = linededup.dedup(docs)
-    emptied = (F.col("n_deleted") > 0) & (~F.col("kept_text").rlike(r"\S"))
+    emptied = (F.col("n_deleted") > 0) & (~F.col("kept_text").rlike(linededup.FILLED))
     cut = F.col("n_deleted") > 0
     out = done.filter(~F.coalesce(emptied, F.lit(False))).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:

@@ -59,3 +59,39 @@ def test_passages_copies_and_clean_documents(spark, tables):
     assert all(found[k].n_deleted == 0 and found[k].text == dict(rows)[k] for k in (9, 10, 12, 13))
     assert found[11].text == "" and found[11].deleted == "0-3" and found[None].deleted == "0-1"
     assert queries.op1_line_dedup(spark, tables()).count() == 0
+
+
+def counted(line):
+    """Words of a line, character by character."""
+    words, inside = 0, False
+    for c in line:
+        lone = "\u3041" <= c <= "\u30ff" or "\u4e00" <= c <= "\u9fff"
+        words += lone or (not c.isspace() and not inside)
+        inside = not c.isspace() and not lone
+    return words
+
+
+def test_words_of_code_tables_and_chinese(spark, tables):
+    source = random.Random(11)
+    han = lambda n: "".join(chr(source.randrange(0x4E00, 0x9F00)) for _ in range(n))
+    shared = [" " * 12 + "}", " " * 40 + "return x", "\r", "\t", "\u3000\xa0", "a\tb\tc", "\t".join("abcdefghijklm"), han(12), han(13), han(6) + " ab  cd " + han(4), "x" * 300, "\u30c6\u30b9\u30c8" * 5, "if x:\r"]
+    rows = [(k, "\n".join(x for _ in range(9) for x in (source.choice(shared), *[f"own {source.random()}"] * (source.random() < 0.6)))) for k in range(60)]
+    docs = {}
+    for k, text in rows:
+        docs[k] = [(n, x) for n, x in enumerate(text.split("\n")) if x.strip()]
+    seen, gone = set(), {k: set() for k in docs}
+    for k, seq in docs.items():
+        for a in range(len(seq)):
+            for b in range(a, len(seq)):
+                run = tuple(x for _, x in seq[a : b + 1])
+                if sum(map(counted, run)) >= linededup.MIN_WORDS:
+                    if run in seen:
+                        gone[k].update(n for n, _ in seq[a : b + 1])
+                    seen.add(run)
+    found = {r.doc_id: r for r in queries.op1_line_dedup(spark, tables(documents=rows)).collect()}
+    for k, text in rows:
+        assert found[k].text == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[k])
+    code = [(k, "\n".join(f"{f}{k}" for f in ("def f", "g = ")) + "\n" + " " * 16 + "}") for k in range(3)]
+    assert all(r.n_deleted == 0 for r in queries.op1_line_dedup(spark, tables(documents=code)).collect())
+    lone = [r.n_deleted for r in queries.op1_line_dedup(spark, tables(documents=[(k, shared[8]) for k in range(3)])).collect()]
+    assert sorted(lone) == [0, 1, 1]

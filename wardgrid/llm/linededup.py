@@ -12,7 +12,9 @@ copies of one run: of the shortest run that begins at a line, or ends at it, and
 member, by doc_id and line, stays and the lines of all later ones are deleted. Overlapping deleted runs add
 up to the maximal repeated runs, whatever their length, so no rank beyond that depth is needed.
 
-Lines are cut at line feeds; a line is compared whole, blanks and case included. A null text has no lines and
+Words are runs of characters other than white space; Chinese and Japanese characters (Han, kana, bopomofo),
+which stand without blanks, count one by one. Lines are cut at line feeds; a line is compared whole, blanks and
+case included. A line without a character other than white space is blank. A null text has no lines and
 stays null. Equal rows (id and text) are one document and get equal results. Rows without an id come after
 the others. Runs that repeat within a document are deleted too, and may overlap. Blank lines stay. Empty
 tables give empty results. Other columns pass through; those named like the result's are replaced.
@@ -26,6 +28,11 @@ from pyspark.sql import functions as F
 from wardgrid.llm import common
 
 MIN_WORDS = 13
+# white space of Unicode, and characters that are words of their own
+SPACE = r"\s\x1c-\x1f\x85\p{Z}"
+LONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}"
+FILLED = f"[^{SPACE}]"
+WORD = f"[{LONE}]|[^{SPACE}{LONE}]+"
 RESULT = ("n_lines", "n_deleted", "deleted", "kept_text")
 
 
@@ -38,10 +45,9 @@ def _document():
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc, doc_id, pos, line, words, key): the non-blank lines; `pos` counts them, `line` counts all."""
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
-    filled = F.filter(numbered, lambda s: F.trim(s["x"]) != "")
+    filled = F.filter(numbered, lambda s: s["x"].rlike(FILLED))
     rows = docs.filter("text is not null").select(_document().alias("doc"), "doc_id", F.posexplode(filled).alias("pos", "s"))
-    blanks = F.octet_length("s.x") - F.octet_length(F.replace(F.col("s.x"), F.lit(" "), F.lit("")))
-    return rows.select("doc", "doc_id", "pos", "s.line", (blanks + 1).alias("words"), F.unhex(F.md5(F.col("s.x").cast("binary"))).alias("key"))
+    return rows.select("doc", "doc_id", "pos", "s.line", F.regexp_count("s.x", F.lit(WORD)).alias("words"), F.unhex(F.md5(F.col("s.x").cast("binary"))).alias("key"))
 
 
 def ranked(rows: DataFrame, *keys: str) -> DataFrame:
