@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardgrid.operators.normalise import declared_kinds
+from wardgrid.plans import registry
 from wardgrid.plans.loads import load_months, preview_load
 from wardgrid.schemas import DATASETS, Dataset, Resource, collisions_schema, requests_schema, ridership_schema
 from wardgrid.sources import catalog, landing, ledger, sinks, tables
@@ -162,6 +163,19 @@ def test_json_array_pages(spark, tmp_path):
     assert sorted(r["value"] for r in landing.read_pages(spark, str(tmp_path)).collect()) == ['{"a":1}', '{"a":2}']
 
 
+def test_pages_are_bounded_in_a_crowded_month(spark, monkeypatch, tmp_path):
+    month = F.when(F.col("id") < 20000, "01").when(F.col("id") < 20500, "02")
+    key = F.when(F.col("id") % 2 == 0, "same").when(F.col("id") % 3 > 0, F.col("id").cast("string"))
+    rows = spark.range(21000).select(key.alias("unique_key"), F.lit("O").alias("status"), F.lit("1997").alias("year"), month.alias("month"))
+    tables = type("Requests", (), {"spark": spark, "requests": rows})()
+    monkeypatch.setattr(registry, "Tables", lambda spark, sf_dir: tables)
+    monkeypatch.setattr(registry, "PAGE_ROWS", 1000, raising=False)
+    monkeypatch.setattr(registry, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    assert [tuple(r) for r in registry.QUERIES["record_pages"](spark, "").collect()] == [("O", 21000)]
+    sizes = [len(json.loads(p.read_text())) for p in (tmp_path / "pages").glob("*.txt")]
+    assert sum(sizes) == 21000 and max(sizes) < 1200 and len(sizes) == 22
+
+
 def test_polygon_table(spark):
     shapes = spark.sql("select 7 LocationID, 0.5D Shape_Area, cast(null as string) zone, 'POLYGON ((0 0, 1 0, 1 1, 0 0))' shape")
     out = landing.polygon_table(shapes, "shape", 4326)

@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 CRASH_YEAR = "2000"
 AS_OF = date(2002, 1, 15)
 PART_ROWS = 20
+PAGE_ROWS = 10_000
 # every line between zones, and a place between every two lines
 ZONE_LINES = sorted([WEST + b * WIDTH for b in X_BREAKS] + [WEST + (b + 0.03) * WIDTH for b in X_BREAKS[:-1]])
 REQUEST_KINDS = {
@@ -210,12 +211,25 @@ def response_files(t: Tables) -> DataFrame:
     return relational.count_by(rows, "state", "county")
 
 
+def record_arrays(rows: DataFrame, page_rows: int) -> DataFrame:
+    """`value`: JSON arrays of the records of a month, of about `page_rows` each. Salts number the rows, so
+    neither a crowded month nor a repeated key makes a page larger."""
+    months = rows.groupBy("year", "month").agg(F.ceil(F.count(F.lit(1)) / page_rows).alias("_pages"))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).alias("r").join(months.alias("m"), same_month("r", "m"))
+    salted = numbered.select("r.*", F.pmod(F.xxhash64("_row"), F.col("_pages")).alias("_page"))
+    pages = salted.groupBy("year", "month", "_page").agg(F.to_json(F.collect_list(F.struct("unique_key", "status"))).alias("value"))
+    return pages.select("value")
+
+
+def same_month(left: str, right: str) -> Column:
+    return F.col(f"{left}.year").eqNullSafe(F.col(f"{right}.year")) & F.col(f"{left}.month").eqNullSafe(F.col(f"{right}.month"))
+
+
 @query
 def record_pages(t: Tables) -> DataFrame:
     """Files that hold one JSON array of records each, as one line per record."""
     folder = shared_folder(t.spark, "pages")
-    pages = t.requests.groupBy("year", "month").agg(F.to_json(F.collect_list(F.struct("unique_key", "status"))).alias("value"))
-    pages.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    record_arrays(t.requests, PAGE_ROWS).write.option("maxRecordsPerFile", 1).text(folder)
     lines = landing.read_pages(t.spark, folder)
     return relational.count_by(lines.select(F.get_json_object("value", "$.status").alias("status")), "status")
 
