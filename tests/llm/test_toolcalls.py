@@ -53,3 +53,19 @@ def test_query_on_odd_rows(spark, tables):
 
 def test_canonical_json():
     assert toolcalls.canonical({"b": [1.0, 2.5, None], "a": {"z": True, "é": "\u0001"}}) == '{"a":{"z":true,"é":"\\u0001"},"b":[1,2.5,null]}'
+
+
+def test_calls_without_identifier_are_rows(spark, tables):
+    stated = [call(None, '{"text": "x", "turn": 1}', name="user"), call(None, '{"turn": 1}', "0", name="user"), call(None, "{}", name="other"), call("k", '{"text": "x", "turn": 2}', name="user")]
+    text = json.dumps({"tool_calls": stated})
+    rows = [(1, 0, "user", "a"), (1, 3, "assistant", text), (2, None, "assistant", text), (None, 4, "assistant", text), (2, None, "user", "b"), (None, None, "user", "c")]
+    found = queries.op2_tool_calls(spark, tables(conversations=rows)).collect()
+    lost = sorted((r.conv_id, r.turn is None, r.tool, r.arguments, r.error or "", r.level, r.status) for r in found if r.call_id is None)
+    for conv, no_turn in ((1, False), (2, True)):
+        mine = [r[2:] for r in lost if r[:2] == (conv, no_turn)]
+        assert sorted(mine, key=str) == sorted(
+            [("other", "{}", "unknown tool", 0, "pending"), ("user", '{"text":"x","turn":1}', "", 0, "pending"), ("user", '{"turn":1}', "missing text", None, "pending")], key=str
+        )
+    assert len(lost) == 6
+    # messages without conversation or turn are no calls themselves; of the stated ones, those with a conversation stay
+    assert sorted((r.conv_id, r.call_id) for r in found if r.call_id is not None) == [(1, "0"), (1, "3"), (1, "k"), (2, "k")]

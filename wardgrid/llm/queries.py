@@ -27,8 +27,10 @@ MESSAGE_SCHEMA = {"properties": {"text": {"type": "string"}, "turn": {"type": "i
 
 
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message as a call of the tool named like its role, beside the calls that messages state as JSON:
-    it rests on the message at half its turn and is answered by the next turn."""
+    """Every message with a conversation and a turn as a call of the tool named like its role, beside the calls
+    that messages state as JSON: it rests on the message at half its turn and is answered by the next turn. A
+    message without a conversation is no row; one without a turn is none either, but calls it states are. Stated
+    calls without an identifier are rows of their own, pending."""
     messages = common.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     named = messages.filter("conv_id is not null and turn is not null")
     words = F.size(F.split("text", " "))
@@ -44,6 +46,7 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated, answered = toolcalls.calls_of(messages)
     schemas = {role: MESSAGE_SCHEMA for role in ("system", "user", "assistant", "tool")}
     done = toolcalls.linked(calls.unionByName(stated.select(*calls.columns)), results.unionByName(answered), schemas)
+    done = done.unionByName(toolcalls.unnamed(stated, schemas))
     return done.select("conv_id", "call_id", "turn", "tool", "arguments", "error", "level", "result_turn", F.sha2("result", 256).alias("result_sha256"), "status")
 
 

@@ -9,7 +9,7 @@ tool's schema (required names, JSON types, unknown names) and written as canonic
 blanks, shortest escapes.
 
 Nulls: a message without a conversation or text holds no call; a call without an identifier is linked with
-nothing; missing arguments are an empty object. Of calls that share an identifier in a conversation the
+nothing and no row of `linked`, but each is a row of its own in `unnamed`; missing arguments are an empty object. Of calls that share an identifier in a conversation the
 earliest counts, and the same for results; results without a call are counted as orphans of their
 conversation by `orphans`. A dependency on an unknown call is an error of that call but no link. Arguments
 that are no JSON object are invalid and written as null. Empty tables give empty results. A conversation may
@@ -163,6 +163,24 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
     )
 
 
+def unnamed(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """The calls without an identifier, one row each with the columns of `linked`: checked and pending. Nothing
+    can rest on them; they have a level if they rest on nothing themselves."""
+    checked_calls = calls.filter("call_id is null").withColumn("c", check_arguments(F.col("arguments"), F.col("tool"), schemas))
+    rests = F.size("depends_on") > 0
+    return checked_calls.select(
+        *KEY,
+        "turn",
+        "tool",
+        F.col("c.arguments").alias("arguments"),
+        F.col("c.error").alias("error"),
+        F.when(~rests, 0).alias("level"),
+        F.lit(None).cast("long").alias("result_turn"),
+        F.lit(None).cast("string").alias("result"),
+        F.lit("pending").alias("status"),
+    )
+
+
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
     """(conv_id, orphans): results that answer no call."""
     return results.join(calls.select(*KEY).distinct(), list(KEY), "left_anti").groupBy("conv_id").agg(F.count("*").alias("orphans"))
