@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, fingerprints, langid, linededup, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
+from wardgrid.llm import common, decontamination, filteraudit, fingerprints, langid, linededup, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -171,6 +171,46 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(common.table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return filteraudit.audit(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+# the same by applying the filters of each order one after another
+FILTER_AUDIT_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+fail AS (
+  SELECT part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM doc LEFT JOIN (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+                      FROM labels GROUP BY doc_id) USING (doc_id)),
+kind AS (
+  SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                      CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fail GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT '' AS o UNION ALL SELECT o || f FROM orders, letter WHERE NOT contains(o, f)),
+place AS (SELECT o, s, o[s] AS f, o[1 : s - 1] AS earlier FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE len(o) = 5),
+state AS (
+  SELECT part, o, s, f, failed, n, good, toxic, contains(failed, f) AS fails,
+         len(translate(failed, earlier, '')) < len(failed) AS gone FROM kind, place),
+step AS (
+  SELECT part, o, s, f, sum(CASE WHEN gone OR fails THEN 0 ELSE n END) AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN failed = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM state GROUP BY part, o, s, f)
+SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM step
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_tool_calls": op2_tool_calls,
@@ -182,10 +222,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op2_tool_calls": TOOL_CALLS_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op11_filter_audit": FILTER_AUDIT_SQL,
 }
