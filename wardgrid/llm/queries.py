@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, filteraudit, fingerprints, langid, linededup, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
+from wardgrid.llm import common, decontamination, filteraudit, fingerprints, langid, linededup, mixing, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -211,6 +211,11 @@ FROM step
 """
 
 
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document that a mix of all sources to target weights takes."""
+    return mixing.mix(common.table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_tool_calls": op2_tool_calls,
@@ -223,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
     "op11_filter_audit": op11_filter_audit,
+    "op12_source_mixing": op12_source_mixing,
 }
 
 ORACLES: dict[str, str] = {
