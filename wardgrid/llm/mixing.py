@@ -13,10 +13,11 @@ space of the two constraints), forwards or backwards at random so that each one'
 of them reaches 0 or 1; the next document takes its place. Only two documents are open at any time, so a block
 of any size streams through constant memory. Blocks of about `BLOCK` documents fly on their own, then the two
 that each leaves open are dealt to fewer blocks, until a source is one block. Landing phase: the last block of a source
-keeps back its documents at the places 1, 2, 4, 8 and so on by falling size, sixteen at most, from large to small
-like coins. Of all outcomes of these and the two left open, the one nearest to the expected tokens is taken, among
-those whose count is off by `OFF_BY` at most. A source of more than a few documents so meets its target almost to
-the word, one of a few as near as whole documents allow.
+keeps back `KEPT_BACK` documents at most, at places that grow by a quarter (from 1 to 8, then 10, 12, 15 and so on) by falling size,
+from large to small like coins. Of all outcomes of these and the two left open, the one nearest to the expected tokens is taken, among
+those whose count is off by `OFF_BY` at most. A source of one block and more than a few documents so meets its
+target almost to the word, one of a few as near as whole documents allow, and one of many blocks misses it by
+a document's size at most.
 
 Blocks, order and random numbers come from hashes of the row, so runs agree however the table is stored. Rows
 alike are separate documents that may fare differently, in an order that cannot be told from outside.
@@ -45,8 +46,8 @@ BLOCK = 20_000
 FEW_SOURCES = 100_000  # a table of so many short rows is broadcast
 SALTS = 64
 SETTLED = 1e-9
-KEPT_BACK = 16
-OFF_BY = 2
+KEPT_BACK = 18
+OFF_BY = 3
 
 WORD = r"[^\x20\x09-\x0D]+"
 RESULT = ("doc_id", "size", "source_size", "target", "taken")
@@ -147,7 +148,7 @@ class Flight:
         self.open: list[list] = []
         self.back: list[list] = []
         self.done: list[list] = []
-        self.seen = 0
+        self.seen, self.coin = 0, 1
 
     def _put(self, probs: list[float]) -> None:
         for unit, p in zip(self.open, probs, strict=True):
@@ -157,8 +158,9 @@ class Flight:
 
     def add(self, unit: list, last: bool = False) -> None:
         self.seen += 1
-        if last and not self.seen & (self.seen - 1) and len(self.back) < KEPT_BACK:
+        if last and self.seen == self.coin and len(self.back) < KEPT_BACK:
             self.back.append(unit)
+            self.coin += max(1, self.coin // 4)
             return
         self.open.append(unit)
         if len(self.open) == 3:
@@ -171,7 +173,7 @@ class Flight:
             self.open += self.back
             self._put(landed([u[self.PROB] for u in self.open], [u[self.SIZE] for u in self.open]))
         self.done += self.open
-        self.open, self.back, self.seen = [], [], 0
+        self.open, self.back, self.seen, self.coin = [], [], 0, 1
 
 
 def _flown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
