@@ -42,6 +42,24 @@ def stored(df: DataFrame, purpose: str, together: bool = True) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FEW = 100_000  # a table of so many short rows is broadcast
+SALTS = 64
+
+
+def beside(rows: DataFrame, table: DataFrame, keys: list[str], draw: str, few: int = FEW, how: str = "inner") -> DataFrame:
+    """`rows` joined with a table of one row a key (`how`: inner, left_semi or left_anti). The table is broadcast
+    if it is counted to be small, else the join goes over salts from the hash column `draw`, as a third of all
+    rows may share one key."""
+    right = [c for c in table.columns if c not in keys] if how == "inner" else []
+    if table.count() <= few:
+        salted, copies, on = rows, F.broadcast(table), keys
+    else:
+        salted = rows.withColumn("_salt", F.pmod(draw, F.lit(SALTS)))
+        copies, on = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge"), [*keys, "_salt"]
+    joined = salted.alias("r").join(copies.alias("t"), same("r", "t", *on), how)
+    return joined.select(*[f"r.{c}" for c in rows.columns], *[f"t.{c}" for c in right])
+
+
 def same(left: str, right: str, *columns: str) -> Column:
     """Null-safe equality of the columns under two aliases."""
     out = F.lit(True)

@@ -43,8 +43,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # tokens of the mix to tokens of all sources
 MOST = 2
 BLOCK = 20_000
-FEW_SOURCES = 100_000  # a table of so many short rows is broadcast
-SALTS = 64
+FEW_SOURCES = common.FEW
 SETTLED = 1e-9
 KEPT_BACK = 18
 OFF_BY = 3
@@ -88,17 +87,6 @@ def with_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return table.withColumn("target", F.least(most * F.col("size").cast("double"), F.lit(level) * F.col("weight")))
 
 
-def beside(rows: DataFrame, table: DataFrame, key: str, few: int = FEW_SOURCES) -> DataFrame:
-    """`rows` (with a hash `draw`) joined with a table of one row a key: broadcast if it is known to be small,
-    else over salts, as a third of all rows may share one key."""
-    if table.count() <= few:
-        return rows.alias("r").join(F.broadcast(table).alias("t"), common.same("r", "t", key)).select("r.*", *[f"t.{c}" for c in table.columns if c != key])
-    salted = rows.withColumn("_salt", F.pmod("draw", F.lit(SALTS)))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
-    joined = salted.alias("r").join(copies.alias("t"), common.same("r", "t", key, "_salt"))
-    return joined.select(*[f"r.{c}" for c in rows.columns], *[f"t.{c}" for c in table.columns if c != key])
-
-
 # --- the cube method ---------------------------------------------------------
 
 
@@ -208,7 +196,7 @@ def flown(units: DataFrame, block: int = BLOCK, few: int = FEW_SOURCES) -> DataF
         most = blocks.agg(F.max("blocks")).first()[0]
         if not most:
             break
-        dealt = beside(left, blocks, "source_no", few)
+        dealt = common.beside(left, blocks, ["source_no"], "draw", few)
         dealt = dealt.withColumn("block", F.pmod(F.xxhash64("draw", F.lit(level)), F.col("blocks"))).withColumn("last", F.col("blocks") == 1)
         names = [x.split()[0] for x in UNIT.split(", ")]
         ordered = dealt.select(*names).repartition("source_no", "block").sortWithinPartitions("source_no", "block", F.desc("size"), "draw", "doc_id")
@@ -232,7 +220,7 @@ def mix(docs: DataFrame, block: int = BLOCK, few: int = FEW_SOURCES) -> DataFram
     sources = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
     targets = with_targets(sources).select("source", F.col("size").alias("source_size"), "target", "source_no")
     often = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    units = beside(rows, targets, "source", few).withColumn("_often", often)
+    units = common.beside(rows, targets, ["source"], "draw", few).withColumn("_often", often)
     units = units.withColumn("base", F.floor("_often").cast("long")).withColumn("prob", F.col("_often") - F.col("base"))
     done = flown(units.select("doc_id", "size", "source_size", "target", "base", "prob", "draw", "source_no"), block, few)
     return done.select("doc_id", "size", "source_size", "target", ((F.col("base") + F.round("prob")) * F.col("size")).cast("long").alias("taken"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import common, decontamination, filteraudit, fingerprints, langid, linededup, mixing, neardup, pitmanyor, sentencepieces, sharding, toolcalls, warc
+from wardgrid.llm import common, decontamination, filteraudit, fingerprints, langid, linededup, mixing, neardup, pitmanyor, sentencepieces, sharding, spelling, toolcalls, warc
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -216,6 +216,11 @@ def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the near word it stands for and the root of its forms."""
+    return spelling.group(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_tool_calls": op2_tool_calls,
@@ -229,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_filter_audit": op11_filter_audit,
     "op12_source_mixing": op12_source_mixing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
