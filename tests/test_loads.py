@@ -210,26 +210,71 @@ def test_an_emptied_month_loses_its_rows(spark, tmp_path):
     assert months(tables.read_months(spark, root, collisions_schema())) == {("2020", "01"): 1}
 
 
-def test_idle_resources_and_folders_are_not_read(spark, tmp_path):
-    def request(i, day):
-        return json.dumps({"unique_key": str(i), "created_date": f"{day}T01:00:00.000"})
+def request(i, day):
+    return json.dumps({"unique_key": str(i), "created_date": f"{day}T01:00:00.000"})
 
-    for month, line in (("12", request(1, "2020-12-05")), ("11", request(2, "2020-11-05"))):
-        folder = tmp_path / "land" / "year=2020" / f"month={month}"
-        folder.mkdir(parents=True)
-        (folder / "a.json").write_text(line)
-    landed = {"311_legacy": frame(spark, request(9, "2019-01-01")), "311_current": spark.read.schema("value string, year string, month string").text(str(tmp_path / "land"))}
-    data = DATASETS["requests"]
-    pending = spark.createDataFrame([("2020", "12")], "year string, month string").collect()
+
+def test_idle_resources_are_not_read(spark):
     from wardgrid.plans.loads import clean_resources
 
+    landed = {"311_legacy": frame(spark, request(9, "2019-01-01")), "311_current": spark.range(1).select(F.lit(request(1, "2020-12-05")).alias("value"))}
+    data = DATASETS["requests"]
+    pending = spark.createDataFrame([("311_current", "2020", "12")], "resource string, year string, month string").collect()
     rows = clean_resources(landed, data, declared_kinds(data.text_columns), pending=pending)
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and "Scan ExistingRDD" not in plan and "PartitionFilters: [" in plan
+    assert "Range (0, 1" in plan and "Scan ExistingRDD" not in plan
     assert [r["unique_key"] for r in rows.collect()] == ["1"]
     assert clean_resources(landed, data, declared_kinds(data.text_columns), pending=[]) is None
 
 
+def test_a_resource_loaded_alone_leaves_the_other_alone(spark, tmp_path):
+    data = DATASETS["requests"]
+    kinds = declared_kinds(data.text_columns)
+    old = {"311_legacy": frame(spark, request(1, "2019-12-05"))}
+    new = {"311_current": frame(spark, request(2, "2020-03-05"), request(3, "2020-06-05"))}
+    root, book = str(tmp_path / "t"), str(tmp_path / "l")
+
+    def load(landed, as_of=date(2020, 6, 10)):
+        load_months(spark, landed, data, root, book, as_of, kinds, cells=False)
+        return months(tables.read_months(spark, root, requests_schema()))
+
+    assert load(old) == {("2019", "12"): 1}
+    states = ledger.month_states(ledger.read_ledger(spark, book), data.table)
+    assert {r["resource"] for r in states.collect()} == {"311_legacy"} and states.count() == 120
+    everything = {("2019", "12"): 1, ("2020", "03"): 1, ("2020", "06"): 1}
+    assert load(new) == everything
+    assert load(old) == everything and load(new) == everything
+    assert load(old, date(2020, 8, 1)) == everything
+    assert months(tables.read_months(spark, root, requests_schema())) == everything
+
+
+def test_a_line_in_another_months_folder_is_loaded(spark, tmp_path):
+    folder = tmp_path / "land" / "year=2020" / "month=05"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(crash(1, "2020-05-05") + "\n" + crash(2, "2020-06-05"))
+    lines = spark.read.schema("value string, year string, month string").text(str(tmp_path / "land"))
+    root, book = str(tmp_path / "t"), str(tmp_path / "l")
+    assert load_months(spark, {"crashes": lines}, CRASHES, root, book, date(2020, 6, 1)).rows == 2
+    report = load_months(spark, {"crashes": lines}, CRASHES, root, book, date(2020, 6, 20))
+    assert report.rows == 1 and report.refused == {"crashes": {"closed": 1}}
+    assert months(tables.read_months(spark, root, collisions_schema())) == {("2020", "05"): 1, ("2020", "06"): 1}
+
+
+def test_preview_of_a_finished_resource_has_no_months(spark, tmp_path):
+    data = DATASETS["requests"]
+    landed, book = {"311_legacy": frame(spark, request(1, "2019-12-05"))}, str(tmp_path / "l")
+    kinds = declared_kinds(data.text_columns)
+    load_months(spark, landed, data, str(tmp_path / "t"), book, date(2020, 6, 10), kinds)
+    seen = preview_load(spark, landed, data, book, date(2020, 6, 10), kinds)
+    assert seen.months.count() == 0 and seen.first_partition is None and "unique_key" in seen.schema.names
+
+
+def test_resources_that_share_a_year_are_refused(spark, tmp_path):
+    data = Dataset("t", "crash_date", "collision_id", (Resource("a", 2019, 2020), Resource("b", 2020)))
+    with pytest.raises(ValueError, match="share the year 2020"):
+        load_months(spark, {"a": frame(spark, crash(1, "2020-01-01"))}, data, str(tmp_path / "t"), str(tmp_path / "l"), date(2020, 2, 1))
+
+
 def test_a_record_landed_twice_is_stored_once(spark, tmp_path):
     lines = frame(spark, crash(1, "2020-01-05"), crash(1, "2020-01-07", borough="X"), json.dumps({"crash_date": "2020-01-01T00:00:00"}), json.dumps({"crash_date": "2020-01-01T00:00:00"}))
     load_months(spark, {"crashes": lines}, CRASHES, str(tmp_path / "t"), str(tmp_path / "l"), date(2020, 2, 1))

@@ -32,6 +32,7 @@ from wardgrid.sources.tables import read_if_present
 Kinds = Mapping[str, set[str]]
 
 REASONS = ("malformed", "undated", "outside")
+CLOSED = "closed"
 
 
 def clean_records(records: DataFrame, dataset: Dataset, kinds: Kinds, cells: bool = True) -> DataFrame:
@@ -89,46 +90,59 @@ def one_per_key(rows: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Kinds | None = None, cells: bool = True,
-                    pending: Iterable[Row] | None = None, watch: dict[str, Observation] | None = None) -> DataFrame:
+                    pending: Iterable[Row] | None = None, watch: dict[str, Observation] | None = None) -> DataFrame | None:
     """All resources of a data set as one table, each held to its own years.
 
     Without `kinds` the keys are discovered first, which reads the records twice;
     for a known table pass `declared_kinds(dataset.text_columns)`. With `pending`
-    months, resources without one are not read, and of lines landed in folders by
-    `year` and `month` only the pending folders are. `watch` gets an observation a
-    resource: the rows of the pass that are refused, by reason.
+    months (resource, year, month) only their rows are kept, and resources without one
+    are not read. Where a line landed says nothing about the month of its record, so
+    folders are not pruned; `plans.published` knows which files hold which months.
+    `watch` gets an observation a resource: the rows of the pass that are refused, by
+    reason, and those of months that are done (`closed`).
     """
     frames = []
-    known = [r for r in dataset.resources if r.name in landed]
-    if not known:
-        raise ValueError(f"no landed resource of {dataset.table}; known are {[r.name for r in dataset.resources]}")
-    for resource in known:
-        lines, wanted = landed[resource.name], None
-        if pending is not None:
-            wanted = [m for m in pending if resource.first_year <= int(m["year"]) <= (resource.last_year or 9999)]
-            if not wanted:
-                continue
-            if {"year", "month"} <= set(lines.columns):
-                lines = _pending_rows(lines, wanted)
-        records = parse_records(lines, strict=False)
+    for resource in landed_resources(landed, dataset):
+        wanted = None if pending is None else [m for m in pending if m["resource"] == resource.name]
+        if wanted == []:
+            continue
+        records = parse_records(landed[resource.name], strict=False)
         found = key_kinds(records) if kinds is None else kinds
         flagged = records.withColumn("_malformed", F.col("record").isNull())
-        rows = clean_records(flagged, dataset, found, cells).withColumn("_reason", refusal(resource))
+        reason = refusal(resource) if wanted is None else F.coalesce(refusal(resource), F.when(~in_months(wanted), CLOSED))
+        rows = clean_records(flagged, dataset, found, cells).withColumn("_reason", reason)
         if watch is not None:
             watch[resource.name] = Observation()
-            rows = rows.observe(watch[resource.name], *[F.count_if(F.col("_reason") == r).alias(r) for r in REASONS])
+            rows = rows.observe(watch[resource.name], *[F.count_if(F.col("_reason") == r).alias(r) for r in (*REASONS, CLOSED)])
         frames.append(rows.where("_reason is null").drop("_reason", "_malformed"))
     return union_resources(*frames) if frames else None
 
 
-def dataset_calendar(spark: SparkSession, dataset: Dataset, as_of: date) -> DataFrame:
-    """The months of all resources together; an open resource goes on to the present."""
-    spans = [month_calendar(spark, r.first_year, r.last_year or max(r.first_year, as_of.year), as_of) for r in dataset.resources]
-    return reduce(DataFrame.union, spans).distinct()
+def landed_resources(landed: Iterable[str], dataset: Dataset) -> list[Resource]:
+    """The resources that landed. Years of a data set's resources must not overlap: a month
+    is replaced whole, so it has to belong to one resource."""
+    spans = sorted((r.first_year, r.last_year or 9999, r.name) for r in dataset.resources)
+    for (_, last, one), (first, _, other) in zip(spans, spans[1:], strict=False):
+        if first <= last:
+            raise ValueError(f"resources {one} and {other} of {dataset.table} share the year {first}")
+    known = [r for r in dataset.resources if r.name in set(landed)]
+    if not known:
+        raise ValueError(f"no landed resource of {dataset.table}; known are {[r.name for r in dataset.resources]}")
+    return known
+
+
+def dataset_calendar(spark: SparkSession, resources: Iterable[Resource], as_of: date) -> DataFrame:
+    """The months of each resource (resource, year, month, closed); an open one goes on to the present."""
+    spans = [
+        month_calendar(spark, r.first_year, r.last_year or max(r.first_year, as_of.year), as_of).withColumn("resource", F.lit(r.name))
+        for r in resources
+    ]
+    return reduce(DataFrame.union, spans).select("resource", "year", "month", "closed")
 
 
-def _pending(spark: SparkSession, dataset: Dataset, ledger_path: str, as_of: date) -> DataFrame:
-    calendar = dataset_calendar(spark, dataset, as_of).select("year", "month", "closed")
+def _pending(spark: SparkSession, landed: Iterable[str], dataset: Dataset, ledger_path: str, as_of: date) -> DataFrame:
+    """Pending months of the resources that landed; what is absent stays as it is."""
+    calendar = dataset_calendar(spark, landed_resources(landed, dataset), as_of)
     return pending_months(calendar, read_ledger(spark, ledger_path), dataset.table)
 
 
@@ -144,7 +158,7 @@ class LoadPreview:
 @dataclass(frozen=True)
 class LoadReport:
     """What a load wrote: rows in all, the ledger entries of its months, and the lines it
-    refused, by resource and reason."""
+    left out, by resource and reason; `closed` are those of months that are done."""
 
     rows: int
     months: DataFrame
@@ -155,37 +169,39 @@ def preview_load(spark: SparkSession, landed: Mapping[str, DataFrame], dataset:
                  as_of: date, kinds: Kinds | None = None, cells: bool = True) -> LoadPreview:
     """A dry run: schema, rows per pending month and the first partition. Nothing is
     written, the ledger included, so a later load still sees every month as pending."""
-    pending = _pending(spark, dataset, ledger_path, as_of).collect()
-    rows = clean_resources(landed, dataset, kinds, cells, pending or None)
-    rows = _pending_rows(one_per_key(rows, dataset), pending)
+    pending = _pending(spark, landed, dataset, ledger_path, as_of).collect()
+    rows = clean_resources(landed, dataset, kinds, cells, pending)
+    if rows is None:  # nothing is pending: the columns of a load, and no row
+        rows = clean_resources(landed, dataset, kinds, cells).where(F.lit(False))
+    rows = one_per_key(rows, dataset)
     months = count_by(rows, "year", "month")
     first = months.orderBy("year", "month").first()
     return LoadPreview(rows.schema, months, (first["year"], first["month"]) if first else None)
 
 
-def _pending_rows(rows: DataFrame, pending: Iterable[Row]) -> DataFrame:
-    # twelve values for each year of the data set at most; on a stored table they prune folders
-    months = [f"{m['year']}-{m['month']}" for m in pending]
-    return rows.where(F.concat_ws("-", "year", "month").isin(months))
+def in_months(months: Iterable[Row]) -> Column:
+    """Whether a row is of one of the months; twelve values a year at most. On a stored table
+    this prunes folders."""
+    return F.concat_ws("-", "year", "month").isin([f"{m['year']}-{m['month']}" for m in months])
 
 
 def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: Dataset, root: str, ledger_path: str,
                 as_of: date, kinds: Kinds | None = None, cells: bool = True, refused_path: str | None = None) -> LoadReport:
-    """Load every pending month and record it.
+    """Load every pending month of the landed resources and record it by resource.
 
-    Months are replaced whole from all landed rows, so a run that died between
+    Resources that did not land keep their months and their state. Months are replaced whole from all landed rows, so a run that died between
     the write and the ledger entry is simply repeated. A pending month of which no
     row is left loses its old files. Refused lines are counted in the same pass,
     and kept as a table at `refused_path` where one is given.
     """
-    calendar = _pending(spark, dataset, ledger_path, as_of)
+    calendar = _pending(spark, landed, dataset, ledger_path, as_of)
     pending = calendar.collect()
     watch: dict[str, Observation] = {}
     rows = clean_resources(landed, dataset, kinds, cells, pending, watch)
     names = [(m["year"], m["month"]) for m in pending]
     before = month_files(spark, root, names)
     if rows is not None:
-        replace_months(_pending_rows(one_per_key(rows, dataset), pending), root, dataset.rows_per_file)
+        replace_months(one_per_key(rows, dataset), root, dataset.rows_per_file)
     # files have new names with each write: those that are still there belong to months without rows
     after = month_files(spark, root, names)
     remove_months(spark, root, [m for m in names if before[m] and before[m] == after[m]])
@@ -193,7 +209,7 @@ def load_months(spark: SparkSession, landed: Mapping[str, DataFrame], dataset: D
         refused = {name: {r: n for r, n in seen.get.items() if n} for name, seen in watch.items()}
     else:  # Spark drops observations from a plan that turns out to be empty
         refused = refused_counts({n: landed[n] for n in watch}, dataset)
-    if refused_path and any(refused.values()):
+    if refused_path and any(r in REASONS for seen in refused.values() for r in seen):
         replace_table(refused_rows({n: landed[n] for n in refused}, dataset), refused_path)
     closed = spark.createDataFrame(pending, calendar.schema)
     entries = load_entries(closed, stored_counts(spark, root, pending), dataset.table)
@@ -209,4 +225,4 @@ def stored_counts(spark: SparkSession, root: str, pending: Iterable[Row]) -> Dat
     """Rows per pending month as stored; reads file footers and no column."""
     keys = text_schema(*PARTITION_COLUMNS)
     stored = read_if_present(spark, root, keys)
-    return count_by(_pending_rows(stored, pending), "year", "month")
+    return count_by(stored.where(in_months(pending)), "year", "month")

@@ -286,6 +286,16 @@ SELECT months.year, months.month, CASE WHEN n IS NULL THEN 'empty' ELSE 'loaded'
   COALESCE(n, 0) AS rows, COALESCE(n, 0) AS n
 FROM months LEFT JOIN counts ON months.year = counts.year AND months.month = counts.month"""
 
+ORACLES["resources_apart"] = f"""
+WITH months AS (
+  SELECT m, CAST(m + INTERVAL 1 MONTH AS DATE) <= DATE '{AS_OF}' AS closed
+  FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '{AS_OF}', INTERVAL 1 MONTH) AS g(m)),
+counts AS (SELECT date_trunc('month', o_orderdate) AS m, COUNT(*) AS n FROM orders GROUP BY ALL)
+SELECT way, CASE WHEN year(months.m) < 1999 THEN 'archive' ELSE 'recent' END AS resource,
+  CASE WHEN NOT closed THEN 'open' WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status,
+  COUNT(*) AS months, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n
+FROM months LEFT JOIN counts ON months.m = counts.m, (VALUES ('joint'), ('older first'), ('newer first')) AS w(way) GROUP BY ALL"""
+
 ORACLES["landed_once"] = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, COUNT(*) AS n FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 1999 GROUP BY 1"
 
 ORACLES["mixed_location_forms"] = """

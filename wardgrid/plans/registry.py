@@ -450,6 +450,22 @@ def emptied_month(t: Tables) -> DataFrame:
     return states.join(stored, ["year", "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+@query
+def resources_apart(t: Tables) -> DataFrame:
+    """Each resource loaded alone, in both orders, and both together: rows stored and months recorded."""
+    out = None
+    for name, turns in (("joint", [("archive", "recent")]), ("older first", [("archive",), ("recent",)]), ("newer first", [("recent",), ("archive",), ("recent",)])):
+        root, book = shared_folder(t.spark, "load"), shared_folder(t.spark, "ledger")
+        for names in turns:
+            loads.load_months(t.spark, {n: t.request_lines[n] for n in names}, REQUESTS_DATASET, root, book, AS_OF, REQUEST_KINDS, cells=False)
+        states = ledger.month_states(ledger.read_ledger(t.spark, book), "requests").select("resource", "year", "month", "status")
+        stored = relational.count_by(tables.read_months(t.spark, root, text_schema("unique_key")), "year", "month")
+        found = states.join(stored, ["year", "month"], "full").groupBy("resource", "status").agg(F.count("*").alias("months"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        found = found.select(F.lit(name).alias("way"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query
 def landed_once(t: Tables) -> DataFrame:
     """Records that landed in two files are stored once."""
