@@ -289,3 +289,27 @@ def test_stream_counts_what_it_refuses(spark, tmp_path):
     stream_months(spark, str(land), DATASETS["ridership"], str(tmp_path / "t"), str(tmp_path / "c"), refused_path=refused).awaitTermination()
     assert read_streamed(spark, str(tmp_path / "t"), ridership_schema()).count() == 1
     assert sorted(r["reason"] for r in spark.read.parquet(refused).collect()) == ["malformed", "undated"]
+
+
+def test_a_record_landed_in_two_batches_is_stored_once(spark, tmp_path):
+    land, root, check = tmp_path / "land", str(tmp_path / "t"), str(tmp_path / "c")
+    land.mkdir()
+    keyless = json.dumps({"crash_date": "2020-01-01T00:00:00"})
+
+    def run(name, *lines):
+        (land / name).write_text("\n".join(lines))
+        stream_months(spark, str(land), CRASHES, root, check, declared_kinds(["collision_id", "crash_date", "borough"]), cells=False,
+                      refused_path=str(tmp_path / "r"), remember="1 day").awaitTermination()
+        rows = read_streamed(spark, root, collisions_schema())
+        return sorted((r["collision_id"] or "", r["borough"] or "") for r in rows.collect())
+
+    first = [("", ""), ("", ""), ("1", ""), ("2", "")]
+    assert run("a.json", crash(1, "2020-01-05"), crash(2, "2020-01-06"), keyless, keyless, "{broken") == first
+    # each run is a new query on the same checkpoint; an old date is no reason to drop a record
+    assert run("b.json", crash(1, "2020-01-05"), crash(3, "2010-01-06"), "{broken") == [*first, ("3", "")]
+    assert run("c.json", crash(2, "2020-01-06", borough="X"), crash(3, "2010-01-06")) == sorted([*first, ("2", "X"), ("3", "")])
+    latest = read_streamed(spark, root, collisions_schema(), CRASHES)
+    assert sorted((r["collision_id"] or "", r["borough"] or "") for r in latest.collect()) == [("", ""), ("", ""), ("1", ""), ("2", "X"), ("3", "")]
+    assert spark.read.parquet(str(tmp_path / "r")).where("reason = 'malformed'").count() == 2
+    state = spark.read.format("statestore").load(check)
+    assert state.count() > 0

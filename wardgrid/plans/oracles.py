@@ -313,6 +313,10 @@ ORACLES["resumed_stream"] = f"""
 SELECT year, month, strftime(ts, '%d') AS day, COUNT(*) AS n, round(sum(ridership), 4) AS total
 FROM {RIDES} AS r GROUP BY 1, 2, 3"""
 
+ORACLES["streamed_once"] = """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, COUNT(*) + COUNT(*) FILTER (WHERE year(o_orderdate) = 1998 AND o_orderkey % 7 = 0) AS stored,
+  COUNT(*) AS n, COUNT(*) FILTER (WHERE year(o_orderdate) = 1998 AND o_orderkey % 7 = 0) AS changed FROM orders GROUP BY 1"""
+
 ORACLES["text_records"] = f"""
 SELECT unique_key, created_date,
   CASE WHEN o_orderdate >= '1999-01-01' THEN CASE WHEN status = 'O' THEN 'PHONE' ELSE 'ONLINE' END END AS channel,

@@ -532,6 +532,23 @@ def resumed_stream(t: Tables) -> DataFrame:
     )
 
 
+@query
+def streamed_once(t: Tables) -> DataFrame:
+    """Two drops that overlap by a year, some records of it changed: rows stored, and the latest of each key."""
+    land, root, check = (shared_folder(t.spark, p) for p in ("land", "stream", "state"))
+    data = request_dataset(1992, 2002)
+    year = F.substring("created_date", 1, 4)
+    changed = (year == "1998") & (F.col("unique_key").cast("bigint") % 7 == 0)
+    drops = [t.requests.where(year <= "1998"), t.requests.where(year >= "1998").withColumn("status", F.when(changed, "changed").otherwise(F.col("status")))]
+    for rows in drops:
+        rows.select(F.to_json(F.struct("unique_key", "created_date", "status")).alias("value")).write.mode("append").text(land)
+        stream_months(t.spark, land, data, root, check, PLAIN | {"status": {"scalar"}}, cells=False, remember="90 days").awaitTermination()
+    schema = text_schema("unique_key", "created_date", "status")
+    stored = relational.count_by(read_streamed(t.spark, root, schema), "year", count="stored")
+    latest = read_streamed(t.spark, root, schema, data).groupBy("year").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "changed").alias("changed"))
+    return stored.join(latest, "year")
+
+
 # --- columns ------------------------------------------------------------------
 
 
