@@ -296,6 +296,28 @@ SELECT way, CASE WHEN year(months.m) < 1999 THEN 'archive' ELSE 'recent' END AS
   COUNT(*) AS months, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n
 FROM months LEFT JOIN counts ON months.m = counts.m, (VALUES ('joint'), ('older first'), ('newer first')) AS w(way) GROUP BY ALL"""
 
+ORACLES["published_months"] = f"""
+WITH months AS (
+  SELECT strftime(m, '%Y') AS year, strftime(m, '%m') AS month, CAST(m + INTERVAL 1 MONTH AS DATE) <= DATE '{AS_OF}' AS closed
+  FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '{AS_OF}', INTERVAL 1 MONTH) AS g(m)),
+counts AS (
+  SELECT {MONTH_OF_ORDER}, COUNT(*) AS n, COUNT(*) FILTER (WHERE year(o_orderdate) = 1995 AND o_orderkey % 11 = 1) AS changed FROM orders GROUP BY ALL)
+SELECT year, month, CASE WHEN NOT closed THEN 'open' WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status, COALESCE(n, 0) AS rows, n, changed
+FROM months LEFT JOIN counts USING (year, month)"""
+
+ORACLES["late_rows"] = """
+WITH o AS (SELECT o_orderdate >= '1999-01-01' AS recent, year(o_orderdate) = 1995 AS early, o_orderkey % 11 AS r, month(o_orderdate) AS m FROM orders),
+late AS (SELECT COUNT(*) FILTER (WHERE early AND r = 0) AS fresh, COUNT(*) FILTER (WHERE early AND r = 1) AS changed FROM o)
+SELECT CAST(1 AS INT) AS load, COUNT(*) AS lines, COUNT(*) AS taken, CAST(0 AS BIGINT) AS late, CAST(NULL AS BIGINT) AS rows_stayed
+FROM o WHERE NOT recent AND NOT (early AND r = 0)
+UNION ALL
+SELECT 2, COUNT(*) FILTER (WHERE recent) + any_value(fresh + changed), COUNT(*) FILTER (WHERE recent) + any_value(fresh + changed),
+  any_value(fresh + changed), COUNT(*) FILTER (WHERE NOT recent AND NOT early) FROM o, late"""
+
+ORACLES["earlier_version"] = """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, '03' AS month, COUNT(*) AS n FROM orders
+WHERE month(o_orderdate) = 3 AND year(o_orderdate) < 1999 AND NOT (year(o_orderdate) = 1995 AND o_orderkey % 11 = 0) GROUP BY 1"""
+
 ORACLES["landed_once"] = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, COUNT(*) AS n FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 1999 GROUP BY 1"
 
 ORACLES["mixed_location_forms"] = """

@@ -13,11 +13,11 @@ from wardgrid.functions.cells import add_cells
 from wardgrid.functions.geometry import area, parse_rings, polygon_edges, polygon_moments, wkt_from_rings
 from wardgrid.operators import normalise, relational, wide
 from wardgrid.operators.spatial import centroids, points_in_polygons, points_per_polygon
-from wardgrid.plans import loads, reports
+from wardgrid.plans import loads, published, reports
 from wardgrid.plans.roles import REQUESTS_DATASET, RESPONSE_YEARS, WEST, WIDTH, X_BREAKS, Tables
 from wardgrid.schemas import DATASETS, MEASURES, RESOLUTIONS, Dataset, Resource, ridership_schema, text_schema, with_partitions
 from wardgrid.session import apply_settings, shared_folder
-from wardgrid.sources import catalog, landing, ledger, sinks, tables
+from wardgrid.sources import catalog, landing, ledger, sinks, snapshots, tables
 from wardgrid.sources.calendar import calendar_of
 from wardgrid.streaming.ingest import read_streamed, stream_months
 
@@ -466,6 +466,62 @@ def resources_apart(t: Tables) -> DataFrame:
     return out
 
 
+def land(rows: DataFrame, folder: str) -> None:
+    """More landed files, each with a run of keys, whatever their months."""
+    ordered = rows.repartitionByRange(4, F.col("unique_key").cast("bigint"))
+    ordered.select(F.to_json(F.struct("unique_key", "created_date", "status")).alias("value")).write.mode("append").text(folder)
+
+
+def publish_drops(t: Tables, *drops: tuple[DataFrame, date]) -> tuple[str, list[published.Published]]:
+    """Drops landed one after another, each followed by a published load as of its day."""
+    root, folder = shared_folder(t.spark, "published"), shared_folder(t.spark, "landing")
+    reports_ = []
+    for rows, day in drops:
+        land(rows, folder)
+        reports_.append(published.publish_months(t.spark, {"all": folder}, request_dataset(1995, 2002), root, day, PLAIN | {"status": {"scalar"}}, cells=False))
+    return root, reports_
+
+
+def late_drops(t: Tables) -> list[tuple[DataFrame, date]]:
+    """Most requests to 1998; then all from 1999 on, with rows of 1995 that come late and others of it changed."""
+    number, year = F.col("unique_key").cast("bigint"), F.col("year")
+    late = (year == "1995") & (number % 11 == 0)
+    changed = t.requests.where((year == "1995") & (number % 11 == 1)).withColumn("status", F.lit("changed"))
+    return [
+        (t.requests.where((year < "1999") & ~late), date(1999, 1, 15)),
+        (t.requests.where((year >= "1999") | late).unionByName(changed), AS_OF),
+    ]
+
+
+@query
+def published_months(t: Tables) -> DataFrame:
+    """The table and the state of its months after a published load and one with late rows: all in one snapshot."""
+    root, _ = publish_drops(t, *late_drops(t))
+    rows = snapshots.read_snapshot(t.spark, root, text_schema("unique_key", "created_date", "status"))
+    counted = rows.groupBy("year", "month").agg(F.countDistinct("unique_key").alias("n"), F.count_if(F.col("status") == "changed").alias("changed"))
+    return published.month_states(t.spark, root).select("year", "month", "status", "rows").join(counted, ["year", "month"], "left")
+
+
+@query
+def late_rows(t: Tables) -> DataFrame:
+    """What each of two loads took in, how many rows were late, and whether files of untouched months stayed."""
+    root, done = publish_drops(t, *late_drops(t))
+    first, second = (snapshots.read_part(t.spark, root, v, "files", snapshots.FILES) for v in (1, 2))
+    stayed = second.join(first, "path", "left_semi").agg(F.sum(F.when(F.col("year") != "1995", F.col("rows"))).alias("rows_stayed"))
+    taken = t.spark.range(2).select((F.col("id") + 1).cast("int").alias("load"), *[
+        F.element_at(F.array(*[F.lit(getattr(d, n)).cast("bigint") for d in done]), (F.col("id") + 1).cast("int")).alias(n) for n in ("lines", "taken", "late")
+    ])
+    return taken.join(stayed.withColumn("load", F.lit(2)), "load", "left")
+
+
+@query
+def earlier_version(t: Tables) -> DataFrame:
+    """A snapshot stays readable after the next load: rows per year as of the first, with one month's files only."""
+    root, _ = publish_drops(t, *late_drops(t))
+    rows = snapshots.read_snapshot(t.spark, root, text_schema("unique_key"), version=1, months=F.col("month") == "03")
+    return relational.count_by(rows, "year", "month")
+
+
 @query
 def landed_once(t: Tables) -> DataFrame:
     """Records that landed in two files are stored once."""
