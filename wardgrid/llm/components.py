@@ -20,13 +20,13 @@ def connected(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # greater neighbours to the smallest
-        large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.filter("v > u").join(lowest.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         # lesser neighbours and the node itself to the smallest
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
+        small = large.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
         following = common.stored(small.filter("u <> v").distinct(), "edges")
-        if following.count() == edges.count() and following.join(edges, ["u", "v"], "left_anti").isEmpty():
+        if following.count() == edges.count() and following.join(edges.hint("merge"), ["u", "v"], "left_anti").isEmpty():
             break
         edges = following
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

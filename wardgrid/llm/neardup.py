@@ -5,8 +5,11 @@ class, so exact copies cost one row each and no comparison. Of each class's mini
 name buckets. For the estimate the range of hashes is cut into `BINS` parts, and the low `BITS` bits of the
 minimum in each part are packed into words of 64 bits, beside a bit that says whether the part holds anything.
 The share of equal minima among parts that hold something, counted with bit_count and corrected for chance
-matches (two different minima agree in b bits with probability 2^-b), estimates the Jaccard similarity.
-Classes that share a bucket and are estimated near are verified on their full sets, read from their texts again.
+matches (two different minima agree in b bits with probability 2^-b), estimates the Jaccard similarity. A second
+signature of `PARITY` bits, one flipped by each shingle, counts in the same way by how many shingles two sets differ,
+which is sharp where sets are small or nearly alike. A pair goes on if both estimates are within `ERRORS` standard
+errors of the threshold. Classes that share a bucket and are estimated near are verified on their full sets, read
+from their texts again.
 
 Links are found in two steps, so that a bucket of many copies does not become all its pairs:
 1. In each bucket all classes are compared with the one that shares most buckets with others: in a group of
@@ -15,11 +18,13 @@ Links are found in two steps, so that a bucket of many copies does not become al
    different components are compared with each other, all of them. Whatever was left out joins classes that
    are connected anyway, so components are those of all links between candidates.
 
-With the bands used here two texts at similarity 0.85 miss each other in all bands once in four million pairs.
+Bands are as many as it takes (`banding`) for two texts at the threshold to miss each other in all of them in less than
+`MISSED` of pairs; an estimate six standard errors off is rarer than that.
 
 A null text, or one without words, has an empty set and is linked with nothing. Equal rows are in one class;
 rows without an id are placed by their text's class (a class of such rows only has a null component_id, and
-they are kept). Empty tables give empty results. Texts are used whole. `component_id` and the other result
+they are kept). `one_of_each` keeps a single row of each group, of repeated rows and of rows without an id as well.
+Empty tables give empty results. Texts are used whole. `component_id` and the other result
 columns replace columns of those names; other columns pass through.
 """
 
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +45,11 @@ from wardgrid.llm.components import connected
 from wardgrid.llm.shingles import MinHash, runs, shingles, words
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6
-HASHES = BANDS * ROWS
+MISSED = 3e-7
 BINS, BITS = 1024, 4
 HELD, WORDS = BINS // 64, BINS * BITS // 64
-SLACK = 0.05  # with 1 / shingles added, four and a half standard errors of the estimate
+PARITY = 2048
+ERRORS = 6
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, class binary, bands array<long>, bits array<long>"
 SIGNED_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -58,9 +64,15 @@ def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
             yield shingles(hashes[first[k] : first[k + 1]], SHINGLE)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and minima a band for texts at a similarity of `percent`: rows so that a bucket holds few others."""
+    rows = 6 if percent >= 85 else 5
+    return ceil(log(MISSED) / log(1 - (percent / 100) ** rows)), rows
+
+
 def packed(found: np.ndarray) -> list[int]:
     """From sorted hashes: a bit for each part of their range that holds one, then the low bits of the least
-    hash in each part, `64 // BITS` to a signed 64-bit integer."""
+    hash in each part, `64 // BITS` to a signed 64-bit integer, then the bits that each hash flips."""
     part = (found >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
     first = np.flatnonzero(np.diff(part, prepend=-1))
     held, fields = np.zeros(BINS, np.uint64), np.zeros(BINS, np.uint64)
@@ -69,57 +81,81 @@ def packed(found: np.ndarray) -> list[int]:
     bits = np.bitwise_or.reduce(held.reshape(HELD, 64) << np.arange(64, dtype=np.uint64), axis=1)
     shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
     low = np.bitwise_or.reduce(fields.reshape(WORDS, -1) << shifts, axis=1)
-    return np.concatenate([bits, low]).view(np.int64).tolist()
+    # a middle part of the hash, as the minima are chosen by the upper bits and show the lower
+    odd = (np.bincount((found >> np.uint64(16) & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).astype(np.uint64)
+    flipped = np.bitwise_or.reduce(odd.reshape(-1, 64) << np.arange(64, dtype=np.uint64), axis=1)
+    return np.concatenate([bits, low, flipped]).view(np.int64).tolist()
 
 
-def band_keys(minima: np.ndarray) -> list[int]:
-    rows = np.ascontiguousarray(minima.reshape(BANDS, ROWS))
+def band_keys(minima: np.ndarray, bands: int) -> list[int]:
+    rows = np.ascontiguousarray(minima.reshape(bands, -1))
     return [int.from_bytes(hashlib.blake2b(bytes([k]) + r.tobytes(), digest_size=8).digest(), "little", signed=True) for k, r in enumerate(rows)]
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    functions, names = MinHash(HASHES), [x.split()[0] for x in SIGNED.split(", ")]
-    for batch in batches:
-        rows = []
-        for found in sets_of(batch.column(2)):
-            if len(found):
-                minima = functions.minima(found)
-                rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), band_keys(minima), packed(found)))
-            else:
-                rows.append((0, None, None, None))
-        columns = [batch.column(0), batch.column(1), *([x[k] for x in rows] for k in range(4))]
-        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kind) for c, kind in zip(columns, SIGNED_TYPES, strict=True)], names=names)
+def _signed(bands: int, size: int):
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions, names = MinHash(bands * size), [x.split()[0] for x in SIGNED.split(", ")]
+        for batch in batches:
+            rows = []
+            for found in sets_of(batch.column(2)):
+                if len(found):
+                    minima = functions.minima(found)
+                    rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), band_keys(minima, bands), packed(found)))
+                else:
+                    rows.append((0, None, None, None))
+            columns = [batch.column(0), batch.column(1), *([x[k] for x in rows] for k in range(4))]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kind) for c, kind in zip(columns, SIGNED_TYPES, strict=True)], names=names)
+
+    return sign
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, text_hash, n_shingles, class, bands, bits) for each row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_signed, SIGNED)
-
-
-def estimate(left: Column, right: Column) -> Column:
-    """Jaccard similarity from two signatures: equal minima by bit counts, less those equal by chance."""
-    either, both, differing = F.lit(0), F.lit(0), F.lit(0)
-    for k in range(HELD):
-        either = either + F.bit_count(left[k].bitwiseOR(right[k]))
-        both = both + F.bit_count(left[k].bitwiseAND(right[k]))
-    ones = int("0001" * 16, 2)
-    for k in range(HELD, HELD + WORDS):
-        x = left[k].bitwiseXOR(right[k])
-        # a field differs if any of its four bits does; empty parts have the field 0
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(ones))
-        differing = differing + F.bit_count(x)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_signed(*banding(percent)), SIGNED)
+
+
+def _counted(left: Column, right: Column, begin: int, size: int, differ) -> Column:
+    """The bits set in `differ` of two words, over `size` words of both signatures from `begin`."""
+    words = F.zip_with(F.slice(left, begin + 1, size), F.slice(right, begin + 1, size), lambda x, y: F.bit_count(differ(x, y)))
+    return F.aggregate(words, F.lit(0), lambda sum_, n: sum_ + n)
+
+
+def _unequal_fields(x: Column, y: Column) -> Column:
+    # a field differs if any of its four bits does; empty parts have the field 0
+    off = x.bitwiseXOR(y)
+    off = off.bitwiseOR(F.shiftrightunsigned(off, 1))
+    return off.bitwiseOR(F.shiftrightunsigned(off, 2)).bitwiseAND(F.lit(int("0001" * 16, 2)))
+
+
+def estimate(left: Column, right: Column) -> tuple[Column, Column]:
+    """Jaccard similarity from two signatures, equal minima by bit counts less those equal by chance; and the
+    number of parts it rests on."""
+    either = _counted(left, right, 0, HELD, lambda x, y: x.bitwiseOR(y))
+    both = _counted(left, right, 0, HELD, lambda x, y: x.bitwiseAND(y))
+    differing = _counted(left, right, HELD, WORDS, _unequal_fields)
     # parts that one side holds differ for sure, and show in the fields unless theirs is 0
     alone, chance = either - both, 2.0**-BITS
     unequal = (differing - alone * (1 - chance)) / (1 - chance)
-    return (both - unequal) / F.greatest(either, F.lit(1))
+    return (both - unequal) / F.greatest(either, F.lit(1)), either
+
+
+def flips(shingles: Column) -> Column:
+    """How many parity bits may differ, at most, of sets that differ in so many shingles: that number itself, or
+    the mean and `ERRORS` standard deviations of shingles that fall on bits at random."""
+    once, twice = F.pow(F.lit(1 - 2 / PARITY), shingles), F.pow(F.lit(1 - 4 / PARITY), shingles)
+    variance = PARITY / 4 * (1 - once * once) + PARITY * (PARITY - 1) / 4 * (twice - once * once)
+    return F.least(shingles, PARITY / 2 * (1 - once) + ERRORS * F.sqrt(F.greatest(variance, F.lit(0.0))) + 1)
 
 
 def likely(least: float) -> Column:
     """Whether sizes n and signatures bits of the sides a and b allow a similarity of `least`."""
-    larger = F.greatest("n_a", "n_b")
-    near = estimate(F.col("bits_a"), F.col("bits_b")) >= least - SLACK - 1 / larger
-    return (F.least("n_a", "n_b") >= larger * least) & near
+    a, b, larger = F.col("bits_a"), F.col("bits_b"), F.greatest("n_a", "n_b")
+    odd = _counted(a, b, HELD + WORDS, PARITY // 64, lambda x, y: x.bitwiseXOR(y))
+    apart = F.floor((1 - least) / (1 + least) * (F.col("n_a") + F.col("n_b")) + 1e-6)
+    similar, parts = estimate(a, b)
+    chance = least + (1 - least) * 2.0**-BITS
+    error = sqrt(chance * (1 - chance)) / (1 - 2.0**-BITS) / F.sqrt(F.greatest(parts, F.lit(1)))
+    return (F.least("n_a", "n_b") >= larger * least) & (odd <= flips(apart)) & (similar >= least - ERRORS * error - 1 / larger)
 
 
 def _verified(percent: int):
@@ -189,20 +225,44 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame,
     return found, connected(found)
 
 
-def cluster(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """`docs` (doc_id, text, ...) with n_shingles, component_id and kept: texts are linked if a hundred times
-    their shared shingles are at least `percent` times their joint shingles."""
-    rows = common.stored(signed(docs), "signed")
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, class, component, component_id, copies): a row for all that are alike in
+    doc_id and text, `copies` of them."""
+    rows = common.stored(signed(docs, percent), "signed")
     classes = common.stored(classes_of(rows), "classes")
     _, parts = links(docs, classes, percent)
     named = classes.select("node", "class", "doc_id").join(parts, "node", "left").select("class", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_class = named.join(smallest, "component").select("class", "component_id")
-    by_row = rows.select("doc_id", "text_hash", "n_shingles", "class").distinct().join(by_class, "class", "left")
-    by_row = by_row.select("doc_id", "text_hash", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    by_class = named.join(smallest, "component").select("class", "component", "component_id")
+    return rows.groupBy("doc_id", "text_hash", "n_shingles", "class").agg(F.count("*").alias("copies")).join(by_class, "class", "left")
+
+
+def cluster(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """`docs` (doc_id, text, ...) with n_shingles, component_id and kept: texts are linked if a hundred times
+    their shared shingles are at least `percent` times their joint shingles."""
+    component_id = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    by_row = _grouped(docs, percent).select("doc_id", "text_hash", "n_shingles", component_id)
     return by_row.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, without all but one of each group of near duplicates: that with the smallest id, of
+    several texts under it that with the smallest hash, and one of repeated rows. A group without any id keeps the
+    one with the smallest hash. Rows without words are in no group and stay."""
+    grouped = common.stored(_grouped(docs, percent), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    members = grouped.filter("class is not null")
+    first = members.groupBy("component").agg(F.min(F.struct(place.alias("place"), "copies")).alias("r"))
+    chosen = first.select("r.place.doc_id", "r.place.text_hash", "r.copies")
+    chosen = chosen.unionByName(grouped.filter("class is null").select("doc_id", "text_hash", F.lit(1).cast("long").alias("copies")))
+    source = docs.withColumn("_row_hash", F.xxhash64("text"))
+    at = F.col("d.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & (F.col("d._row_hash") == F.col("c.text_hash"))
+    found = source.alias("d").join(chosen.alias("c"), at).select("d.*", F.col("c.copies").alias("_row_copies"))
+    # of rows alike in id and text one is taken, with a map-side aggregation and only where there are several
+    several = found.filter("_row_copies > 1").dropDuplicates(["doc_id", "_row_hash"])
+    return found.filter("_row_copies = 1").unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def marked(docs: DataFrame, percent: int = 80) -> DataFrame:
     """All of `docs` and its columns, with n_shingles, component_id and kept."""
     found = cluster(docs, percent)
