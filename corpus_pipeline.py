@@ -33,8 +33,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    return neardup.marked(docs).filter("kept").select(*docs.columns)
+    """One row of each group of near duplicates: that with the smallest id."""
+    return neardup.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
