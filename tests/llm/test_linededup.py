@@ -95,3 +95,24 @@ def test_words_of_code_tables_and_chinese(spark, tables):
     assert all(r.n_deleted == 0 for r in queries.op1_line_dedup(spark, tables(documents=code)).collect())
     lone = [r.n_deleted for r in queries.op1_line_dedup(spark, tables(documents=[(k, shared[8]) for k in range(3)])).collect()]
     assert sorted(lone) == [0, 1, 1]
+
+
+def test_words_are_counted_up_to_what_a_run_needs(spark):
+    from pyspark.sql import functions as F
+
+    pieces = ["a", "é", " ", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u3000", "漢", "ひ", "カ", "ㄅ", "\u02ea", "Ж", "한", "🙂", "-", "."]
+    source = random.Random(3)
+    lines = ["".join(source.choice(pieces[: source.choice([8, 21])]) for _ in range(source.randint(0, 30))) for _ in range(1500)]
+    frame = spark.createDataFrame([(x,) for x in lines], "x string")
+    for enough in (1, 4, 13):
+        wrong = linededup.words_in(F.col("x"), enough) != F.least(F.regexp_count("x", F.lit(linededup.WORD)), F.lit(enough))
+        assert frame.filter(wrong).collect() == []
+
+
+def test_a_long_text_is_rebuilt_in_one_pass(spark):
+    kept = [f"own line {k}" for k in range(100_000)]
+    shared = "one line of many words that is in both documents and so goes from one of them"
+    rows = [(1, shared), (2, "\n".join(x for k in kept for x in (k, shared)))]
+    found = {r.doc_id: r for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[2].n_deleted == 100_000 and found[2].kept_text == "\n".join(kept)
+    assert found[2].deleted.startswith("1-1,3-3,5-5") and found[2].n_lines == 200_000

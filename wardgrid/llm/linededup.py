@@ -10,7 +10,8 @@ least that long.
 A run counts if it has `MIN_WORDS` words or more. In the array at that depth, each interval's members are
 copies of one run: of the shortest run that begins at a line, or ends at it, and has the words. The earliest
 member, by doc_id and line, stays and the lines of all later ones are deleted. Overlapping deleted runs add
-up to the maximal repeated runs, whatever their length, so no rank beyond that depth is needed.
+up to the maximal repeated runs, whatever their length, so no rank beyond that depth is needed: deeper doubling
+would rank a run that repeats as a whole, all of whose lines are in shorter repeated runs already.
 
 Words are runs of characters other than white space; Chinese and Japanese characters (Han, kana, bopomofo),
 which stand without blanks, count one by one. Lines are cut at line feeds; a line is compared whole, blanks and
@@ -22,7 +23,7 @@ tables give empty results. Other columns pass through; those named like the resu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardgrid.llm import common
@@ -42,12 +43,21 @@ def _document():
     return F.unhex(F.md5(named.cast("binary")))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def words_in(line: Column, enough: int = MIN_WORDS) -> Column:
+    """The number of words, `enough` for any number from there on: runs need no more, and what reads the first few
+    words of a line does not pay for the rest. A run of other than white space is one word or more."""
+    many = f"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{enough - 1}}}+[^{SPACE}]"
+    return F.when(line.rlike(many), F.lit(enough)).otherwise(F.least(F.regexp_count(line, F.lit(WORD)), F.lit(enough)))
+
+
+def lines_of(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, doc_id, pos, line, words, key): the non-blank lines; `pos` counts them, `line` counts all."""
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
     filled = F.filter(numbered, lambda s: s["x"].rlike(FILLED))
-    rows = docs.filter("text is not null").select(_document().alias("doc"), "doc_id", F.posexplode(filled).alias("pos", "s"))
-    return rows.select("doc", "doc_id", "pos", "s.line", F.regexp_count("s.x", F.lit(WORD)).alias("words"), F.unhex(F.md5(F.col("s.x").cast("binary"))).alias("key"))
+    # the document is named before its lines are rows: what stands beside a generator is evaluated for each row
+    named = docs.filter("text is not null").select(_document().alias("doc"), "doc_id", filled.alias("lines"))
+    rows = named.select("doc", "doc_id", F.posexplode("lines").alias("pos", "s"))
+    return rows.select("doc", "doc_id", "pos", "s.line", words_in(F.col("s.x"), min_words).alias("words"), F.unhex(F.md5(F.col("s.x").cast("binary"))).alias("key"))
 
 
 def ranked(rows: DataFrame, *keys: str) -> DataFrame:
@@ -88,7 +98,7 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, line) of the lines to delete."""
-    lines = ranked(lines_of(docs), "key").select("doc", "doc_id", "pos", "line", "words", "rank").dropDuplicates(["doc", "pos"])
+    lines = ranked(lines_of(docs, min_words), "key").select("doc", "doc_id", "pos", "line", "words", "rank").dropDuplicates(["doc", "pos"])
     lines = common.stored(lines, "lines")
     runs = common.stored(windows(lines, min_words), "windows")
     longest = runs.agg(F.max("n")).first()[0] or 0
@@ -119,19 +129,21 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     source = docs.drop(*RESULT).withColumn("_doc", _document())
     joined = source.join(gone, source["_doc"] == gone["doc"], "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
-    runs = F.aggregate(
-        "gone",
-        F.array().cast("array<struct<a:int,b:int>>"),
-        lambda runs, x: F.when(
-            (F.size(runs) > 0) & (F.element_at(runs, -1)["b"] == x - 1),
-            F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(F.struct(F.element_at(runs, -1)["a"].alias("a"), x.alias("b")))),
-        ).otherwise(F.concat(runs, F.array(F.struct(x.alias("a"), x.alias("b"))))),
-    )
+    # each in one pass over the deleted places
+    first = F.filter("gone", lambda x, i: (i == 0) | (F.get("gone", i - 1) != x - 1))
+    last = F.filter("gone", lambda x, i: (i == F.size("gone") - 1) | (F.get("gone", i + 1) != x + 1))
+
+    def left(text: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(text) - 1), F.col("gone"))
+        return F.transform(places, lambda i: F.get(text, i))
+
+    # bound as a variable, so that the text is cut once
+    kept = F.array_join(F.transform(F.array(lines), left)[0], "\n")
+    spans = F.zip_with(first, last, lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string")))
     return joined.select(
         *[F.col(f"`{c}`") for c in source.columns if c != "_doc"],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.size("gone").cast("long").alias("n_deleted"),
-        F.array_join(F.transform(runs, lambda r: F.concat_ws("-", r["a"].cast("string"), r["b"].cast("string"))), ",").alias("deleted"),
+        F.array_join(spans, ",").alias("deleted"),
         F.when(F.size("gone") == 0, F.col("text")).otherwise(kept).alias("kept_text"),
     )
