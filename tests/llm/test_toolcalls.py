@@ -69,3 +69,57 @@ def test_calls_without_identifier_are_rows(spark, tables):
     assert len(lost) == 6
     # messages without conversation or turn are no calls themselves; of the stated ones, those with a conversation stay
     assert sorted((r.conv_id, r.call_id) for r in found if r.call_id is not None) == [(1, "0"), (1, "3"), (1, "k"), (2, "k")]
+
+
+def test_arguments_that_break_parsers(spark):
+    stated = [
+        call("s", r'{"a": 1, "mode": "\ud800"}'),
+        call("k", r'{"\udfff": 1}'),
+        call("p", r'{"a": 1, "mode": "\ud83d\ude00"}'),
+        call("d", '{"a": ' + "[" * 3000 + "]" * 3000 + "}"),
+        call("e", '{"a": ' + '{"x":' * 100_000 + "1" + "}" * 100_000 + "}"),
+        call("n", '{"a": 1e-7, "b": 1E400}'),
+        call("i", '{"a": ' + "9" * 5000 + "}"),
+        call("f", '{"a": 0.0000001}'),
+        call("g", '{"a": 1e300}'),
+    ]
+    messages = spark.createDataFrame([(1, 0, "assistant", json.dumps({"tool_calls": stated}))], "conv_id long, turn long, role string, text string")
+    found = {r.call_id: (r.arguments, r.error) for r in toolcalls.linked(*toolcalls.calls_of(messages), SCHEMAS).collect()}
+    assert all(found[x] == (None, "no JSON") for x in "skdeni")
+    assert found["p"] == ('{"a":1,"mode":"\U0001f600"}', "mode is not allowed")
+    assert found["f"] == ('{"a":1e-7}', None) and found["g"] == ('{"a":1e300}', None)
+
+
+def test_nested_schemas():
+    schema = {
+        "type": "object",
+        "required": ["at"],
+        "properties": {
+            "at": {"type": "object", "required": ["x"], "properties": {"x": {"type": ["number", "null"]}}, "additionalProperties": False},
+            "tags": {"type": "array", "items": {"type": "string", "enum": ["p", "q"]}},
+            "any": {},
+            "flag": {"enum": [True, None, 1.5]},
+            "odd": {"type": "date"},
+            "more": {"additionalProperties": {"type": "integer"}},
+        },
+    }
+    tried = {
+        '{"at": {"x": null}}': None,
+        '{"at": {"x": 1}, "any": [[{}]]}': None,
+        '{"at": {"x": "1"}}': "at.x is no number or null",
+        '{"at": {}}': "missing at.x",
+        '{"at": {"x": 1, "y": 2}}': "unexpected at.y",
+        '{"at": 3}': "at is no object",
+        '{"at": {"x": 1}, "tags": ["p", "q"]}': None,
+        '{"at": {"x": 1}, "tags": ["p", 3]}': "tags[1] is no string",
+        '{"at": {"x": 1}, "tags": ["p", "r"]}': "tags[1] is not allowed",
+        '{"at": {"x": 1}, "flag": 1}': "flag is not allowed",
+        '{"at": {"x": 1}, "flag": true}': None,
+        '{"at": {"x": 1}, "flag": 1.5}': None,
+        '{"at": {"x": 1}, "odd": "2020-01-01"}': "odd is no date",
+        '{"at": {"x": 1}, "more": {"k": 1.0}}': None,
+        '{"at": {"x": 1}, "more": {"k": 1.5}}': "more.k is no integer",
+        "{}": "missing at",
+    }
+    assert {text: toolcalls.checked(text, schema)[1] for text in tried} == tried
+    assert toolcalls.checked('{"at": {"x": 1}}', {"properties": {"at": {"properties": {"x": {"type": "string"}}}}})[1] == "at.x is no string"

@@ -5,14 +5,15 @@ depends_on) in assistant messages and with "tool_call_id" in tool messages. Call
 conversation and identifier. Calls are ordered topologically over their dependencies: a call's level is the
 longest chain of calls it rests on, found round by round along the links, each round joining only what
 changed. Calls on a cycle, or resting on one, never settle and are marked. Arguments are checked against the
-tool's schema (required names, JSON types, unknown names) and written as canonical JSON: names in order, no
-blanks, shortest escapes.
+tool's schema (required and unknown names, JSON types, allowed values, at any depth) and written as canonical
+JSON: names in order, no blanks, shortest escapes and numbers.
 
 Nulls: a message without a conversation or text holds no call; a call without an identifier is linked with
 nothing and no row of `linked`, but each is a row of its own in `unnamed`; missing arguments are an empty object. Of calls that share an identifier in a conversation the
 earliest counts, and the same for results; results without a call are counted as orphans of their
 conversation by `orphans`. A dependency on an unknown call is an error of that call but no link. Arguments
-that are no JSON object are invalid and written as null. Empty tables give empty results. A conversation may
+that are no JSON object are invalid and written as null; so are those nested deeper than `DEEPEST` and those
+with half a surrogate pair, which no UTF-8 text can hold. Empty tables give empty results. A conversation may
 hold any share of all calls: joins are on conversation and identifier, never on the conversation alone.
 """
 
@@ -31,31 +32,68 @@ from wardgrid.llm import common
 KINDS = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
 MESSAGE = "tool_calls array<struct<id:string,name:string,arguments:string,depends_on:array<string>>>, tool_call_id string"
 KEY = ("conv_id", "call_id")
-
-
-def canonical(value: object) -> str:
-    """JSON with names in order and no blanks; whole floats as integers."""
-
-    def plain(x: object) -> object:
-        if isinstance(x, dict):
-            return {k: plain(v) for k, v in x.items()}
-        if isinstance(x, list):
-            return [plain(v) for v in x]
-        if isinstance(x, float):
-            if not math.isfinite(x):
-                raise ValueError("no JSON number")
-            return int(x) if x.is_integer() and abs(x) < 2**53 else x
-        return x
-
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+DEEPEST = 200
+
+
+def canonical(value: object, depth: int = 0) -> str:
+    """JSON with names in order and no blanks; whole floats as integers, exponents without zeros in front.
+    ValueError for what JSON or UTF-8 can't hold and for what is nested too deep."""
+    if depth > DEEPEST:
+        raise ValueError("nested too deep")
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{canonical(k)}:{canonical(value[k], depth + 1)}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(canonical(v, depth + 1) for v in value) + "]"
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise ValueError("no JSON number")
+        if value.is_integer() and abs(value) < 2**53:
+            return str(int(value))
+        return repr(value).replace("e-0", "e-").replace("e+", "e")
+    if isinstance(value, str):
+        value.encode()
+    return json.dumps(value, ensure_ascii=False)
 
 
 def fits(value: object, kind: str) -> bool:
+    """Whether a value is of a JSON type; nothing is of a type that JSON does not have."""
     if kind == "number":
         return isinstance(value, (int, float)) and not isinstance(value, bool)
     if kind == "integer":
         return not isinstance(value, bool) and (isinstance(value, int) or isinstance(value, float) and value.is_integer())
-    return isinstance(value, KINDS[kind])
+    return kind in KINDS and isinstance(value, KINDS[kind])
+
+
+def fault(value: object, schema: dict, at: str = "") -> str | None:
+    """The first thing in which a value departs from its schema, `at` being its place in the arguments.
+    `type` may be missing, a name or a list of names; types of the outermost value are not looked at."""
+    if at and "type" in schema:
+        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+        if not any(fits(value, kind) for kind in kinds):
+            return f"{at} is no {' or '.join(map(str, kinds))}"
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
+        return f"{at} is not allowed"
+    if isinstance(value, dict):
+        inside = f"{at}." if at else ""
+        known = schema.get("properties", {})
+        for name in schema.get("required", []):
+            if name not in value:
+                return f"missing {inside}{name}"
+        for name in sorted(value):
+            if name in known:
+                found = fault(value[name], known[name], inside + name)
+            elif isinstance(schema.get("additionalProperties"), dict):
+                found = fault(value[name], schema["additionalProperties"], inside + name)
+            else:
+                found = f"unexpected {inside}{name}" if schema.get("additionalProperties", True) is False else None
+            if found:
+                return found
+    if isinstance(value, list) and isinstance(schema.get("items"), dict):
+        for k, item in enumerate(value):
+            found = fault(item, schema["items"], f"{at}[{k}]")
+            if found:
+                return found
+    return None
 
 
 def checked(text: str | None, schema: dict | None) -> tuple[str | None, str | None]:
@@ -63,25 +101,13 @@ def checked(text: str | None, schema: dict | None) -> tuple[str | None, str | No
     try:
         value = json.loads(text) if text and text.strip() else {}
         written = canonical(value)
-    except ValueError:
+    except (ValueError, RecursionError):
         return None, "no JSON"
     if not isinstance(value, dict):
         return None, "no object"
     if schema is None:
         return written, "unknown tool"
-    known = schema.get("properties", {})
-    for name in schema.get("required", []):
-        if name not in value:
-            return written, f"missing {name}"
-    for name in sorted(value):
-        if name not in known:
-            if schema.get("additionalProperties", True) is False:
-                return written, f"unexpected {name}"
-        elif not fits(value[name], known[name]["type"]):
-            return written, f"{name} is no {known[name]['type']}"
-        elif "enum" in known[name] and value[name] not in known[name]["enum"]:
-            return written, f"{name} is not allowed"
-    return written, None
+    return written, fault(value, schema)
 
 
 def check_arguments(arguments: Column, tool: Column, schemas: dict[str, dict]) -> Column:
