@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -40,3 +41,48 @@ def test_codewords_differ(k):
     apart = (code[:, None, :] != code[None, :, :]).sum(axis=2) + 1000 * np.eye(k)
     assert apart.min() >= max(1, 2 ** (k - 2) if k <= 7 else code.shape[1] // 5)
     assert all(len(set(column)) == 2 for column in code.T)
+
+
+def plainly(rows):
+    """Weights and trust of each bit by dictionaries of n-gram counts, language by language."""
+    from collections import Counter, defaultdict
+
+    import pyarrow as pa
+
+    counts = defaultdict(Counter)
+    for text, lang in rows:
+        counts[lang].update(langid.grams(pa.array([text]))[0].tolist())
+    names = sorted(counts)
+    code = langid.code_of(len(names))
+    share = {n: (langid.SMOOTHING + np.array([counts[n][b] for b in range(langid.BUCKETS)])) / (sum(counts[n].values()) + langid.SMOOTHING * langid.BUCKETS) for n in names}
+    weights = []
+    for bit in range(code.shape[1]):
+        one, other = (np.mean([share[n] for k, n in enumerate(names) if code[k, bit] == side], axis=0) for side in (1, -1))
+        weights.append((np.log(one / other), ((one - other) * np.log(one / other)).sum()))
+    return names, np.array([w for w, _ in weights]), np.array([t for _, t in weights])
+
+
+@pytest.mark.parametrize("k", [3, 12])
+def test_weights_by_brute_force(spark, k):
+    source = random.Random(k)
+    rows = [(" ".join("".join(source.choices("abcdefgh"[j % 5 :], k=4)) for _ in range(20)), f"l{j}") for j in range(k) for _ in range(3)]
+    docs = spark.createDataFrame([(a, b, n) for n, (a, b) in enumerate(rows)], "text string, lang string, bucket long").repartition(4)
+    model = langid.train(docs)
+    names, weights, trust = plainly(rows)
+    assert model.languages == names
+    np.testing.assert_allclose(model.weights, weights, rtol=1e-4, atol=1e-5)
+    np.testing.assert_allclose(model.trust, trust / trust.sum() * 4, rtol=1e-6)
+    margins = np.random.default_rng(1).normal(size=(5, len(trust)))
+    plain = (np.logaddexp(0, -margins[:, None, :] * model.code[None]) * model.trust).sum(axis=2)
+    np.testing.assert_allclose(model.losses(margins), plain)
+
+
+def test_two_thousand_labels(spark, tables):
+    labels = [f"l{k:04d}" for k in range(2000)]
+    letters = "bcdfghjklmnpqrst"
+    word = {x: "".join(letters[int(c, 16)] for c in hashlib.md5(x.encode()).hexdigest()[:10]) for x in labels}
+    rows = [(j * 2000 + k, " ".join([word[x]] * 6), x) for j in range(2) for k, x in enumerate(labels)]
+    found = queries.op9_language_id(spark, tables(documents=rows)).collect()
+    assert len(found) == 4000 and {r.lang_pred for r in found} <= set(labels)
+    right = {r.doc_id: r.lang_pred for r in found}
+    assert sum(right[d] == x for d, _, x in rows) > 0.8 * len(rows)  # both rows of 4 % are held out
