@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardgrid.functions.clean import record
+from wardgrid.functions.orientation import turn
 from wardgrid.functions.projection import state_plane_to_lonlat
 
 PART_BREAK = r"\)\s*\)\s*,\s*\(\s*\("
@@ -119,14 +120,18 @@ def centroid(wkt: Column) -> Column:
 
 def edge_state(edge: Column, px: Column, py: Column) -> Column:
     """1 where a ray from the point to +x crosses the edge, a large number where
-    the point lies on it, 0 otherwise."""
+    the point lies on it, 0 otherwise. Free of rounding."""
     x1, y1, x2, y2 = edge["x1"], edge["y1"], edge["x2"], edge["y2"]
     apart = (py < F.least(y1, y2)) | (py > F.greatest(y1, y2)) | (px > F.greatest(x1, x2))
-    turn = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-    touching = (turn == 0) & (px >= F.least(x1, x2))
-    # the point is left of an edge going up where the turn is positive
-    crossing = ((y1 > py) != (y2 > py)) & ((turn > 0) == (y2 > y1)) & (turn != 0)
-    return F.when(apart, F.lit(0)).when(touching, F.lit(ON_EDGE)).when(crossing, F.lit(1)).otherwise(F.lit(0))
+    ahead = (px < F.least(x1, x2)) & ((y1 > py) != (y2 > py))
+
+    def near(side: Column) -> Column:
+        touching = (side == 0) & (px >= F.least(x1, x2))
+        # the point is left of an edge going up where the turn is positive
+        crossing = ((y1 > py) != (y2 > py)) & ((side > 0) == (y2 > y1)) & (side != 0)
+        return F.when(touching, F.lit(ON_EDGE)).when(crossing, F.lit(1)).otherwise(F.lit(0))
+
+    return F.when(apart, F.lit(0)).when(ahead, F.lit(1)).otherwise(bound(turn(x1, y1, x2, y2, px, py), near))
 
 
 # larger than any crossing count, small enough to be added a few thousand times

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from wardgrid.functions.cells import edge_length
 from wardgrid.plans import roles
-from wardgrid.plans.registry import AS_OF, CRASH_YEAR, ZONE_LINES
+from wardgrid.plans.registry import AS_OF, CRASH_YEAR, EDGE_CORNERS, SMALL_BOX, ZONE_LINES
 from wardgrid.plans.roles import num, tx, ty
 from wardgrid.schemas import MEASURES
 
@@ -435,6 +435,17 @@ ORACLES["box_filter"] = f"""
 SELECT {roles.month_parts('l_shipdate')}, COUNT(*) AS n FROM (SELECT * EXCLUDE (year) FROM {CRASHES} AS c0) AS c
 WHERE lat BETWEEN 40.5 AND 40.8 AND lon BETWEEN -74.1 AND -73.8 GROUP BY ALL"""
 
+_SOUTH, _NORTH, _WEST, _EAST = SMALL_BOX
+ORACLES["laid_out_box"] = f"""
+SELECT {roles.month_parts('l_shipdate')}, COUNT(*) AS n FROM (SELECT * EXCLUDE (year) FROM {CRASHES} AS c0) AS c
+WHERE lat BETWEEN {_SOUTH} AND {_NORTH} AND lon BETWEEN {_WEST} AND {_EAST} GROUP BY ALL"""
+
+# in whole numbers of 128 bits
+_WHOLE = ", ".join(f"CAST({v.replace(' / ', ' // ')} AS HUGEINT) AS {n}" for n, v in EDGE_CORNERS.items())
+ORACLES["slanted_edge_sides"] = f"""
+SELECT l_linenumber, CAST(sign((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) AS INT) AS side, COUNT(*) AS n
+FROM (SELECT l_linenumber, {_WHOLE} FROM lineitem) AS e GROUP BY ALL"""
+
 ORACLES["points_in_zones"] = f"""
 SELECT collision_id, crash_date, locationid FROM {CHOSEN} AS p, {ZONES} AS z
 WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1"""

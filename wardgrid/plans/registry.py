@@ -7,17 +7,19 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wardgrid.functions import clean
 from wardgrid.functions.cells import add_cells
 from wardgrid.functions.geometry import area, parse_rings, polygon_edges, polygon_moments, wkt_from_rings
+from wardgrid.functions.orientation import turn
 from wardgrid.operators import normalise, relational, wide
 from wardgrid.operators.spatial import centroids, points_in_polygons, points_per_polygon
 from wardgrid.plans import loads, published, reports
 from wardgrid.plans.roles import REQUESTS_DATASET, RESPONSE_YEARS, WEST, WIDTH, X_BREAKS, Tables
 from wardgrid.schemas import DATASETS, MEASURES, RESOLUTIONS, Dataset, Resource, ridership_schema, text_schema, with_partitions
 from wardgrid.session import apply_settings, shared_folder
-from wardgrid.sources import catalog, landing, ledger, sinks, snapshots, tables
+from wardgrid.sources import catalog, landing, layout, ledger, sinks, snapshots, tables
 from wardgrid.sources.calendar import calendar_of
 from wardgrid.streaming.ingest import read_streamed, stream_months
 
@@ -28,6 +30,20 @@ QUERIES: dict[str, Query] = {}
 CRASH_YEAR = "2000"
 AS_OF = date(2002, 1, 15)
 PART_ROWS = 20
+SMALL_BOX = (40.6, 40.7, -74.0, -73.9)
+STORED_PLACE = StructType([StructField("lat", DoubleType()), StructField("lon", DoubleType())])
+# an edge from a to b with odd steps that differ by -2, 0 or 2, and the whole-numbered point by its middle
+_ACROSS = "(2 * (CAST(l_orderkey AS BIGINT) * 7919 % 1000003 * 17000003 + l_partkey % 17000003) + 1)"
+_UP = f"({_ACROSS} + 2 * (l_linenumber % 3 - 1))"
+_X, _Y = "(CAST(l_suppkey AS BIGINT) % 1000003 * 1000003)", "(CAST(l_partkey AS BIGINT) % 1000003 * 10007)"
+EDGE_CORNERS = {
+    "x1": _X,
+    "y1": _Y,
+    "x2": f"({_X} + {_ACROSS})",
+    "y2": f"({_Y} + {_UP})",
+    "px": f"({_X} + ({_ACROSS} - 1) / 2)",
+    "py": f"({_Y} + ({_UP} - 1) / 2)",
+}
 PAGE_ROWS = 10_000
 # every line between zones, and a place between every two lines
 ZONE_LINES = sorted([WEST + b * WIDTH for b in X_BREAKS] + [WEST + (b + 0.03) * WIDTH for b in X_BREAKS[:-1]])
@@ -789,6 +805,23 @@ def box_filter(t: Tables) -> DataFrame:
     return relational.count_by(_places(t).where(clean.in_box(F.col("lat"), F.col("lon"), 40.5, 40.8, -74.1, -73.8)), "year", "month")
 
 
+@query
+def laid_out_box(t: Tables) -> DataFrame:
+    """Crash places inside a small box, by month, from a table that is stored in the order of places."""
+    root = shared_folder(t.spark, "places")
+    layout.replace_months_by_place(_places(t).select("lat", "lon", "year", "month"), root, "lat", "lon")
+    stored = tables.read_months(t.spark, root, STORED_PLACE)
+    return relational.count_by(stored.where(clean.in_box(F.col("lat"), F.col("lon"), *SMALL_BOX)), "year", "month")
+
+
+@query
+def slanted_edge_sides(t: Tables) -> DataFrame:
+    """Sides of points half-way along long slanted edges, on them or off by less than plain doubles can tell."""
+    rows = t.sql("SELECT * FROM {lineitem}").select("l_linenumber", *[F.expr(f"CAST({v} AS DOUBLE)").alias(n) for n, v in EDGE_CORNERS.items()])
+    side = F.signum(turn(*[F.col(n) for n in EDGE_CORNERS])).cast("int")
+    return relational.count_by(rows.withColumn("side", side), "l_linenumber", "side")
+
+
 @query
 def points_in_zones(t: Tables) -> DataFrame:
     """Every crash with the zone that contains it."""
