@@ -28,6 +28,7 @@ from wardgrid.functions.clean import (
 COORDINATE_PAIRS = [("latitude", "longitude"), ("location_latitude", "location_longitude")]
 
 HOISTED = ("latitude", "longitude")
+PLAIN = "plain"
 NESTED = (StructType, ArrayType, MapType, VariantType)
 
 
@@ -92,6 +93,10 @@ def landed_keys(records: DataFrame) -> DataFrame:
 
     One pass with a map-side combine; what is shuffled is the number of keys.
     """
+    return _key_flags(records).drop(PLAIN)
+
+
+def _key_flags(records: DataFrame) -> DataFrame:
     spark = records.sparkSession
     entries = records.lateralJoin(spark.tvf.variant_explode(F.col("record").outer()))
     kind = F.schema_of_variant("value")
@@ -99,14 +104,16 @@ def landed_keys(records: DataFrame) -> DataFrame:
         F.max(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")).alias("scalar"),
         F.max(kind.startswith("ARRAY")).alias("list"),
         F.max(kind.startswith("OBJECT")).alias("object"),
+        F.min(~kind.rlike("^(DECIMAL|DOUBLE|FLOAT)")).alias(PLAIN),
         *[F.max(F.try_variant_get("value", f"$.{part}", "variant").isNotNull()).alias(part) for part in HOISTED],
     )
 
 
 def key_kinds(records: DataFrame) -> dict[str, set[str]]:
-    """`landed_keys` on the driver: column names, not data."""
-    flags = ("scalar", "list", "object", *HOISTED)
-    return {row["key"]: {f for f in flags if row[f]} for row in landed_keys(records).collect()}
+    """`landed_keys` on the driver: column names, not data. Keys that never held a number
+    with a fraction or exponent are marked as well, which spares a test per value."""
+    flags = ("scalar", "list", "object", PLAIN, *HOISTED)
+    return {row["key"]: {f for f in flags if row[f]} for row in _key_flags(records).collect()}
 
 
 def _literal(text: str) -> str:
@@ -138,10 +145,11 @@ def text_at(*keys: str) -> Column:
 
 
 def _text_unless_object(key: str, kinds: set[str]) -> Column:
+    text = _value_sql("string", key) if PLAIN in kinds else _text_sql(key)
     if "object" not in kinds:
-        return text_at(key)
+        return F.expr(text)
     kind = f"schema_of_variant({_value_sql('variant', key)})"
-    return F.expr(f"CASE WHEN NOT startswith({kind}, 'OBJECT') THEN {_text_sql(key)} END")
+    return F.expr(f"CASE WHEN NOT startswith({kind}, 'OBJECT') THEN {text} END")
 
 
 def _one_per_name(columns: Mapping[str, Sequence[Column]]) -> list[Column]:
@@ -160,7 +168,7 @@ def text_columns(records: DataFrame, kinds: Mapping[str, set[str]]) -> DataFrame
     """
     columns: dict[str, list[Column]] = {}
     for key, seen in kinds.items():
-        if seen & {"scalar", "list"} or not seen:
+        if seen & {"scalar", "list"} or not seen - {PLAIN}:
             columns.setdefault(key, []).insert(0, _text_unless_object(key, seen))
         for part in HOISTED:
             if part in seen:
@@ -195,7 +203,7 @@ def typed_core(records: DataFrame, kinds: Mapping[str, set[str]], time_column: s
     Nested values become JSON text; unlike in the all-text form nothing is hoisted.
     """
     tail = sorted(set(kinds) - {time_column} - set(float_columns))
-    columns = {c: [text_at(c)] for c in tail} | {c: [safe_double(_value_sql("string", c))] for c in float_columns}
+    columns = {c: [F.expr(_value_sql("string", c)) if PLAIN in kinds[c] else text_at(c)] for c in tail} | {c: [safe_double(_value_sql("string", c))] for c in float_columns}
     columns[time_column] = [safe_timestamp(_value_sql("string", time_column))]
     first = [columns[c][0].alias(c) for c in (time_column, *float_columns)]
     return records.select(*first, *_one_per_name({c: columns[c] for c in tail}), *_carried(records))

@@ -18,6 +18,7 @@ from wardgrid.functions.geometry import map_vertices, parse_rings, wkt_from_ring
 from wardgrid.operators.relational import union_resources
 from wardgrid.operators.wide import as_stored_text, curated, header_rows, in_counties, merge_vintages
 from wardgrid.schemas import COUNTIES, MEASURES, Dataset, Resource
+from wardgrid.sources.landing import spread
 
 WEST, SOUTH, WIDTH, HEIGHT = -74.3, 40.4, 0.7, 0.6
 # slightly less than the box, and no short fraction of it: no result ends in a digit that rounds either way
@@ -267,7 +268,7 @@ class Tables:
     @cached_property
     def ridership_lines(self) -> DataFrame:
         """Landed ridership: JSON lines with a nested object; blank keys stay away."""
-        rides = self.ridership_text.drop("event_id", "ts")
+        rides = spread(self.ridership_text.drop("event_id", "ts"))
         point = F.struct(
             F.lit("Point").alias("type"), F.array(F.col("longitude"), F.col("latitude")).alias("coordinates")
         )
@@ -297,7 +298,7 @@ class Tables:
                 F.struct(F.lit("Point").alias("type")).alias("shape"),
                 *extra,
             )
-            return part.select(F.to_json(record).alias("value"))
+            return spread(part).select(F.to_json(record).alias("value"))
 
         channel = F.when(F.col("status") == "O", "PHONE").otherwise("ONLINE").alias("channel")
         return {

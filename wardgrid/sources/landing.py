@@ -18,13 +18,20 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def spread(lines: DataFrame) -> DataFrame:
+    """Lines that came in fewer splits than there are cores, dealt to all of them: what is
+    done with a line costs far more than moving it. Others stay where they are."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def read_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Files that each hold one JSON array of records, as one line per record.
 
     A page is one value, so keep pages to the size an open-data service sends
     (tens of thousands of records); larger drops belong in JSON lines.
     """
-    pages = spark.read.text(paths, wholetext=True)
+    pages = spark.read.text(paths, wholetext=True)  # a file is one split
     entries = pages.select(F.parse_json("value").alias("page")).lateralJoin(
         spark.tvf.variant_explode(F.col("page").outer())
     )
