@@ -457,12 +457,19 @@ ORACLES["tract_matches_salted"] = f"""
 SELECT geoid, year, COUNT(*) AS n FROM {CRASHES} AS p, {TRACTS} AS t WHERE {IN_TRACT} GROUP BY geoid, year"""
 
 LINES = "[" + ", ".join(num(v) for v in ZONE_LINES) + "]"
+LINE_SPOTS = f"""(SELECT ({LINES})[CAST(o_orderkey % {len(ZONE_LINES)} AS INT) + 1] AS lon,
+  {num(40.4)} + CAST(o_custkey * 5381 % 9967 AS DOUBLE) / {num(9967)} * {num(0.6)} AS lat FROM orders)"""
 ORACLES["line_point_counts"] = f"""
-SELECT locationid, COUNT(*) AS n
-FROM (SELECT ({LINES})[CAST(o_orderkey % {len(ZONE_LINES)} AS INT) + 1] AS lon,
-  {num(40.4)} + CAST(o_custkey * 5381 % 9967 AS DOUBLE) / {num(9967)} * {num(0.6)} AS lat FROM orders) AS p, {ZONES} AS z
+SELECT locationid, COUNT(*) AS n FROM {LINE_SPOTS} AS p, {ZONES} AS z
 WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1 GROUP BY locationid"""
 
+ORACLES["border_point_counts"] = f"""
+SELECT locationid, COUNT(*) AS n FROM {LINE_SPOTS} AS p, {ZONES} AS z
+WHERE lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 GROUP BY locationid"""
+
+ORACLES["zones_by_cover"] = ORACLES["points_in_zones"]
+ORACLES["tract_matches_by_cover"] = ORACLES["tract_matches_salted"]
+
 ORACLES["area_and_centroid"] = f"""
 SELECT geoid, round(area, 9) AS area, round(lon, 9) AS cx, round(lat, 9) AS cy FROM {CENTROIDS} AS c"""
 

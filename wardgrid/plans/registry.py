@@ -14,6 +14,7 @@ from wardgrid.functions.cells import add_cells
 from wardgrid.functions.geometry import area, parse_rings, polygon_edges, polygon_moments, wkt_from_rings
 from wardgrid.functions.orientation import turn
 from wardgrid.operators import normalise, relational, wide
+from wardgrid.operators.cover import points_in_cover
 from wardgrid.operators.spatial import centroids, points_in_polygons, points_per_polygon
 from wardgrid.plans import loads, published, reports
 from wardgrid.plans.roles import REQUESTS_DATASET, RESPONSE_YEARS, WEST, WIDTH, X_BREAKS, Tables
@@ -849,15 +850,38 @@ def tract_matches_salted(t: Tables) -> DataFrame:
     return relational.count_by(met, "geoid", "year")
 
 
-@query
-def line_point_counts(t: Tables) -> DataFrame:
-    """Points on the lines between zones: on an upright line inside neither, elsewhere inside one."""
+def _line_spots(t: Tables) -> DataFrame:
     xs = F.array(*[F.lit(v) for v in ZONE_LINES])
-    spots = t.sql("SELECT * FROM {orders}").select(
+    return t.sql("SELECT * FROM {orders}").select(
         xs[(F.col("o_orderkey") % len(ZONE_LINES)).cast("int")].alias("lon"),
         (F.lit(40.4) + (F.col("o_custkey") * 5381 % 9967) / F.lit(9967.0) * F.lit(0.6)).alias("lat"),
     )
-    return points_per_polygon(spots, t.zones, ["locationid"], "lon", "lat")
+
+
+@query
+def line_point_counts(t: Tables) -> DataFrame:
+    """Points on the lines between zones: on an upright line inside neither, elsewhere inside one."""
+    return points_per_polygon(_line_spots(t), t.zones, ["locationid"], "lon", "lat")
+
+
+@query
+def zones_by_cover(t: Tables) -> DataFrame:
+    """Crashes with their zones, most of them told by a cell that lies inside as a whole."""
+    c = normalise.with_coordinates(t.collisions)
+    return points_in_cover(c, t.zones, ["locationid"], "lon", "lat").select("collision_id", "crash_date", "locationid")
+
+
+@query
+def tract_matches_by_cover(t: Tables) -> DataFrame:
+    """Slanted edges and holes; the cover is over its broadcast limit, and a third of all points is on one spot."""
+    met = points_in_cover(_places(t), t.tracts, ["geoid"], "lon", "lat", broadcast_bytes=0, hot_cell_rows=1000)
+    return relational.count_by(met, "geoid", "year")
+
+
+@query
+def border_point_counts(t: Tables) -> DataFrame:
+    """Points on the lines between zones, borders included: on an upright line they are in both."""
+    return relational.count_by(points_in_cover(_line_spots(t), t.zones, ["locationid"], "lon", "lat", boundary=True), "locationid")
 
 
 @query
