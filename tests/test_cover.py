@@ -2,13 +2,16 @@ import math
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wardgrid.operators.cover import cover, points_in_cover
+from wardgrid.operators.cover import BOX, ENDS, cover, cut_cells, points_in_cover
 
 SQ = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
 MP = "MULTIPOLYGON (((5 0, 6 0, 6 1, 5 1, 5 0)), ((5 2, 7 2, 7 3, 6 3, 6 4, 5 4, 5 2)))"
+# an upright border on the right side and nothing else has a height
+OPEN = "POLYGON ((0.5 0, 1.5 0, 1.5 1.5, 0.5 1.5))"
 BOW = "POLYGON ((10 10, 12 12, 12 10, 10 12, 10 10))"
 
 
@@ -115,3 +118,27 @@ def test_nothing_to_match(spark):
     assert met(points_in_cover(spots, square, ["id"])) == [(0, "again"), (0, "sq")]
     with pytest.raises(ValueError):
         points_in_cover(spots.withColumn("id", F.lit(1)), square, ["id"])
+
+
+def test_bounds_of_polygons(spark):
+    """A closed ring is bounded on all sides; without an edge the count to its west may be odd, and stays so."""
+    bounds = {r["id"]: tuple(r[b] for b in BOX) for r in cover(spark.createDataFrame([("sq", SQ), ("open", OPEN)], "id string, geometry_wkt string"), ["id"]).collect()}
+    assert bounds == {"sq": (0.0, 4.0, 0.0, 4.0), "open": (-math.inf, 1.5, 0.0, 1.5)}
+    shapes = spark.createDataFrame([("open", OPEN)], "id string, geometry_wkt string")
+    assert met(points_in_cover(points(spark, [(0.25, 0.75), (0.75, 0.75), (1.75, 0.75), (1.0, 1.75)]), shapes, ["id"])) == [(0, "open"), (1, "open")]
+
+
+def test_one_batch_of_cells_for_many_polygons(spark):
+    """Polygons of a few cells share a batch: as many batches as tasks, not as polygons."""
+    small = spark.range(200).selectExpr("id", "concat('POLYGON ((', id, ' 0, ', id + 1, ' 0, ', id, ' 1, ', id, ' 0))') AS geometry_wkt")
+    joins = []
+    own = pd.DataFrame.join
+    flat = cover(small, ["id"])
+    assert flat.select("id").distinct().count() == 200
+    frame = pd.DataFrame({"id": [7, 8], **{n: [[0.0, 1.0, 0.0], [1.0, 2.0, 1.0]] for n in ENDS}})
+    try:
+        pd.DataFrame.join = lambda *a, **k: joins.append(1) or own(*a, **k)
+        cells = pd.concat(cut_cells([frame], ["id"], 8))
+    finally:
+        pd.DataFrame.join = own
+    assert set(cells["id"]) == {7, 8} and len(joins) == 1

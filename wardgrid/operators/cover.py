@@ -14,7 +14,7 @@ a cell keeps a start value and the few heights that remain.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from wardgrid.functions.clean import valid_sql
-from wardgrid.functions.geometry import ON_EDGE, edge_state, parse_rings, polygon_edges
+from wardgrid.functions.clean import computed_once, valid_sql
+from wardgrid.functions.geometry import ON_EDGE, bound, edge_state, parse_rings, polygon_edges
 from wardgrid.functions.orientation import PLAIN_ERROR
 from wardgrid.operators.spatial import BROADCAST_BYTES, HOT_CELL_ROWS, _cell_sql, _salted
 from wardgrid.session import shared_folder
@@ -33,6 +33,7 @@ FINEST, STEP, LEVELS = -18, 2, 16
 EDGES_PER_CELL = 8
 
 ENDS = ["_x1", "_y1", "_x2", "_y2"]
+BOX = ["_west", "_east", "_south", "_north"]
 NUMBERS = ArrayType(DoubleType(), containsNull=False)
 CELL = [
     StructField("_level", IntegerType()),
@@ -41,8 +42,10 @@ CELL = [
     StructField("_within", BooleanType()),
     StructField("_flips", NUMBERS),
     *[StructField(name, NUMBERS) for name in ENDS],
+    *[StructField(name, DoubleType()) for name in BOX],
 ]
-TEST = ["_within", "_flips", "_edges"]
+TEST = ["_within", "_flips", "_edges", *BOX]
+CELLS_PER_BATCH = 4096
 
 
 def _beside(edges: np.ndarray, left: float, low: float, size: float) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +103,36 @@ def _tree(edges: np.ndarray, most: int) -> Iterator[tuple]:
             yield level, cx, cy, within, flips, held
 
 
+def _box(edges: np.ndarray) -> tuple[float, float, float, float]:
+    """Outside of these bounds no point is inside or on the boundary. To the west of rings that
+    lack an edge the even-odd count may be odd, so they have no bound there."""
+    if not edges.shape[1]:
+        return -np.inf, np.inf, -np.inf, np.inf
+    xs, ys = edges[[0, 2]], edges[[1, 3]]
+    closed = not (np.unique(ys, return_counts=True)[1] % 2).any()
+    return xs.min() if closed else -np.inf, xs.max(), ys.min(), ys.max()
+
+
+def cut_cells(batches: Iterable[pd.DataFrame], keep: Sequence[str], most: int) -> Iterator[pd.DataFrame]:
+    """The cells of polygons beside their `keep` columns, those of many polygons in one frame."""
+    names = [f.name for f in CELL]
+    for batch in batches:
+        kept, corners = batch[list(keep)], [batch[name].to_numpy() for name in ENDS]
+        rows, cells = [], []
+        for at in range(len(batch)):
+            ends = np.array([np.asarray(column[at], dtype=float) for column in corners]).reshape(4, -1)
+            ends = ends[:, np.isfinite(ends).all(axis=0)]
+            box = _box(ends)
+            for cell in _tree(ends, most):
+                rows.append(at)
+                cells.append((*cell[:5], *cell[5], *box))
+                if len(cells) == CELLS_PER_BATCH:
+                    yield kept.iloc[rows].reset_index(drop=True).join(pd.DataFrame(cells, columns=names))
+                    rows, cells = [], []
+        if cells:
+            yield kept.iloc[rows].reset_index(drop=True).join(pd.DataFrame(cells, columns=names))
+
+
 def cover(polygons: DataFrame, keep: Sequence[str], wkt: str = "geometry_wkt", most: int = EDGES_PER_CELL) -> DataFrame:
     """One row per polygon and cell: `keep`, `_level`, `_cell`, and what tells the inside there.
 
@@ -108,31 +141,18 @@ def cover(polygons: DataFrame, keep: Sequence[str], wkt: str = "geometry_wkt", m
     more than `most` edges only where that many meet within the finest size.
     """
     kinds = polygons.select(*keep).schema.fields
-    edges = polygons.select(*keep, polygon_edges(parse_rings(F.col(wkt))).alias("_edges"))
-    # cutting costs time rather than bytes: spread the polygons evenly, whatever their keys
-    spread = edges.repartition(polygons.sparkSession.sparkContext.defaultParallelism)
-    flat = spread.where("_edges IS NOT NULL").select(
+    # parsing and cutting cost time rather than bytes: spread the polygons evenly, whatever their keys
+    spread = polygons.select(*keep, wkt).repartition(polygons.sparkSession.sparkContext.defaultParallelism)
+    edges = computed_once(spread, _edges=polygon_edges(parse_rings(F.col(wkt))))
+    flat = edges.where("_edges IS NOT NULL").select(
         *keep, *[F.expr(f"transform(_edges, e -> coalesce(e.{name[1:]}, double('nan')))").alias(name) for name in ENDS]
     )
-    names = [f.name for f in CELL]
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(len(batch)):
-                row = batch.iloc[[at]]
-                ends = np.array([np.asarray(row[name].iloc[0], dtype=float) for name in ENDS]).reshape(4, -1)
-                ends = ends[:, np.isfinite(ends).all(axis=0)]
-                cells = [(*cell[:5], *cell[5]) for cell in _tree(ends, most)]
-                for start in range(0, len(cells), 4096):
-                    part = pd.DataFrame(cells[start : start + 4096], columns=names)
-                    yield row[list(keep)].loc[row.index.repeat(len(part))].reset_index(drop=True).join(part)
-
-    cells = flat.mapInPandas(cut, StructType([*kinds, *CELL]))
+    cells = flat.mapInPandas(lambda batches: cut_cells(batches, keep, most), StructType([*kinds, *CELL]))
     whole = F.size("_x1") + F.size("_flips") == 0
     zipped = F.expr("transform(_x1, (v, i) -> named_struct('x1', v, 'y1', get(_y1, i), 'x2', get(_x2, i), 'y2', get(_y2, i)))")
     return cells.select(
         *keep, "_level", F.expr(_cell_sql("_level", "_cx", "_cy")).alias("_cell"), "_within",
-        F.when(~whole, F.col("_flips")).alias("_flips"), F.when(~whole, zipped).alias("_edges"),
+        F.when(~whole, F.col("_flips")).alias("_flips"), F.when(~whole, zipped).alias("_edges"), *BOX,
     )
 
 
@@ -145,7 +165,7 @@ def _fixed(polygons: DataFrame, wkt: str, keep: Sequence[str], most: int) -> tup
     texts = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keep), F.lit(0))
     # four ends and a struct for each edge; a hash table holds as much again
     arrays = 56 * F.coalesce(F.size("_edges"), F.lit(0)) + 8 * F.coalesce(F.size("_flips"), F.lit(0))
-    sizes = cells.groupBy("_level").agg(F.sum(2 * (128 + arrays + texts)).alias("bytes")).collect()
+    sizes = cells.groupBy("_level").agg(F.sum(2 * (160 + arrays + texts)).alias("bytes")).collect()
     return cells, sorted(row["_level"] for row in sizes), sum(row["bytes"] for row in sizes)
 
 
@@ -153,9 +173,16 @@ def _contains(lon: str, lat: str, boundary: bool) -> Column:
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     flipped = F.size(F.filter("_flips", lambda height: height <= y)) + F.col("_within").cast("int")
     score = F.aggregate("_edges", flipped, lambda n, e: n + edge_state(e, x, y))
-    clear = (score % 2 == 1) & (score < ON_EDGE)
-    tested = clear | (score >= ON_EDGE) if boundary else clear
-    return F.col("_edges").isNull() | tested
+
+    def tell(found: Column) -> Column:
+        clear = (found % 2 == 1) & (found < ON_EDGE)
+        return clear | (found >= ON_EDGE) if boundary else clear
+
+    # one reference to the score: Spark computes what a condition holds twice before any part of it
+    tested = bound(score, tell)
+    # plain comparisons first: most polygons that share a cell with a point lie beside it
+    near = x.between(F.col("_west"), F.col("_east")) & y.between(F.col("_south"), F.col("_north"))
+    return near & (F.col("_edges").isNull() | tested)
 
 
 def points_in_cover(points: DataFrame, polygons: DataFrame, keep: Sequence[str], lon: str = "longitude", lat: str = "latitude",
