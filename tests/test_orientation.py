@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardgrid.functions import geometry
-from wardgrid.functions.orientation import exact_sum_sign, turn
+from wardgrid.functions.orientation import _close, exact_sum_sign, turn
 
 
 def sign(x):
@@ -86,3 +86,25 @@ def test_slanted_borders_of_two_polygons(spark):
         on = side == 0
         assert found[k, "l"] == (side > 0, side > 0 or on), (k, side)
         assert found[k, "r"] == (side < 0, side < 0 or on), (k, side)
+
+
+@pytest.mark.parametrize("unit", [1.0, 2.0**-40, 2.0**-460])
+def test_sides_by_two_products(spark, unit):
+    """Whole-numbered steps of over 2**45: the products differ by less than their rounding, or not at all. The exact
+    sum is a mark here: it is taken only where products may be too small for a double."""
+    source = random.Random(5)
+    rows = []
+    for _ in range(600):
+        u, x, y = 2 * source.randrange(1 << 45) + 1, source.randrange(1 << 40), source.randrange(1 << 40)
+        v = u + source.choice([-2, 0, 2])
+        rows.append(tuple(c * unit for c in (x, y, x + u, y + v, x + (u - 1) // 2, y + (v - 1) // 2)))
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in rows], "ax double, ay double, bx double, by double, px double, py double")
+    ax, ay, bx, by, px, py = map(F.col, frame.columns)
+    steps = [(bx, ax), (py, ay), (by, ay), (px, ax)]
+    held = F.struct(*[(a - b).alias(f"d{i}") for i, (a, b) in enumerate(steps)])
+    quick = _close(F.col("d"), steps, F.lit(float("nan")))
+    got = frame.withColumn("d", held).select(*frame.columns, turn(ax, ay, bx, by, px, py).alias("s"), quick.alias("q")).collect()
+    assert all(sign(r["s"]) == rational(*r[:6]) for r in got)
+    assert sum(plain(*r[:6]) != rational(*r[:6]) for r in got) > 20
+    if unit > 2.0**-400:
+        assert all(sign(r["q"]) == rational(*r[:6]) for r in got)
