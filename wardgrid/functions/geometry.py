@@ -28,7 +28,7 @@ def bound(value: Column, build: Callable[[Column], Column]) -> Column:
 
 def _vertex(text: Column) -> Column:
     numbers = F.split(F.trim(text), r"\s+")
-    return record(x=F.get(numbers, F.lit(0)).try_cast("double"), y=F.get(numbers, F.lit(1)).try_cast("double"))
+    return bound(numbers, lambda n: record(x=F.get(n, F.lit(0)).try_cast("double"), y=F.get(n, F.lit(1)).try_cast("double")))
 
 
 def parse_rings(wkt: Column) -> Column:

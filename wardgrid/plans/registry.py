@@ -896,8 +896,9 @@ def area_and_centroid(t: Tables) -> DataFrame:
 @query
 def rebuilt_text(t: Tables) -> DataFrame:
     """WKT built from vertices: parts, rings, edges and area survive the round trip."""
-    built = t.tracts.select("geoid", wkt_from_rings(parse_rings(F.col("geometry_wkt"))).alias("wkt"))
-    rings = parse_rings(F.col("wkt"))
+    texts = clean.computed_once(t.tracts.select("geoid", "geometry_wkt"), wkt=wkt_from_rings(parse_rings(F.col("geometry_wkt"))))
+    built = clean.computed_once(texts.drop("geometry_wkt"), rings=parse_rings(F.col("wkt")))
+    rings = F.col("rings")
     return built.select(
         "geoid",
         F.col("wkt").startswith("MULTIPOLYGON").alias("several_parts"),

@@ -252,9 +252,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def sql(self, text: str) -> DataFrame:
+    def sql(self, text: str, dealt: str | None = None) -> DataFrame:
         names = ("region nation customer supplier orders lineitem events").split()
         used = {n: self.raw(n) for n in names if f"{{{n}}}" in text}
+        if dealt:  # narrow rows that much is done with
+            used[dealt] = used[dealt].repartition(self.spark.sparkContext.defaultParallelism)
         return self.spark.sql(text, **used)
 
     @cached_property
@@ -316,7 +318,7 @@ class Tables:
 
     @cached_property
     def tracts(self) -> DataFrame:
-        return self.sql(TRACTS)
+        return self.sql(TRACTS, dealt="customer")
 
     @cached_property
     def tracts_in_feet(self) -> DataFrame:
