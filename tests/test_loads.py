@@ -2,11 +2,13 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from wardgrid.operators.normalise import declared_kinds
 from wardgrid.plans import registry
-from wardgrid.plans.loads import load_months, preview_load
+from wardgrid.plans.loads import clean_resources, load_months, preview_load
+from wardgrid.plans.roles import Tables
 from wardgrid.schemas import DATASETS, Dataset, Resource, collisions_schema, requests_schema, ridership_schema
 from wardgrid.sources import catalog, landing, ledger, sinks, tables
 from wardgrid.sources.calendar import calendar_of, month_calendar
@@ -313,3 +315,34 @@ def test_a_record_landed_in_two_batches_is_stored_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "r")).where("reason = 'malformed'").count() == 2
     state = spark.read.format("statestore").load(check)
     assert state.count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_preview_is_counted_once(spark, tmp_path):
+    """Months of the preview are rows, no second pass over the lines; a key counts in the month of its latest date."""
+    landed = {"crashes": frame(spark, crash(1, "2019-12-05"), crash(1, "2020-02-01"), crash(2, "2020-02-03"), crash(3, "2018-02-03"))}
+    for kinds in (None, declared_kinds(["collision_id", "crash_date", "latitude", "longitude"])):
+        seen = preview_load(spark, landed, CRASHES, str(tmp_path / "ledger"), date(2020, 3, 1), kinds)
+        assert [tuple(r) for r in seen.months.collect()] == [("2020", "02", 2)] and "json" not in plan_of(seen.months)
+        assert seen.first_partition == ("2020", "02") and "latitude" in seen.schema.names
+
+
+def test_done_months_are_left_out_before_columns_are_read(spark):
+    """The filter by month lies below what reads the other columns and makes cells; the date may have two spellings."""
+    lines = frame(spark, crash(1, "2019-12-05"), crash(2, "2020-02-01"), json.dumps({"collision_id": "3", "Crash_Date": "2020-02-07", "latitude": "40.7"}))
+    kinds = {k: {"scalar"} for k in ("collision_id", "crash_date", "latitude", "longitude")}
+    pending = [Row(resource="crashes", year="2020", month="02")]
+    rows = clean_resources({"crashes": lines}, CRASHES, kinds, True, pending)
+    plan = plan_of(rows)
+    assert plan.rindex("hex_r9") < plan.index("2020-02")
+    assert [r["collision_id"] for r in rows.collect()] == ["2"] and rows.columns[-2:] == ["year", "month"]
+
+
+def test_tracts_are_dealt_to_all_cores(spark, tmp_path):
+    """Customers of one file with one row group; polygons are parsed by all cores."""
+    spark.range(40).selectExpr("id AS c_custkey", "'n' AS c_name", "int(id % 25) AS c_nationkey", "0D AS c_acctbal", "'s' AS c_mktsegment").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    tracts = Tables(spark, str(tmp_path)).tracts
+    assert tracts.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and tracts.select("geoid").distinct().count() == 40

@@ -196,6 +196,13 @@ def declared_kinds(columns: Iterable[str]) -> dict[str, set[str]]:
     return kinds
 
 
+def feeding(kinds: Mapping[str, set[str]], names: Iterable[str]) -> dict[str, set[str]]:
+    """The keys that columns of these names are made of, under any spelling."""
+    wanted = {name.lower() for name in names}
+    made = {key: {key.lower(), *(f"{key}_{part}".lower() for part in HOISTED if part in seen)} for key, seen in kinds.items()}
+    return {key: seen for key, seen in kinds.items() if made[key] & wanted}
+
+
 def typed_core(records: DataFrame, kinds: Mapping[str, set[str]], time_column: str,
                float_columns: Sequence[str]) -> DataFrame:
     """A timestamp, the float columns, then every other key as text sorted by name.

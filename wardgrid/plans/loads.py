@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from functools import reduce
 
@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from wardgrid.operators.normalise import (
     COORDINATE_PAIRS,
+    feeding,
     key_kinds,
     latest_per_key,
     parse_records,
@@ -33,6 +34,8 @@ Kinds = Mapping[str, set[str]]
 
 REASONS = ("malformed", "undated", "outside")
 CLOSED = "closed"
+# a record's month where it is known before its columns are read
+MONTH = ("_of_year", "_of_month")
 
 
 def clean_records(records: DataFrame, dataset: Dataset, kinds: Kinds, cells: bool = True) -> DataFrame:
@@ -43,7 +46,23 @@ def clean_records(records: DataFrame, dataset: Dataset, kinds: Kinds, cells: boo
         rows, pairs = typed_core(records, kinds, dataset.date_column, dataset.float_columns), COORDINATE_PAIRS[:1]
     else:
         rows = text_columns(records, kinds)
-    return with_partition_keys(with_record_cells(rows, pairs) if cells else rows, dataset.date_column)
+    rows = with_record_cells(rows, pairs) if cells else rows
+    if set(MONTH) <= set(records.columns):
+        return rows.withColumns({"year": F.col(MONTH[0]), "month": F.col(MONTH[1])}).drop(*MONTH)
+    return with_partition_keys(rows, dataset.date_column)
+
+
+def _narrowed(dataset: Dataset, kinds: Kinds, names: Iterable[str]) -> tuple[Dataset, Kinds]:
+    """What the columns of these names and the date take, of a data set and its keys."""
+    floats = tuple(c for c in dataset.float_columns if c in set(names))
+    return replace(dataset, float_columns=floats), feeding(kinds, [dataset.date_column, *names])
+
+
+def dated_records(records: DataFrame, dataset: Dataset, kinds: Kinds) -> DataFrame:
+    """The records and marks with `year` and `month`; no other column is read from a record yet."""
+    dated = clean_records(records.withColumn("_record", F.col("record")), *_narrowed(dataset, kinds, []), cells=False)
+    marks = [c for c in records.columns if c.startswith("_")]
+    return dated.select(F.col("_record").alias("record"), *marks, *PARTITION_COLUMNS)
 
 
 def in_years(resource: Resource) -> Column:
@@ -90,7 +109,8 @@ def one_per_key(rows: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Kinds | None = None, cells: bool = True,
-                    pending: Iterable[Row] | None = None, watch: dict[str, Observation] | None = None) -> DataFrame | None:
+                    pending: Iterable[Row] | None = None, watch: dict[str, Observation] | None = None,
+                    columns: Iterable[str] | None = None) -> DataFrame | None:
     """All resources of a data set as one table, each held to its own years.
 
     Without `kinds` the keys are discovered first, which reads the records twice;
@@ -99,7 +119,8 @@ def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Ki
     are not read. Where a line landed says nothing about the month of its record, so
     folders are not pruned; `plans.published` knows which files hold which months.
     `watch` gets an observation a resource: the rows of the pass that are refused, by
-    reason, and those of months that are done (`closed`).
+    reason, and those of months that are done (`closed`). Only rows that stay are read beyond
+    their date. With `columns` no others than these and the date are made, nor cells.
     """
     frames = []
     for resource in landed_resources(landed, dataset):
@@ -110,11 +131,13 @@ def clean_resources(landed: Mapping[str, DataFrame], dataset: Dataset, kinds: Ki
         found = key_kinds(records) if kinds is None else kinds
         flagged = records.withColumn("_malformed", F.col("record").isNull())
         reason = refusal(resource) if wanted is None else F.coalesce(refusal(resource), F.when(~in_months(wanted), CLOSED))
-        rows = clean_records(flagged, dataset, found, cells).withColumn("_reason", reason)
+        rows = dated_records(flagged, dataset, found).withColumn("_reason", reason)
         if watch is not None:
             watch[resource.name] = Observation()
             rows = rows.observe(watch[resource.name], *[F.count_if(F.col("_reason") == r).alias(r) for r in (*REASONS, CLOSED)])
-        frames.append(rows.where("_reason is null").drop("_reason", "_malformed"))
+        staying = rows.where("_reason is null").drop("_reason", "_malformed").withColumnsRenamed(dict(zip(PARTITION_COLUMNS, MONTH, strict=True)))
+        shape = (dataset, found) if columns is None else _narrowed(dataset, found, columns)
+        frames.append(clean_records(staying, *shape, cells=cells and columns is None))
     return union_resources(*frames) if frames else None
 
 
@@ -173,10 +196,12 @@ def preview_load(spark: SparkSession, landed: Mapping[str, DataFrame], dataset:
     rows = clean_resources(landed, dataset, kinds, cells, pending)
     if rows is None:  # nothing is pending: the columns of a load, and no row
         rows = clean_resources(landed, dataset, kinds, cells).where(F.lit(False))
-    rows = one_per_key(rows, dataset)
-    months = count_by(rows, "year", "month")
-    first = months.orderBy("year", "month").first()
-    return LoadPreview(rows.schema, months, (first["year"], first["month"]) if first else None)
+    # the latest row of a key is told by its date, and so is its month
+    keyed = clean_resources(landed, dataset, kinds, cells, pending, columns=[dataset.key_column] if dataset.key_column else [])
+    counts = count_by(one_per_key(rows if keyed is None else keyed, dataset), "year", "month")
+    # counted once; a row per pending month at most
+    found = sorted(counts.collect())
+    return LoadPreview(rows.schema, spark.createDataFrame(found, counts.schema), tuple(found[0][:2]) if found else None)
 
 
 def in_months(months: Iterable[Row]) -> Column:
