@@ -485,7 +485,8 @@ def resources_apart(t: Tables) -> DataFrame:
 
 def land(rows: DataFrame, folder: str) -> None:
     """More landed files, each with a run of keys, whatever their months."""
-    ordered = rows.repartitionByRange(4, F.col("unique_key").cast("bigint"))
+    files = max(4, rows.sparkSession.sparkContext.defaultParallelism)
+    ordered = rows.repartitionByRange(files, F.col("unique_key").cast("bigint"))
     ordered.select(F.to_json(F.struct("unique_key", "created_date", "status")).alias("value")).write.mode("append").text(folder)
 
 
