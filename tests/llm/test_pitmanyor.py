@@ -2,11 +2,12 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from wardgrid.llm import pitmanyor, queries
+from wardgrid.llm import common, pitmanyor, queries
 
 
 def words(text):
@@ -91,3 +92,16 @@ def test_any_number_of_contexts(spark):
     asked = asked.filter(F.col("word").isin([*known, 999]))
     sums = pitmanyor.answers(asked, model, shared).groupBy("pair").agg(F.sum("p").alias("p")).collect()
     assert len(sums) == 41 and all(abs(r.p - 1) < 1e-9 for r in sums)
+
+
+def test_no_step_outlives_the_next(spark, tables):
+    """Of all steps only the texts and the answers are left, which the result reads: pairs, seats, words and contexts
+    of each sweep go, as do questions that are answered."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "wardgrid"
+    settings = {key: spark.conf.get(key) for key in common.TIDY}
+    before = set(folder.glob("*"))
+    found = queries.op8_language_model(spark, tables(documents=corpus(50)))
+    left = set(folder.glob("*")) - before
+    assert sorted(x.name.rsplit("-", 1)[0] for x in left) == ["answers"] * pitmanyor.TURNS + ["tokens"]
+    assert [y.name for x in left for y in x.glob("turn=*")] == ["turn=-1"]
+    assert found.count() == 50 and {key: spark.conf.get(key) for key in common.TIDY} == settings

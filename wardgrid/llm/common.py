@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardgrid.session import shared_folder
+from wardgrid.sources.tables import read_if_present
+
+T = TypeVar("T")
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -42,6 +48,50 @@ def stored(df: DataFrame, purpose: str, together: bool = True) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TIDY = {
+    # shuffle files of a step go when it is written, not when the driver happens to collect garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # rows of a few folders are written without a sort
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
+
+
+def tidily(df: DataFrame, write: Callable[[], T]) -> T:
+    """What `write` gives, run with the settings `TIDY`, for jobs of many steps."""
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key) for key in TIDY}
+    try:
+        for key, value in TIDY.items():
+            conf.set(key, value)
+        return write()
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
+def tidily_stored(df: DataFrame, purpose: str) -> DataFrame:
+    return tidily(df, lambda: stored(df, purpose))
+
+
+def stored_by(df: DataFrame, purpose: str, column: str, values: range) -> list[DataFrame]:
+    """`df` written once by each partition's own task; a frame, without `column`, for each of its few values."""
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    # a task has a file open for each value, so each holds little in memory
+    writer = df.write.option("compression", "zstd").option("parquet.block.size", 4 << 20).partitionBy(column)
+    tidily(df, lambda: writer.parquet(path))
+    return [read_if_present(spark, f"{path}/{column}={value}", df.drop(column).schema) for value in values]
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files that frames from `stored` read, once no result needs them."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(folder), True)
+
+
 FEW = 100_000  # a table of so many short rows is broadcast
 SALTS = 64
 

@@ -26,6 +26,7 @@ own. Empty tables give empty results. Other columns do not pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from wardgrid.llm.shingles import runs, words
 
 CLASSES = 12  # so many contexts, and one more, are summed over by the test; any number is served
 BLOCK_BYTES = 24 << 20
+TURNS = 8  # questions are answered in so many turns, by word: those of a turn and its shuffle files go with it
 DISCOUNT, STRENGTH = 0.8, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
 UNSEEN = 0.5
@@ -160,10 +162,10 @@ def train(counts: DataFrame) -> tuple[tuple[DataFrame, DataFrame, DataFrame], di
     total, roots), the contexts (class, customers, tables), and what unseen words need. `roots` and a context's
     `tables` have one value a sample, a pair's `tables` is their mean."""
     none = F.lit(0).cast("long")
-    pairs = common.stored(counts.select("word", F.col("class").cast("long").alias("class"), "n").repartition("word", "class").sortWithinPartitions("word", "class"), "pairs")
+    pairs = common.tidily_stored(counts.select("word", F.col("class").cast("long").alias("class"), "n").repartition("word", "class").sortWithinPartitions("word", "class"), "pairs")
     once = F.sum((F.col("n") == 1).cast("long")).alias("once")
-    words = common.stored(pairs.groupBy("word").agg(F.sum("n").alias("total"), once, F.count("*").alias("customers")), "words")
-    contexts = common.stored(pairs.groupBy("class").agg(F.sum("n").alias("served"), once, F.count("*").alias("now")), "contexts")
+    words = common.tidily_stored(pairs.groupBy("word").agg(F.sum("n").alias("total"), once, F.count("*").alias("customers")), "words")
+    contexts = common.tidily_stored(pairs.groupBy("class").agg(F.sum("n").alias("served"), once, F.count("*").alias("now")), "contexts")
     known, tokens, root_customers = words.agg(F.count("*"), F.coalesce(F.sum("total"), none), F.coalesce(F.sum("customers"), none)).first()
     root_tables, samples, unseen = known, 0, []
     words = words.withColumn("root", F.col("total") / max(tokens, 1)).withColumn("roots", F.array().cast("array<double>"))
@@ -177,17 +179,20 @@ def train(counts: DataFrame) -> tuple[tuple[DataFrame, DataFrame, DataFrame], di
         often = placed.mapInArrow(_seat(sweep, DISCOUNT), PAIRS)
         if sweep >= BURN_IN:
             often = often.withColumn("summed", F.col("summed") + F.col("tables"))
-        often = common.stored(often, "seats")
+        often = common.tidily_stored(often, "seats")
+        last = [words, contexts, *([seats] if sweep else [])]
+        seats = often
         by_word = often.groupBy("word").agg(F.sum("tables").alias("more"))
         at_root = words.select("word", "total", "once", "roots").join(by_word, "word", "left")
         at_root = at_root.select("word", "total", "once", "roots", (F.col("once") + F.coalesce("more", none)).alias("customers"), F.lit(root_pull).alias("pull"))
-        words = common.stored(at_root.sortWithinPartitions("word").mapInArrow(_seat(sweep, ROOT_DISCOUNT), WORDS), "words")
+        words = common.tidily_stored(at_root.sortWithinPartitions("word").mapInArrow(_seat(sweep, ROOT_DISCOUNT), WORDS), "words")
         by_class = often.groupBy("class").agg(F.sum("tables").alias("more"))
         contexts = contexts.select("class", "served", "once", "tables").join(by_class, "class", "left")
         contexts = contexts.withColumn("now", F.col("once") + F.coalesce("more", none)).drop("more")
         if sweep >= BURN_IN:
             contexts = contexts.withColumn("tables", F.concat("tables", F.array("now")))
-        contexts = common.stored(contexts, "contexts")
+        contexts = common.tidily_stored(contexts, "contexts")
+        common.discard(*last)
         root_customers, root_tables = words.agg(F.coalesce(F.sum("customers"), none), F.coalesce(F.sum("tables"), none)).first()
         root_pull = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) * (1 - UNSEEN) / max(known, 1)
         words = words.withColumn("root", (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + root_pull) / (ROOT_STRENGTH + root_customers))
@@ -245,12 +250,20 @@ def score(docs: DataFrame) -> DataFrame:
     documents that are not held out."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    read = common.stored(source.mapInArrow(_read, READ), "tokens", together=False)
-    asked = read.filter("pair is not null")
-    counts = asked.filter("n > 0").groupBy("word", "class").agg(F.sum("n").alias("n"))
+    read = source.mapInArrow(_read, READ).withColumn("turn", F.coalesce(F.pmod("word", F.lit(TURNS)).cast("int"), F.lit(-1)))
+    texts, *asked = common.stored_by(read, "tokens", "turn", range(-1, TURNS))
+    counts = reduce(DataFrame.unionByName, asked).filter("n > 0").groupBy("word", "class").agg(F.sum("n").alias("n"))
     model, shared = train(counts)
-    # single precision is enough for a logarithm, and half the bytes
-    given = answers(asked, model, shared).withColumn("p", F.col("p").cast("float"))
-    texts = read.filter("tokens is not null").select(F.col("block").alias("home"), "doc_id", "held_out", "tokens")
+    seen, words, contexts = model
+    given = []
+    for turn, questions in enumerate(asked):
+        of_turn = [x.filter(F.pmod("word", F.lit(TURNS)) == turn) for x in (seen, words)]
+        # single precision is enough for a logarithm, and half the bytes
+        told = answers(questions, (*of_turn, contexts), shared).withColumn("p", F.col("p").cast("float"))
+        given.append(common.tidily_stored(told, "answers"))
+        common.discard(questions)
+    common.discard(*model)
+    given = reduce(DataFrame.unionByName, given)
+    texts = texts.select(F.col("block").alias("home"), "doc_id", "held_out", "tokens")
     done = texts.groupBy("home").cogroup(given.groupBy("asker")).applyInArrow(_scored(shared["known"], shared["tokens"]), SCORED)
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(shared["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
